@@ -48,7 +48,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
         hi = F.col("highest") if p >= 1 - BRACKET else F.when(whole, F.col("highest")).otherwise(F.col("edges")[2 * i + 1])
         bounds.append(F.struct(lo.alias("lo"), hi.alias("hi")))
     brackets = materialize(sketch.select(*keys, "n", F.array(*bounds).alias("b")), "brackets")
-    at = rows.join(brackets, keys)
+    at = null_safe_join(rows, brackets, keys)
     inside = [(F.col("v") >= F.col("b")[i]["lo"]) & (F.col("v") <= F.col("b")[i]["hi"]) for i in range(len(bounds))]
 
     below = at.groupBy(*keys).agg(
@@ -62,10 +62,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
         at.filter(_any(inside))
         .groupBy(*keys, "v")
         .agg(F.count("*").alias("copies"))
-        .join(brackets, keys)
+        .transform(null_safe_join, brackets, keys)
         .select(*keys, "v", "copies", F.explode(hits).alias("i"))
         .withColumn("last", F.sum("copies").over(Window.partitionBy(*keys, "i").orderBy("v")))
-        .join(below, keys)
+        .transform(null_safe_join, below, keys)
         .withColumn("last", F.col("last") + F.element_at("below", F.col("i") + 1))
     )
     # Zero-based target position and the two order statistics around it.
@@ -96,6 +96,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
     )
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join that matches a null key with a null key."""
+    renamed = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def _literals(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(x)) for x in values])
 

@@ -107,3 +107,67 @@ MATRIX_OUTPUT = """strftime(cohort, '%Y-%m') AS cohort, product, months_since_st
   strftime(reporting_period, '%Y-%m') AS reporting_period, balance, withdrawals, receipts, transfers,
   int_rate, best_buy, tenure_months, n_accounts, balance_lag_1, rec_prop, outflow_prop,
   withdrawal_prop_of_outflow, delta_to_best_buy, bin_id, dbb_range"""
+
+# Ratio table that needs no fit.
+GIVEN_RATIO_CTES = [
+    """means AS (SELECT product, round(avg(rec_prop), 6) AS rec_mean, round(avg(outflow_prop), 6) AS out_mean,
+  round(avg(withdrawal_prop_of_outflow), 6) AS wd_mean FROM features GROUP BY 1)""",
+    """given_pred AS (SELECT product, CAST(a.range AS INTEGER) AS months_since_start, CAST(b.range AS INTEGER) AS bin_id,
+  rec_mean * 0.5::DOUBLE * (b.range * 0.01::DOUBLE + 1) / (a.range * 0.002::DOUBLE + 1) AS rec_pred,
+  out_mean * (1 - b.range * 0.01::DOUBLE) AS outflow_pred, wd_mean / (a.range * 0.002::DOUBLE + 1) AS wd_pred
+  FROM means CROSS JOIN range(2, 61) a CROSS JOIN range(0, 11) b)""",
+    f"""given AS (SELECT product, months_since_start, bin_id, {label_case('bin_id')} AS rate_bin,
+  rec_pred * 100 AS rec_pct, outflow_pred * (1 + rec_pred) * 100 AS outflow_pct, (1 - wd_pred) * 100 AS transfer_pct
+  FROM given_pred)""",
+]
+
+
+def projection_ctes(rows: str, table: str) -> list[str]:
+    """The month-by-month recursion, row after row: the new balance replaces the next row's lag."""
+    return [
+        f"""numbered AS (SELECT r.*, row_number() OVER (PARTITION BY r.cohort, r.product ORDER BY reporting_period) AS rn,
+  rec_pct / 100 AS rec, outflow_pct / 100 AS outf, transfer_pct / 100 AS tr
+  FROM {rows} r LEFT JOIN {table} t ON t.product = r.product AND t.bin_id = r.bin_id AND t.months_since_start =
+    greatest((SELECT min(months_since_start) FROM {table} x WHERE x.product = r.product),
+             least(r.months_since_start, (SELECT max(months_since_start) FROM {table} x WHERE x.product = r.product))))""",
+        """walk AS (
+  SELECT cohort, product, rn, months_since_start, rec, outf, tr, balance_lag_1 AS used_lag FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.cohort, n.product, n.rn, n.months_since_start, n.rec, n.outf, n.tr,
+         CASE WHEN w.months_since_start <> 1 AND w.used_lag IS NOT NULL
+              THEN w.used_lag + w.used_lag * w.rec - w.used_lag * w.outf ELSE n.balance_lag_1 END
+  FROM walk w JOIN numbered n ON n.cohort = w.cohort AND n.product = w.product AND n.rn = w.rn + 1)""",
+        """projected AS (
+  SELECT n.* EXCLUDE (balance_lag_1), w.used_lag AS balance_lag_1,
+    CASE WHEN n.months_since_start = 1 THEN w.used_lag ELSE w.used_lag + w.used_lag*n.rec - w.used_lag*n.outf END AS balance_pred,
+    CASE WHEN n.months_since_start = 1 THEN 0 ELSE w.used_lag * n.rec END AS receipts_pred,
+    CASE WHEN n.months_since_start = 1 THEN 0 ELSE w.used_lag * n.outf * n.tr END AS transfers_pred,
+    CASE WHEN n.months_since_start = 1 THEN 0 ELSE w.used_lag * n.outf * (1 - n.tr) END AS withdrawals_pred
+  FROM numbered n JOIN walk w ON w.cohort = n.cohort AND w.product = n.product AND w.rn = n.rn)""",
+    ]
+
+
+def prediction_ctes(landed_until: str) -> list[str]:
+    money = "CAST({0} AS DECIMAL(20,4))"
+    landed = f"CASE WHEN reporting_period < DATE '{landed_until}' THEN {{0}} END"
+    actuals = ", ".join(f"{landed.format(money.format(m))} AS {m}" for m in ("balance", "receipts", "withdrawals", "transfers"))
+    return [
+        f"""predictions AS (SELECT product, cohort, reporting_period, months_since_start, {actuals},
+  CAST(balance_lag_1 * (batch * 0.01::DOUBLE + 0.95::DOUBLE) AS DECIMAL(20,4)) AS balance_pred,
+  {money.format('receipts')} + batch * 10 AS receipts_pred, {money.format('withdrawals')} + batch * 5 AS withdrawals_pred,
+  {money.format('transfers')} - batch AS transfers_pred,
+  rec_prop * (batch * 0.05::DOUBLE + 0.9::DOUBLE) AS rec_pct_pred,
+  outflow_prop * (batch * 0.05::DOUBLE + 0.9::DOUBLE) AS outflow_pct_pred,
+  1 - withdrawal_prop_of_outflow AS transfer_pct_pred,
+  TIMESTAMP '2024-01-01' + to_days(CAST(batch AS INTEGER)) AS scored_at, CAST(batch AS VARCHAR) AS model_version
+  FROM features CROSS JOIN (VALUES (1), (2), (3)) v(batch))"""
+    ]
+
+
+VERSION_LOG_CTES = [
+    """version_log AS (
+  SELECT user_id AS model_name, event_id AS version, 'registered' AS event, ts AS event_ts, value AS metric FROM events
+  UNION ALL
+  SELECT user_id, event_id, CASE event_type WHEN 'purchase' THEN 'promoted' ELSE 'rejected' END, ts + INTERVAL 1 MINUTE, value
+  FROM events WHERE event_type IN ('purchase', 'error'))"""
+]
