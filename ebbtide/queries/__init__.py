@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-_THEMES = ("cohorts", "sales", "modelling", "projection", "metrics")
+_THEMES = ("cohorts", "sales", "modelling", "projection", "metrics", "drift", "quality", "lifecycle", "upkeep")
 
 
 def all_queries() -> dict[str, Query]:

@@ -131,7 +131,7 @@ def dash_quality_over_time(spark, sf_dir):
 
 def dash_ratio_heatmap(spark, sf_dir):
     table = inputs.given_ratios(inputs.features(spark, sf_dir))
-    return dashboards.ratio_heatmap(table, "BUILDING").withColumn("receipt_pct", F.round("receipt_pct", 9))
+    return dashboards.ratio_heatmap(table, "BUILDING")
 
 
 QUERIES = {
@@ -264,7 +264,7 @@ QUALIFY row_number() OVER (PARTITION BY product ORDER BY val_mape NULLS LAST, gr
     ),
     "dash_ratio_heatmap": sql.with_ctes(
         sql.FEATURE_CTES + sql.GIVEN_RATIO_CTES,
-        """SELECT months_since_start AS cohort_month, rate_bin, round(rec_pct, 9) AS receipt_pct
+        """SELECT months_since_start AS cohort_month, rate_bin, rec_pct AS receipt_pct
 FROM given WHERE product = 'BUILDING'""",
     ),
 }

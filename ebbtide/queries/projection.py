@@ -21,12 +21,12 @@ def _months():
 def ratio_composites(spark, sf_dir):
     return inputs.given_ratios(inputs.features(spark, sf_dir)).select(
         "product", "months_since_start", "bin_id", "rate_bin",
-        *[F.round(c, 9).alias(c) for c in ratio_tables.RATIOS],
+        *ratio_tables.RATIOS,
     )
 
 
 def ratio_pivot(spark, sf_dir):
-    table = inputs.given_ratios(inputs.features(spark, sf_dir)).withColumn("rec_pct", F.round("rec_pct", 9))
+    table = inputs.given_ratios(inputs.features(spark, sf_dir))
     return ratio_tables.pivot_ratio(table, "rec_pct", ["product"])
 
 
@@ -51,7 +51,7 @@ def score_batch(spark, sf_dir):
     return audited.select(
         *_months(), "product", "months_since_start", *[F.round(c, 2).alias(c) for c in _PREDICTED], *MEASURES,
         *[F.round(f"ape_{m}", 8).alias(f"ape_{m}") for m in MEASURES],
-        *[F.round(f"{r}_pred", 9).alias(f"{r}_pred") for r in ratio_tables.RATIOS],
+        *[f"{r}_pred" for r in ratio_tables.RATIOS],
         F.date_format("scored_at", "yyyy-MM-dd").alias("scored_at"), "model_name", "model_version", "model_alias",
     )
 
@@ -88,7 +88,7 @@ _APES = ", ".join(
     f"CASE WHEN {m} <> 0 THEN round(abs({m} - {m}_pred) / abs({m}), 8) END AS ape_{m}" for m in MEASURES
 )
 _USED = ", ".join(
-    f"CASE WHEN months_since_start <> 1 AND balance_lag_1 IS NOT NULL THEN round({c}, 9) END AS {r}_pred"
+    f"CASE WHEN months_since_start <> 1 AND balance_lag_1 IS NOT NULL THEN {c} END AS {r}_pred"
     for c, r in zip(("rec", "outf", "tr"), ratio_tables.RATIOS)
 )
 _SCORED = f"""SELECT {_KEYS}, {_PREDICTED_SQL}, {', '.join(MEASURES)}, {_APES}, {_USED},
@@ -98,14 +98,12 @@ _SCORED_CTES = _GIVEN + _BATCH + sql.projection_ctes("batch", "given")
 SQL = {
     "ratio_composites": sql.with_ctes(
         _GIVEN,
-        "SELECT product, months_since_start, bin_id, rate_bin, "
-        + ", ".join(f"round({r}, 9) AS {r}" for r in ratio_tables.RATIOS)
-        + " FROM given",
+        f"SELECT product, months_since_start, bin_id, rate_bin, {', '.join(ratio_tables.RATIOS)} FROM given",
     ),
     "ratio_pivot": sql.with_ctes(
         _GIVEN,
         "SELECT product, months_since_start, "
-        + ", ".join(f"""max(round(rec_pct, 9)) FILTER (bin_id = {i}) AS "{label}" """ for i, label in enumerate(RATE_LABELS))
+        + ", ".join(f"""max(rec_pct) FILTER (bin_id = {i}) AS "{label}" """ for i, label in enumerate(RATE_LABELS))
         + " FROM given GROUP BY 1, 2",
     ),
     "project_balances": sql.with_ctes(
