@@ -53,9 +53,11 @@ def label_accounts(accounts: DataFrame, products: DataFrame | None, rates: DataF
 def aggregate_cohorts(labelled: DataFrame) -> DataFrame:
     """Sums, means and distinct accounts per cohort, product and age. Rows without a key are dropped.
 
-    Sums combine map-side. The distinct count is planned by Spark in two steps, first by (key, account), so one huge
-    cohort is still counted by many tasks.
+    The sums combine map-side and shuffle no more than the matrix. Only the distinct count has to shuffle by account,
+    so it does that alone, on four narrow columns and spread by account within the key; the two results are hashed
+    by the same key and join in place.
     """
+    rows = labelled.dropna(subset=list(MATRIX_KEYS))
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name).cast("double"), F.lit(0.0))
@@ -63,20 +65,19 @@ def aggregate_cohorts(labelled: DataFrame) -> DataFrame:
     def mean(name: str) -> Column:
         return F.sum(name).cast("double") / F.count(name)
 
-    return (
-        labelled.dropna(subset=list(MATRIX_KEYS))
-        .groupBy(*MATRIX_KEYS)
-        .agg(
-            F.max("reporting_period").alias("reporting_period"),
-            total("period_balance").alias("balance"),
-            total("withdrawal").alias("withdrawals"),
-            total("receipt").alias("receipts"),
-            total("internal_transfer").alias("transfers"),
-            mean("interest_rate").alias("int_rate"),
-            mean("tenure_months").alias("tenure_months"),
-            F.countDistinct("account_id").alias("n_accounts"),
-        )
+    sums = rows.groupBy(*MATRIX_KEYS).agg(
+        F.max("reporting_period").alias("reporting_period"),
+        total("period_balance").alias("balance"),
+        total("withdrawal").alias("withdrawals"),
+        total("receipt").alias("receipts"),
+        total("internal_transfer").alias("transfers"),
+        mean("interest_rate").alias("int_rate"),
+        mean("tenure_months").alias("tenure_months"),
+    )
+    members = (
+        rows.select(*MATRIX_KEYS, "account_id").distinct().groupBy(*MATRIX_KEYS).agg(F.count("account_id").alias("n_accounts"))
     )
+    return sums.join(members, list(MATRIX_KEYS))
 
 
 def attach_rates(

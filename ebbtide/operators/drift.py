@@ -65,41 +65,35 @@ def psi(
     sides = long_features(reference, columns).withColumn("is_reference", F.lit(True)).unionByName(
         long_features(current, columns).withColumn("is_reference", F.lit(False))
     )
-    counts = (
+    n_edges = F.size("edges").alias("n_edges")
+    counts = materialize(
         sides.join(edges, "feature")
-        .groupBy("feature", _bucket(F.col("value"), F.col("edges"), buckets).alias("bucket"))
-        .agg(F.count_if("is_reference").alias("r"), F.count_if(~F.col("is_reference")).alias("c"))
-    )
-    inside = F.col("bucket").isNotNull()
-    totals = counts.groupBy("feature").agg(
-        F.sum(F.when(inside, F.col("r"))).alias("r_total"),
-        F.sum(F.when(inside, F.col("c"))).alias("c_total"),
-        F.sum("c").alias("c_rows"),
-    )
-    numbered = edges.select("feature", F.size("edges").alias("n_edges"), F.explode(F.sequence(F.lit(1), F.size("edges"))).alias("bucket"))
-    shares = (
-        numbered.filter(F.col("bucket") < F.col("n_edges"))
-        .join(counts, ["feature", "bucket"], "left")
-        .join(totals, "feature")
-        .withColumn("rs", _share("r"))
-        .withColumn("cs", _share("c"))
-        .groupBy("feature")
-        .agg(F.sum((F.col("cs") - F.col("rs")) * F.ln(F.col("cs") / F.col("rs"))).alias("_psi"))
-    )
-    # Feature names are given by the caller: this frame has one row per name.
-    names = reference.sparkSession.createDataFrame([(i, c) for i, c in enumerate(columns)], "_no int, feature string")
-    known = totals.join(edges.select("feature", F.size("edges").alias("n_edges")), "feature")
-    value = F.when(F.col("c_rows") > 0, F.when(F.col("n_edges") < 3, 0.0).otherwise(F.col("_psi")))
-    return (
-        names.join(known, "feature", "left")
-        .join(shares, "feature", "left")
-        .select("feature", value.alias("psi"))
+        .groupBy("feature", n_edges, _bucket(F.col("value"), F.col("edges"), buckets).alias("bucket"))
+        .agg(F.count_if("is_reference").alias("r"), F.count_if(~F.col("is_reference")).alias("c")),
+        "bucket_counts",
     )
+    within = range(1, buckets + 1)
 
+    def per_bucket(side: str) -> list[Column]:
+        return [F.coalesce(F.sum(F.when(F.col("bucket") == i, F.col(side))), F.lit(0)).alias(f"{side}{i}") for i in within]
 
-def _share(side: str) -> Column:
-    n = F.coalesce(F.col(side), F.lit(0))
-    return F.when(n == 0, PSI_EMPTY_SHARE).otherwise(n / F.col(f"{side}_total"))
+    def total(side: str) -> Column:
+        return F.sum(F.when(F.col("bucket").isNotNull(), F.col(side))).alias(f"{side}_total")
+
+    def share(side: str, i: int) -> Column:
+        return F.when(F.col(f"{side}{i}") == 0, PSI_EMPTY_SHARE).otherwise(F.col(f"{side}{i}") / F.col(f"{side}_total"))
+
+    # One row per feature from here on.
+    wide = counts.groupBy("feature", "n_edges").agg(
+        *per_bucket("r"), *per_bucket("c"), total("r"), total("c"), F.sum("c").alias("c_rows")
+    )
+    index = F.lit(0.0)
+    for i in within:
+        gap = (share("c", i) - share("r", i)) * F.ln(share("c", i) / share("r", i))
+        index = index + F.when(F.col("n_edges") > i, gap).otherwise(0.0)
+    value = F.when(F.col("c_rows") > 0, F.when(F.col("n_edges") < 3, 0.0).otherwise(index))
+    names = reference.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    return names.join(wide.select("feature", value.alias("psi")), "feature", "left")
 
 
 def status_band(value: Column, warn: float = PSI_WARN, alert: float = PSI_ALERT) -> Column:
