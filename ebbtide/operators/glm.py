@@ -25,6 +25,7 @@ RESPONSE_COLUMN = {OUTFLOW: "outflow_prop", WITHDRAWAL: "withdrawal_prop_of_outf
 SPLINE_TERMS = ("spline_1", "spline_2", "spline_3", "spline_4", "delta_to_best_buy")
 LINE_TERMS = ("intercept", "delta_to_best_buy")
 N_TERMS = len(SPLINE_TERMS)
+PATIENCE = 25
 ACTIVE, CONVERGED, FAILED, STOPPED = "active", "converged", "failed", "stopped"
 _PAIRS = [(i, j) for i in range(N_TERMS) for j in range(i, N_TERMS)]
 
@@ -161,7 +162,8 @@ def fit(obs: DataFrame, keys: Sequence[str], max_iterations: int = 100, toleranc
     """Coefficients of every model: ``beta``, ``deviance``, ``iterations``, ``status``.
 
     ``obs`` is read once per iteration, so pass a written or cached table. Runs one job per iteration; a model leaves
-    the loop when its deviance settles or its equations stop being finite.
+    the loop when its coefficients settle or its equations stop being finite. Coefficients along a flat direction may
+    never settle: after ``PATIENCE`` iterations a settled deviance is enough.
     """
     keys = list(keys)
     finite = ~F.exists("beta", lambda b: F.isnan(b) | b.isNull())
@@ -188,12 +190,12 @@ def fit(obs: DataFrame, keys: Sequence[str], max_iterations: int = 100, toleranc
         known = state.filter(F.col("status") == ACTIVE).select(
             *keys, F.col("beta").alias("_beta"), F.col("deviance").alias("_before")
         )
-        equations = _normal_equations(
-            obs.join(known, keys), _linear_predictor(F.col("_beta")), keys, [F.max("_before").alias("_before")]
-        )
-        change = F.abs(F.col("deviance") - F.col("_before"))
-        # The first deviance belongs to the starting means, which no coefficients produced.
-        settled = (change <= tolerance * (F.abs("deviance") + 0.1)) if iteration > 2 else F.lit(False)
+        carried = [F.first("_beta").alias("_beta"), F.first("_before").alias("_before")]  # constant within a model
+        equations = _normal_equations(obs.join(known, keys), _linear_predictor(F.col("_beta")), keys, carried)
+        moved = F.array_max(F.zip_with("beta", "_beta", lambda b, a: F.abs(b - a) / (F.abs(a) + 0.1)))
+        settled = moved <= tolerance
+        if iteration > PATIENCE:
+            settled |= F.abs(F.col("deviance") - F.col("_before")) <= tolerance * (F.abs("deviance") + 0.1)
         state, active = advance(equations, iteration, settled)
         done.append(state.filter(F.col("status") != ACTIVE))
     result = done[0]

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ebbtide.constants import FOLD_OFFSETS, PARAM_GRID
 from ebbtide.functions import spline
 from ebbtide.functions.dates import month_text
 from ebbtide.functions.ratios import rate_label, rate_midpoints
-from ebbtide.operators import glm, metrics, prep, ratio_tables
+from ebbtide.operators import glm, metrics, prep, project, ratio_tables
 from ebbtide.plans import training
 from ebbtide.queries import base_sql as sql
 from ebbtide.queries import inputs
@@ -126,7 +124,31 @@ def glm_robust_se(spark, sf_dir):
 def glm_diagnostics(spark, sf_dir):
     models = _main_models(spark, sf_dir)
     return models.select(
-        "product", "response", "family", "n_used", "n_left_out", "status", F.round("deviance", 6).alias("deviance")
+        "product", "response", "family", "n_used", "n_left_out", "status", F.round("deviance", 4).alias("deviance")
+    )
+
+
+def _main_table(spark, sf_dir):
+    """Features and the ratio table of the main window, age 2 left out of training, 60 months."""
+    features = inputs.features_table(spark, sf_dir)
+    rows = materialize(prep.outlier_flags(prep.training_windows(features, CUTOFF, ()), prep.WINDOW_KEYS), "train_rows")
+    rows = rows.filter(F.col("drop_month2"))
+    return features, ratio_tables.ratio_tables(glm.fit_responses(rows), rows, [(60, True)])
+
+
+def fitted_ratios(spark, sf_dir):
+    _, table = _main_table(spark, sf_dir)
+    rounded = [F.round(c, 6).alias(c) for c in ratio_tables.RATIOS]
+    return table.select("product", "months_since_start", "bin_id", *rounded)
+
+
+def fitted_projection(spark, sf_dir):
+    """The months after the cut-off, projected by that table."""
+    features, table = _main_table(spark, sf_dir)
+    projected = project.score(project.between_periods(features, CUTOFF, None), materialize(table, "ratios"))
+    return projected.select(
+        _cohort_month(), "product", "months_since_start", "balance",
+        *[F.round(c, 2).alias(c) for c in ("balance_pred", "receipts_pred", "withdrawals_pred", "transfers_pred")],
     )
 
 
@@ -145,7 +167,8 @@ def ratio_table(spark, sf_dir):
 def glm_grid_search(spark, sf_dir):
     trials = _training(spark, sf_dir).trials
     return trials.select(
-        "product", "grid_id", "n_folds", *[F.round(c, 4).alias(c) for c in ("val_mape", "val_rmse", "cv_mape")]
+        "product", "grid_id", "n_folds",
+        *[F.round(c, d).alias(c) for c, d in (("val_mape", 4), ("val_rmse", 2), ("cv_mape", 4))],
     )
 
 
@@ -160,8 +183,6 @@ def best_trained(spark, sf_dir):
 
 def trained_scores(spark, sf_dir):
     """End to end: the fitted, selected ratio tables score the months after the cut-off."""
-    from ebbtide.operators import project
-
     features = materialize(inputs.features(spark, sf_dir), "features")
     run = training.train(features, CUTOFF, LAST_COHORT)
     served = training.served_ratios(run.ratios, run.best)
@@ -177,8 +198,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         split_train_test, iqr_outliers, rolling_windows, search_grid, bin_representatives, prediction_grid,
-        spline_basis, glm_outflow, glm_withdrawal, glm_receipts, glm_robust_se, glm_diagnostics, ratio_table,
-        glm_grid_search, best_trained, trained_scores,
+        spline_basis, glm_outflow, glm_withdrawal, glm_receipts, glm_robust_se, glm_diagnostics, fitted_ratios,
+        fitted_projection, ratio_table, glm_grid_search, best_trained, trained_scores,
     )
 }
 
@@ -264,54 +285,72 @@ def _basis(x: str, m: int) -> str:
 
 
 # IRLS as a recursive query: one step solves the normal equations by Gaussian elimination.
-_STEPS = 12
+_STEPS = 20
 
 
-def _solve_ctes(p: int) -> str:
-    """Nested subqueries that eliminate one column after another from a_ij | b_i, then substitute back."""
-    inner = "(SELECT * FROM sums)"
+def _eliminate(p: int, source: str, carried: str, right: dict[str, str]) -> str:
+    """Nested subqueries solving a_ij x_j = b_i for several right sides (name of b -> name of x) at once."""
+    inner = source
     for c in range(p):
         exprs = []
-        for r in range(p):
-            for j in range(p):
-                if r > c and j >= c:
-                    exprs.append(f"a{r}{j} - a{r}{c} / a{c}{c} * a{c}{j} AS a{r}{j}")
-                else:
-                    exprs.append(f"a{r}{j}")
-            exprs.append(f"b{r} - a{r}{c} / a{c}{c} * b{c} AS b{r}" if r > c else f"b{r}")
-        inner = f"(SELECT product, step, {', '.join(exprs)} FROM {inner})"
+        for r in range(c + 1, p):
+            factor = f"a{r}{c} / a{c}{c}"
+            exprs += [f"a{r}{j} - {factor} * a{c}{j} AS a{r}{j}" for j in range(c, p)]
+            exprs += [f"{b}{r} - {factor} * {b}{c} AS {b}{r}" for b in right]
+        exprs += [f"a{r}{j}" for r in range(p) for j in range(p) if not (r > c and j >= c)]
+        exprs += [f"{b}{r}" for b in right for r in range(c + 1)]
+        inner = f"(SELECT {carried}, {', '.join(exprs)} FROM {inner})"
     for r in reversed(range(p)):
-        known = "".join(f" - a{r}{j} * beta{j}" for j in range(r + 1, p))
-        inner = f"(SELECT *, (b{r}{known}) / a{r}{r} AS beta{r} FROM {inner})"
+        solved = []
+        for b, x in right.items():
+            known = "".join(f" - a{r}{j} * {x}{j}" for j in range(r + 1, p))
+            solved.append(f"({b}{r}{known}) / a{r}{r} AS {x}{r}")
+        inner = f"(SELECT *, {', '.join(solved)} FROM {inner})"
     return inner
 
 
-def _irls(p: int, response: str, family: str) -> list[str]:
-    """CTEs obs -> beta. ``family`` names the column that tells Tweedie from gamma, or is 'binomial'."""
-    xs = [f"x{i}" for i in range(p)]
-    if family == "binomial":
-        start, mean = "ln(((y + 0.5)/2) / (1 - (y + 0.5)/2))", "1 / (1 + exp(-eta))"
-        weight, slope = "mu * (1 - mu)", "mu * (1 - mu)"
-    else:
-        start, mean = "ln((y + y_mean)/2)", "exp(eta)"
-        weight, slope = "CASE WHEN tweedie THEN sqrt(mu) ELSE 1 END", "mu"
+def _family(response: str) -> tuple[str, str, str, str, str, str]:
+    """Starting eta, mean, weight, slope of the mean, score and unit deviance of a response."""
+    if response != glm.RECEIPTS:
+        share = "(y + 0.5)/2"
+        log = "CASE WHEN {0} > 0 THEN {0} * ln({0} / {1}) ELSE 0 END"
+        deviance = f"2 * ({log.format('y', 'mu')} + {log.format('(1 - y)', '(1 - mu)')})"
+        slope = "mu * (1 - mu)"
+        return f"ln(({share}) / (1 - {share}))", "1 / (1 + exp(-eta))", slope, slope, "y - mu", deviance
+    return (
+        "ln((y + y_mean)/2)", "exp(eta)", "CASE WHEN tweedie THEN sqrt(mu) ELSE 1 END", "mu",
+        "CASE WHEN tweedie THEN (y - mu) / sqrt(mu) ELSE (y - mu) / mu END",
+        "CASE WHEN tweedie THEN 4 * (sqrt(mu) - 2 * sqrt(y) + y / sqrt(mu)) ELSE 2 * ((y - mu) / mu - ln(y / mu)) END",
+    )
+
+
+def _terms(response: str) -> tuple[str, ...]:
+    return glm.LINE_TERMS if response == glm.WITHDRAWAL else glm.SPLINE_TERMS
+
+
+def _eta(p: int) -> str:
+    return " + ".join(f"x{i} * beta{i}" for i in range(p))
+
+
+def _irls(response: str) -> list[str]:
+    """CTEs obs -> beta."""
+    p = len(_terms(response))
+    start, mean, weight, slope, _, _ = _family(response)
     a = ", ".join(f"sum(w * x{i} * x{j}) AS a{i}{j}" for i in range(p) for j in range(p))
     b = ", ".join(f"sum(w * x{i} * z) AS b{i}" for i in range(p))
-    eta = " + ".join(f"x{i} * beta{i}" for i in range(p))
     betas = ", ".join(f"beta{i}" for i in range(p))
 
-    def step(eta_source: str) -> str:
-        return f"""SELECT product, step, {a}, {b} FROM (
-      SELECT *, {weight} AS w, eta + (y - mu) / ({slope}) AS z FROM (
-        SELECT *, {mean} AS mu FROM ({eta_source}))) GROUP BY product, step"""
+    def step(source: str) -> str:
+        sums = f"""(SELECT product, step, {a}, {b} FROM (
+      SELECT *, {weight} AS w, eta + (y - mu) / ({slope}) AS z FROM (SELECT *, {mean} AS mu FROM ({source})))
+      GROUP BY product, step)"""
+        return f"SELECT product, step, {betas} FROM {_eliminate(p, sums, 'product, step', {'b': 'beta'})}"
 
     first = f"SELECT o.*, 0 AS step, {start} AS eta FROM obs o"
-    later = f"SELECT o.*, s.step + 1 AS step, {eta} AS eta FROM obs o JOIN state s ON s.product = o.product WHERE s.step < {_STEPS}"
+    later = f"""SELECT o.*, s.step + 1 AS step, {_eta(p)} AS eta FROM obs o JOIN state s ON s.product = o.product
+      WHERE s.step < {_STEPS}"""
     return [
-        f"""state AS (
-  SELECT product, step, {betas} FROM {_solve_ctes(p).replace('(SELECT * FROM sums)', f'({step(first)})')}
-  UNION ALL
-  SELECT product, step, {betas} FROM {_solve_ctes(p).replace('(SELECT * FROM sums)', f'({step(later)})')})""",
+        f"state AS ({step(first)} UNION ALL {step(later)})",
         f"beta AS (SELECT product, {betas} FROM state WHERE step = {_STEPS})",
     ]
 
@@ -337,19 +376,118 @@ def _observations(response: str) -> list[str]:
     ]
 
 
-def _fit_ctes(response: str) -> list[str]:
-    p = 2 if response == glm.WITHDRAWAL else 5
-    family = "tweedie" if response == glm.RECEIPTS else "binomial"
-    prepared = [_TRAIN, _quartiles("train", "product"), _FLAGGED, *_observations(response)]
-    return sql.FEATURE_CTES + prepared + _irls(p, response, family)
+def _fit_ctes(response: str, train: list[str]) -> list[str]:
+    flagged = [_quartiles("train", "product"), _FLAGGED]
+    return sql.FEATURE_CTES + train + flagged + _observations(response) + _irls(response)
 
 
 def _fit_sql(response: str) -> str:
-    terms = glm.LINE_TERMS if response == glm.WITHDRAWAL else glm.SPLINE_TERMS
-    rows = [f"SELECT product, '{t}' AS term, round(beta{i}, 6) AS coef FROM beta" for i, t in enumerate(terms)]
-    return sql.with_ctes(_fit_ctes(response), "\nUNION ALL ".join(rows), recursive=True)
+    rows = [
+        f"SELECT product, '{t}' AS term, round(beta{i}, 6) AS coef FROM beta" for i, t in enumerate(_terms(response))
+    ]
+    return sql.with_ctes(_fit_ctes(response, [_TRAIN]), "\nUNION ALL ".join(rows), recursive=True)
+
+
+def _robust_sql(response: str) -> str:
+    """Sandwich errors: the inverse of the bread column by column, then the diagonal of the product."""
+    p = len(_terms(response))
+    _, mean, weight, _, score, _ = _family(response)
+    pairs = [(i, j) for i in range(p) for j in range(p)]
+    bread = ", ".join(f"sum(w * x{i} * x{j}) AS a{i}{j}" for i, j in pairs)
+    meat = ", ".join(f"sum(s * s * x{i} * x{j}) AS m{i}{j}" for i, j in pairs)
+    unit = ", ".join(f"{int(c == r)}::DOUBLE AS e{c}_{r}" for c in range(p) for r in range(p))
+    betas = ", ".join(f"b.beta{i}" for i in range(p))
+    carried = ", ".join(["product", *[f"beta{i}" for i in range(p)], *[f"m{i}{j}" for i, j in pairs]])
+    inverse = _eliminate(p, "(SELECT * FROM sandwich)", carried, {f"e{c}_": f"v{c}_" for c in range(p)})
+    variances = [" + ".join(f"v{i}_{j} * m{j}{k} * v{i}_{k}" for j, k in pairs) for i in range(p)]
+    rows = [
+        f"""SELECT product, '{response}' AS response, '{t}' AS term, round(beta{i}, 6) AS coef,
+  round(sqrt({variances[i]}), 6) AS se_hc0 FROM inverted"""
+        for i, t in enumerate(_terms(response))
+    ]
+    extra = [
+        f"""fitted AS (SELECT *, {weight} AS w, {score} AS s FROM (SELECT *, {mean} AS mu FROM (
+  SELECT o.*, {betas}, {_eta(p)} AS eta FROM obs o JOIN beta b ON b.product = o.product)))""",
+        f"""sandwich AS (SELECT product, {', '.join(f'any_value(beta{i}) AS beta{i}' for i in range(p))},
+  {bread}, {meat}, {unit} FROM fitted GROUP BY 1)""",
+        f"inverted AS (SELECT * FROM {inverse})",
+    ]
+    return sql.with_ctes(_fit_ctes(response, [_TRAIN]) + extra, "\nUNION ALL ".join(rows), recursive=True)
 
 
+def _diagnostics_sql(response: str) -> str:
+    column = glm.RESPONSE_COLUMN[response]
+    _, mean, _, _, _, deviance = _family(response)
+    family = "'binomial'" if response != glm.RECEIPTS else "CASE WHEN any_value(tweedie) THEN 'tweedie' ELSE 'gamma' END"
+    p = len(_terms(response))
+    body = f"""SELECT product, '{response}' AS response, {family} AS family, count(*) AS n_used,
+  (SELECT count({column}) FROM kept k WHERE k.product = f.product) - count(*) AS n_left_out, 'converged' AS status,
+  round(sum({deviance}), 4) AS deviance
+FROM (SELECT *, {mean} AS mu FROM (SELECT o.*, {_eta(p)} AS eta FROM obs o JOIN beta b ON b.product = o.product)) f GROUP BY product"""
+    return sql.with_ctes(_fit_ctes(response, [_TRAIN]), body, recursive=True)
+
+
+def _all_responses(build) -> str:
+    return "\nUNION ALL ".join(f"SELECT * FROM ({build(r)})" for r in (glm.OUTFLOW, glm.WITHDRAWAL, glm.RECEIPTS))
+
+
+def _table_ctes(train: list[str]) -> list[str]:
+    """CTEs train -> fitted: the ratios of every key ``product`` at ages 2..60 and all bins."""
+    ages = "(SELECT CAST(range AS INTEGER) AS age FROM range(2, 61)) ages"
+    curve = " + ".join(f"beta{m} * ({_basis('age', m + 1)})" for m in range(4))
+
+    def along(response: str) -> str:
+        body = f"SELECT c.product, age, {curve} AS eta, beta4 AS slope FROM curves c JOIN beta b ON b.product = c.product CROSS JOIN {ages}"
+        return f"(SELECT * FROM ({sql.with_ctes(_fit_ctes(response, train), body, recursive=True)}))"
+
+    line = sql.with_ctes(_fit_ctes(glm.WITHDRAWAL, train), "SELECT product, beta0, beta1 FROM beta", recursive=True)
+    return [
+        *sql.FEATURE_CTES, *train, *_REPS,
+        f"eta_out AS {along(glm.OUTFLOW)}",
+        f"eta_rec AS {along(glm.RECEIPTS)}",
+        f"line_wd AS (SELECT * FROM ({line}))",
+        """predicted AS (SELECT r.product, o.age AS months_since_start, r.bin_id,
+  exp(e.eta + e.slope * delta_to_best_buy) AS rec, 1 / (1 + exp(-(o.eta + o.slope * delta_to_best_buy))) AS outf,
+  1 / (1 + exp(-(beta0 + beta1 * delta_to_best_buy))) AS wd
+  FROM reps r JOIN eta_out o ON o.product = r.product JOIN eta_rec e ON e.product = r.product AND e.age = o.age
+  JOIN line_wd l ON l.product = r.product)""",
+        """fitted AS (SELECT product, months_since_start, bin_id, 100 * rec AS rec_pct,
+  100 * outf * (1 + rec) AS outflow_pct, 100 * (1 - wd) AS transfer_pct FROM predicted)""",
+    ]
+
+
+_WON = """split_part(t.product, '|', 1) = w.product AND split_part(t.product, '|', 2) = '0'
+  AND split_part(t.product, '|', 4)::INTEGER = w.grid_id"""
+_PREDICTED = ", ".join(f"round({c}, 2) AS {c}" for c in ("balance_pred", "receipts_pred", "withdrawals_pred", "transfers_pred"))
+
+# The whole search: every window and month-2 rule is a key of its own, "product|window|rule", and every table
+# "product|window|rule|configuration".
+_SEARCH_TRAIN = [
+    _WINDOWED.replace("train AS", "windowed AS"),
+    "train AS (SELECT * REPLACE (product || '|' || window_id || '|' || drop_month2 AS product) FROM windowed)",
+]
+_SEARCH = [
+    *_table_ctes(_SEARCH_TRAIN),
+    _GRID,
+    """tables AS (SELECT f.* REPLACE (f.product || '|' || grid_id AS product) FROM fitted f
+  JOIN grid ON split_part(f.product, '|', 3) = drop_month2::VARCHAR AND months_since_start <= month_end)""",
+    f"""months(window_id, start) AS (VALUES (0, DATE '{CUTOFF}'),
+  {', '.join(f"({i + 1}, DATE '{CUTOFF}' - INTERVAL {m} MONTH)" for i, m in enumerate(FOLD_OFFSETS))})""",
+    """runs AS (SELECT f.* REPLACE (f.product || '|' || window_id || '|' || drop_month2 || '|' || grid_id AS product)
+  FROM features f CROSS JOIN grid JOIN months ON reporting_period >= start)""",
+    *sql.projection_ctes("runs", "tables"),
+    f"""flows AS (SELECT split_part(product, '|', 1) AS product, split_part(product, '|', 2)::INTEGER AS window_id,
+  split_part(product, '|', 4)::INTEGER AS grid_id, reporting_period, sum(balance) AS a, coalesce(sum(balance_pred), 0) AS p
+  FROM projected WHERE cohort <= DATE '{LAST_COHORT}' GROUP BY ALL)""",
+    """scored AS (SELECT product, window_id, grid_id, avg(CASE WHEN a <> 0 THEN abs(a - p) / abs(a) END) * 100 AS mape,
+  sqrt(avg(pow(a - p, 2))) AS rmse FROM flows GROUP BY 1, 2, 3)""",
+    """trials AS (SELECT product, grid_id, max(mape) FILTER (window_id = 0) AS val_mape,
+  max(rmse) FILTER (window_id = 0) AS val_rmse, avg(mape) FILTER (window_id <> 0) AS cv_mape,
+  count(mape) FILTER (window_id <> 0) AS n_folds FROM scored GROUP BY 1, 2)""",
+    """winners AS (SELECT * FROM trials
+  QUALIFY row_number() OVER (PARTITION BY product ORDER BY val_mape NULLS LAST, grid_id) = 1)""",
+]
+
 SQL = {
     "split_train_test": sql.with_ctes(
         sql.FEATURE_CTES,
@@ -397,4 +535,49 @@ WHERE drop_month2 AND age <= month_end GROUP BY 1, 2, 3""",
     "glm_outflow": _fit_sql(glm.OUTFLOW),
     "glm_withdrawal": _fit_sql(glm.WITHDRAWAL),
     "glm_receipts": _fit_sql(glm.RECEIPTS),
+    "glm_robust_se": _all_responses(_robust_sql),
+    "glm_diagnostics": _all_responses(_diagnostics_sql),
+    "fitted_ratios": sql.with_ctes(
+        _table_ctes([_TRAIN]),
+        "SELECT product, months_since_start, bin_id, "
+        + ", ".join(f"round({r}, 6) AS {r}" for r in ratio_tables.RATIOS)
+        + " FROM fitted",
+        recursive=True,
+    ),
+    "fitted_projection": sql.with_ctes(
+        _table_ctes([_TRAIN])
+        + [f"batch AS (SELECT * FROM features WHERE reporting_period >= DATE '{CUTOFF}')"]
+        + sql.projection_ctes("batch", "fitted"),
+        f"SELECT strftime(cohort, '%Y-%m') AS cohort, product, months_since_start, balance, {_PREDICTED} FROM projected",
+        recursive=True,
+    ),
+    "glm_grid_search": sql.with_ctes(
+        _SEARCH,
+        """SELECT product, grid_id, n_folds, round(val_mape, 4) AS val_mape, round(val_rmse, 2) AS val_rmse,
+  round(cv_mape, 4) AS cv_mape FROM trials""",
+        recursive=True,
+    ),
+    "ratio_table": sql.with_ctes(
+        _SEARCH,
+        f"""SELECT w.product, months_since_start, {sql.label_case('bin_id')} AS rate_bin,
+  {', '.join(f'round({r}, 6) AS {r}' for r in ratio_tables.RATIOS)} FROM tables t JOIN winners w ON {_WON}""",
+        recursive=True,
+    ),
+    "best_trained": sql.with_ctes(
+        _SEARCH
+        + [
+            f"""naive AS (SELECT product, avg(abs(balance - balance_lag_1) / abs(balance)) * 100 AS baseline FROM features
+  WHERE reporting_period < DATE '{CUTOFF}' AND balance <> 0 GROUP BY 1)"""
+        ],
+        """SELECT w.product, grid_id, round(val_mape, 4) AS mape_balance, val_mape < baseline AS beats_baseline
+FROM winners w JOIN naive n ON n.product = w.product""",
+        recursive=True,
+    ),
+    "trained_scores": sql.with_ctes(
+        _SEARCH,
+        f"""SELECT strftime(cohort, '%Y-%m') AS cohort, w.product, months_since_start, balance, {_PREDICTED},
+  months_since_start <> 1 AND balance_lag_1 IS NOT NULL AND rec IS NULL AS missing_ratio
+FROM projected t JOIN winners w ON {_WON}""",
+        recursive=True,
+    ),
 }
