@@ -44,7 +44,8 @@ def rate_bin(gap: Column, edges: tuple[float, ...] = RATE_EDGES) -> Column:
 
 
 def rate_label(bin_id: Column, labels: tuple[str, ...] = RATE_LABELS) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), bin_id + 1)
+    named = F.element_at(F.array(*[F.lit(x) for x in labels]), bin_id + 1)
+    return F.when(bin_id.isNotNull(), named)
 
 
 def rate_midpoints(edges: tuple[float, ...] = RATE_EDGES) -> list[float]:
