@@ -31,8 +31,8 @@ def market_category(category: Column, mapping: Mapping[str, str] | None) -> Colu
 def label_accounts(accounts: DataFrame, products: DataFrame | None, rates: DataFrame) -> DataFrame:
     """Months, product category, age; only assigned categories and months the rate table covers.
 
-    ``products`` (product_code, category) is a small file: the planner broadcasts it by its size. The covered range is
-    a scalar subquery, so it filters the accounts before anything is shuffled.
+    ``products`` (product_code, category) is a file or written table: the planner broadcasts it when its size allows.
+    The covered range is a scalar subquery, so it filters the accounts before anything is shuffled.
     """
     labelled = accounts.withColumn("reporting_period", month_start(F.col("reporting_period"))).withColumn(
         "cohort", month_start(F.col("opening_date"))

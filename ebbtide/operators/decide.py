@@ -164,6 +164,18 @@ def champion_versus_challenger(log: DataFrame) -> DataFrame:
     )
 
 
+def decision_events(decided: DataFrame, decided_at: str) -> DataFrame:
+    """Log rows for decided promotions: the challenger's registration and its promotion or rejection."""
+    outcome = F.when(F.col("promoted"), PROMOTED).otherwise(REJECTED)
+    return decided.select(
+        "model_name",
+        F.col("challenger_version").alias("version"),
+        F.explode(F.array(F.lit(REGISTERED), outcome)).alias("event"),
+        F.lit(decided_at).cast("timestamp").alias("event_ts"),
+        F.col("challenger_metric").alias("metric"),
+    )
+
+
 def prior_champion(log: DataFrame) -> DataFrame:
     """The version to fall back to per model: the highest promoted one that is not the champion now."""
     champions = alias_state(log).select("model_name", "champion_version")

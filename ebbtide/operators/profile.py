@@ -26,8 +26,8 @@ def profile(
 ) -> DataFrame:
     """Rows, nulls, extremes, mean, deviation, distinct values and quartiles per window, slice and column.
 
-    Columns are unpivoted, so all of them go through one aggregation. Distinct values are counted in two steps by
-    Spark and quartiles by ``exact_quantiles``, so neither gathers a large slice in one task.
+    Columns are unpivoted, so all of them go through one aggregation. Distinct values are counted apart, since only
+    they shuffle by value, and quartiles by ``exact_quantiles``: neither gathers a large slice in one task.
     """
     keys = [*slices]
     rows = df
@@ -44,9 +44,11 @@ def profile(
         F.max("value").alias("maximum"),
         F.avg("value").alias("mean"),
         F.stddev("value").alias("deviation"),
-        F.countDistinct("value").alias("n_distinct"),
+    )
+    distinct = (
+        values.select(*keys, "value").distinct().groupBy(*keys).agg(F.count("value").alias("n_distinct"))
     )
     quartiles = exact_quantiles(values, keys, "value", QUARTILES).select(
         *keys, *[F.col("quantiles")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
     )
-    return null_safe_join(summary, quartiles, keys, "left")
+    return null_safe_join(null_safe_join(summary, distinct, keys), quartiles, keys, "left")

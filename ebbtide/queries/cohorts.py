@@ -9,6 +9,7 @@ from ebbtide.functions.dates import age_in_months, month_start, month_text
 from ebbtide.operators import cohort
 from ebbtide.queries import base_sql as sql
 from ebbtide.queries import inputs
+from ebbtide.session import materialize
 from ebbtide.sources import sample_views as views
 
 # Product categories given to the five market segments in the mapping query.
@@ -58,7 +59,10 @@ def month_ages(spark, sf_dir):
 
 
 def category_map(spark, sf_dir):
-    products = spark.createDataFrame(list(SEGMENT_CATEGORY.items()), "product_code string, category string")
+    # Written, so that the planner sees how small the map is and broadcasts it instead of shuffling by five keys.
+    products = materialize(
+        spark.createDataFrame(list(SEGMENT_CATEGORY.items()), "product_code string, category string"), "products"
+    )
     accounts = inputs.accounts_table(spark, sf_dir)
     labelled = cohort.label_accounts(accounts, products, views.best_buy(accounts))
     return labelled.select(

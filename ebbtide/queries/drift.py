@@ -11,6 +11,7 @@ from ebbtide.plans import dashboards, monitoring, scoring
 from ebbtide.queries import base_sql as sql
 from ebbtide.queries import inputs
 from ebbtide.queries.modelling import CUTOFF
+from ebbtide.session import materialize
 from ebbtide.sources.sample_views import read_table
 
 # Lines shipped before the day are the reference of the line drift; the columns compared.
@@ -91,15 +92,16 @@ def _baselines(feats):
         ops.freeze_baseline(feats.filter(F.col("product") <= p), v, stamp)
         for v, stamp, p in (("1", "2024-01-01 00:00:00", "Z"), ("2", "2024-02-01 00:00:00", "FURNITURE"))
     ]
-    return kept[0].unionByName(kept[1])
+    return materialize(kept[0].unionByName(kept[1]), "baselines")
 
 
 def baseline_lookup(spark, sf_dir):
     """The baseline the newest batch is compared with: its own, else the newest."""
     feats = inputs.features_table(spark, sf_dir)
     served = scoring.served_version(inputs.predictions(feats))
-    missing = ops.baseline_for(_baselines(feats), served).withColumn("served", F.lit("3"))
-    present = ops.baseline_for(_baselines(feats), "1").withColumn("served", F.lit("1"))
+    baselines = _baselines(feats)
+    missing = ops.baseline_for(baselines, served).withColumn("served", F.lit("3"))
+    present = ops.baseline_for(baselines, "1").withColumn("served", F.lit("1"))
     rows = missing.unionByName(present)
     return rows.groupBy("served", "model_version").agg(
         F.count("*").alias("n_rows"), F.sum("n_accounts").alias("n_accounts"), F.max("int_rate").alias("max_rate")

@@ -34,6 +34,12 @@ def promotion_decision(spark, sf_dir):
     return rows.withColumn("improvement_pct", F.round("improvement_pct", 6))
 
 
+def decision_events(spark, sf_dir):
+    decided = ops.promotion(ops.champion_versus_challenger(inputs.version_log(spark, sf_dir)))
+    rows = ops.decision_events(decided, "2024-02-01 00:00:00")
+    return rows.withColumn("event_ts", F.date_format("event_ts", "yyyy-MM-dd"))
+
+
 def prior_champion(spark, sf_dir):
     return ops.prior_champion(inputs.version_log(spark, sf_dir))
 
@@ -102,7 +108,7 @@ def run_summary(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        alias_state, version_listing, promotion_decision, prior_champion, best_run, latest_approval, challenger_gate,
+        alias_state, version_listing, promotion_decision, decision_events, prior_champion, best_run, latest_approval, challenger_gate,
         model_card, run_summary,
     )
 }
@@ -130,6 +136,11 @@ def _latest_stage(event: str, key: str) -> str:
     return f"coalesce(arg_max(props, (ts, event_id)) FILTER (event_type = '{event}'), '{MISSING}') AS {key}"
 
 
+_PAIRS = """pairs AS (SELECT a.model_name, challenger_version, n.value AS challenger_metric, champion_version,
+  o.value AS champion_metric, (o.value - n.value) / o.value * 100 AS pct
+  FROM aliases a LEFT JOIN events n ON n.event_id = challenger_version LEFT JOIN events o ON o.event_id = champion_version)"""
+_PROMOTED = "champion_version IS NULL OR coalesce(champion_metric, 0) = 0 OR coalesce(pct >= 15, false)"
+
 SQL = {
     "alias_state": sql.with_ctes(_LOG, "SELECT * FROM aliases"),
     "version_listing": sql.with_ctes(
@@ -137,17 +148,18 @@ SQL = {
         "SELECT * REPLACE (strftime(registered_ts, '%Y-%m-%d %H:%M:%S') AS registered_ts) FROM listing",
     ),
     "promotion_decision": sql.with_ctes(
-        _LOG
-        + [
-            """pairs AS (SELECT a.model_name, challenger_version, n.value AS challenger_metric, champion_version,
-  o.value AS champion_metric, (o.value - n.value) / o.value * 100 AS pct
-  FROM aliases a LEFT JOIN events n ON n.event_id = challenger_version LEFT JOIN events o ON o.event_id = champion_version)"""
-        ],
-        """SELECT model_name, challenger_version, challenger_metric, champion_version, champion_metric,
-  round(pct, 6) AS improvement_pct, champion_version IS NULL OR champion_metric = 0 OR pct >= 15 AS promoted,
-  CASE WHEN champion_version IS NULL THEN 'no champion yet' WHEN champion_metric = 0 THEN 'champion has no comparable metric'
+        _LOG + [_PAIRS],
+        f"""SELECT model_name, challenger_version, challenger_metric, champion_version, champion_metric,
+  round(pct, 6) AS improvement_pct, {_PROMOTED} AS promoted,
+  CASE WHEN champion_version IS NULL THEN 'no champion yet' WHEN coalesce(champion_metric, 0) = 0 THEN 'champion has no comparable metric'
        WHEN pct >= 15 THEN 'improvement reaches the threshold' ELSE 'improvement below the threshold' END AS reason FROM pairs""",
     ),
+    "decision_events": sql.with_ctes(
+        _LOG + [_PAIRS],
+        f"""SELECT model_name, challenger_version AS version, unnest(['registered',
+  CASE WHEN {_PROMOTED} THEN 'promoted' ELSE 'rejected' END]) AS event, '2024-02-01' AS event_ts,
+  challenger_metric AS metric FROM pairs""",
+    ),
     "prior_champion": sql.with_ctes(
         _LOG,
         """SELECT l.model_name, champion_version, max(version) AS prior_champion_version FROM version_log l

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.operators import maintain, profile
 from ebbtide.queries import base_sql as sql
 from ebbtide.queries import inputs
+from ebbtide.schemas import RATIO_TABLES
 from ebbtide.session import new_table_path
 from ebbtide.sources import readers, writers
 from ebbtide.sources.sample_views import read_table
@@ -86,6 +87,16 @@ def feature_snapshots(spark, sf_dir):
     )
 
 
+def ratio_store(spark, sf_dir):
+    """Two versions appended to the ratio table store; the tables of the newer one read back by its version."""
+    table = inputs.given_ratios(inputs.features_table(spark, sf_dir))
+    path = new_table_path(spark, "ratio_store")
+    for version in ("1", "2"):
+        writers.append(table.withColumn("model_version", F.lit(version)), path, RATIO_TABLES, ["model_version"])
+    stored = spark.read.schema(RATIO_TABLES).parquet(path)
+    return stored.filter(F.col("model_version") == stored.agg(F.max("model_version")).scalar())
+
+
 def csv_export(spark, sf_dir):
     """Customers exported as CSV and read back with a schema."""
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
@@ -100,7 +111,7 @@ QUERIES.update(
         f.__name__: f
         for f in (
             table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, compact_table, log_evolution,
-            feature_snapshots, csv_export,
+            feature_snapshots, ratio_store, csv_export,
         )
     }
 )
@@ -145,6 +156,9 @@ FROM orders""",
   CAST(sum(CAST(balance AS DECIMAL(20,2))) AS DOUBLE) AS balance
 FROM features CROSS JOIN (VALUES ('2024-01-01'), ('2024-02-01')) v(snapshot) GROUP BY ALL""",
         ),
+        "ratio_store": sql.with_ctes(
+            sql.FEATURE_CTES + sql.GIVEN_RATIO_CTES, "SELECT *, '2' AS model_version FROM given"
+        ),
         "csv_export": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
     }
 )

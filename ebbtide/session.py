@@ -10,8 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_SHARED: dict[str, str] = {}
 
 
-def build_session(app_name: str = "ebbtide", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators are written for. On a cluster, pass no master."""
+def shuffle_partitions(input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions to start from for an input of that size; adaptive execution merges the small ones."""
+    return max(200, -(-input_bytes // partition_bytes))
+
+
+def build_session(
+    app_name: str = "ebbtide", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the operators are written for.
+
+    On a cluster, pass no master, and the size of the largest input: the default of 200 shuffle partitions would
+    give each task far more than fits in memory.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -21,8 +32,10 @@ def build_session(app_name: str = "ebbtide", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
-        **conf,
     }
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -45,7 +58,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/ebbtide/{name}-{uuid.uuid4().hex}"
+    """A path nobody used before, in a folder of this application's own: the whole folder can go when it has ended."""
+    return f"{shared_folder(spark)}/ebbtide/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
