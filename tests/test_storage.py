@@ -95,3 +95,17 @@ def test_compaction_keeps_content_and_splits_a_hot_value(spark, folder):
 def test_materialize_goes_to_the_shared_folder(spark):
     df = materialize(spark.range(5), "numbers")
     assert df.count() == 5 and all(f.startswith(f"file:{shared_folder(spark)}") for f in (p.replace("file://", "file:") for p in df.inputFiles()))
+
+
+def test_maintenance_reports_every_table(spark, folder):
+    from ebbtide.plans import maintenance
+
+    paths = {}
+    for table in ("drift_results", "model_cards"):
+        paths[table] = f"{folder}/{table}"
+        spark.range(50).select(F.col("id").cast("string").alias("feature"), F.lit("t").alias("run_timestamp")).write.parquet(paths[table])
+    report = maintenance.rewrite_all(spark, paths).collect()
+    assert [r.table for r in report] == list(paths) and all(r.same_content and r.rows_after == 50 for r in report)
+    assert spark.read.parquet(report[0].rewritten).count() == 50
+    with pytest.raises(ValueError):
+        maintenance.rewrite_all(spark, {})
