@@ -35,8 +35,10 @@ def working_weight(family: Column, mu: Column) -> Column:
     return F.when(is_binomial(family), mu * (1 - mu)).when(family == TWEEDIE, F.sqrt(mu)).otherwise(F.lit(1.0))
 
 
-def working_response(family: Column, y: Column, eta: Column, mu: Column) -> Column:
-    return eta + (y - mu) / F.when(is_binomial(family), mu * (1 - mu)).otherwise(mu)
+def newton_weight(family: Column, y: Column, mu: Column) -> Column:
+    """Second derivative of half the deviance along the linear predictor; positive in all three families."""
+    tweedie = (F.sqrt(mu) + y / F.sqrt(mu)) / 2
+    return F.when(is_binomial(family), mu * (1 - mu)).when(family == TWEEDIE, tweedie).otherwise(y / mu)
 
 
 def score(family: Column, y: Column, mu: Column) -> Column:

@@ -25,6 +25,7 @@ RESPONSE_COLUMN = {OUTFLOW: "outflow_prop", WITHDRAWAL: "withdrawal_prop_of_outf
 SPLINE_TERMS = ("spline_1", "spline_2", "spline_3", "spline_4", "delta_to_best_buy")
 LINE_TERMS = ("intercept", "delta_to_best_buy")
 N_TERMS = len(SPLINE_TERMS)
+FISHER_STEPS = 3
 PATIENCE = 25
 ACTIVE, CONVERGED, FAILED, STOPPED = "active", "converged", "failed", "stopped"
 _PAIRS = [(i, j) for i in range(N_TERMS) for j in range(i, N_TERMS)]
@@ -140,14 +141,20 @@ def _products(weight: Column) -> Column:
     return F.array(*[F.sum(weight * F.col(f"x{i + 1}") * F.col(f"x{j + 1}")) for i, j in _PAIRS])
 
 
-def _normal_equations(obs: DataFrame, eta: Column, keys: Sequence[str], carried: Sequence[Column] = ()) -> DataFrame:
-    """One aggregated row per model: X'WX, X'Wz and the deviance at ``eta``."""
+def _normal_equations(
+    obs: DataFrame, eta: Column, keys: Sequence[str], newton: bool = False, carried: Sequence[Column] = ()
+) -> DataFrame:
+    """One aggregated row per model: X'WX, X'Wz and the deviance at ``eta``.
+
+    The weights are the expected curvature (Fisher scoring) or the observed one (Newton).
+    """
     family, y, mu = F.col("family"), F.col("y"), F.col("mu")
+    weight = families.newton_weight(family, y, mu) if newton else families.working_weight(family, mu)
     worked = (
         obs.withColumn("eta", eta)
         .withColumn("mu", families.mean_of(family, F.col("eta")))
-        .withColumn("w", families.working_weight(family, mu))
-        .withColumn("z", families.working_response(family, y, F.col("eta"), mu))
+        .withColumn("w", weight)
+        .withColumn("z", F.col("eta") + families.score(family, y, mu) / F.col("w"))
         .withColumn("d", families.deviance(family, y, mu))
     )
     return worked.groupBy(*keys).agg(
@@ -158,12 +165,14 @@ def _normal_equations(obs: DataFrame, eta: Column, keys: Sequence[str], carried:
     )
 
 
-def fit(obs: DataFrame, keys: Sequence[str], max_iterations: int = 100, tolerance: float = 1e-10) -> DataFrame:
+def fit(obs: DataFrame, keys: Sequence[str], max_iterations: int = 100, tolerance: float = 1e-7) -> DataFrame:
     """Coefficients of every model: ``beta``, ``deviance``, ``iterations``, ``status``.
 
-    ``obs`` is read once per iteration, so pass a written or cached table. Runs one job per iteration; a model leaves
-    the loop when its coefficients settle or its equations stop being finite. Coefficients along a flat direction may
-    never settle: after ``PATIENCE`` iterations a settled deviance is enough.
+    ``obs`` is read once per iteration, so pass a written or cached table. Runs one job per iteration. The first
+    ``FISHER_STEPS`` iterations are Fisher scoring, which is safe from afar; then Newton, which squares the error in
+    each step, so coefficients that moved by 1e-7 are good to some 1e-13. A model leaves the loop when its
+    coefficients settle or its equations stop being finite. Coefficients along a flat direction may never settle: after
+    ``PATIENCE`` iterations a settled deviance is enough.
     """
     keys = list(keys)
     finite = ~F.exists("beta", lambda b: F.isnan(b) | b.isNull())
@@ -191,11 +200,13 @@ def fit(obs: DataFrame, keys: Sequence[str], max_iterations: int = 100, toleranc
             *keys, F.col("beta").alias("_beta"), F.col("deviance").alias("_before")
         )
         carried = [F.first("_beta").alias("_beta"), F.first("_before").alias("_before")]  # constant within a model
-        equations = _normal_equations(obs.join(known, keys), _linear_predictor(F.col("_beta")), keys, carried)
+        equations = _normal_equations(
+            obs.join(known, keys), _linear_predictor(F.col("_beta")), keys, iteration > FISHER_STEPS, carried
+        )
         moved = F.array_max(F.zip_with("beta", "_beta", lambda b, a: F.abs(b - a) / (F.abs(a) + 0.1)))
         settled = moved <= tolerance
         if iteration > PATIENCE:
-            settled |= F.abs(F.col("deviance") - F.col("_before")) <= tolerance * (F.abs("deviance") + 0.1)
+            settled |= F.abs(F.col("deviance") - F.col("_before")) <= 1e-10 * (F.abs("deviance") + 0.1)
         state, active = advance(equations, iteration, settled)
         done.append(state.filter(F.col("status") != ACTIVE))
     result = done[0]
@@ -243,10 +254,10 @@ def fit_responses(
 ) -> DataFrame:
     """Fit the three models of every key: frames (family, knots) with coefficients beside them.
 
-    ``train`` holds the training rows with their ``keep_`` flags.
+    ``train`` holds the training rows with their ``keep_`` flags; pass a written table, since it is read twice.
     """
     keys = list(keys)
-    rows = materialize(model_rows(train, keys, trimmed), "model_rows")
+    rows = model_rows(train, keys, trimmed)
     frames = materialize(model_frames(rows, keys), "model_frames")
     obs = materialize(design(rows, frames, keys), "design")
     models = fit(obs, [*keys, "response"])

@@ -26,7 +26,7 @@ def _cohort_month():
 
 def _train_rows(spark, sf_dir, offsets=()):
     """Flagged training rows: the main window, with and without age 2, and the folds asked for."""
-    features = inputs.features(spark, sf_dir)
+    features = inputs.features_table(spark, sf_dir)
     rows = prep.outlier_flags(prep.training_windows(features, CUTOFF, offsets), prep.WINDOW_KEYS)
     return materialize(rows, "train_rows")
 
@@ -37,7 +37,7 @@ def split_train_test(spark, sf_dir):
 
 
 def iqr_outliers(spark, sf_dir):
-    train = prep.split(inputs.features(spark, sf_dir), CUTOFF, drop_month2=True).filter("is_train")
+    train = prep.split(inputs.features_table(spark, sf_dir), CUTOFF, drop_month2=True).filter("is_train")
     return prep.outlier_flags(train).select(_cohort_month(), "product", "months_since_start", *_FLAGS)
 
 
@@ -153,7 +153,7 @@ def fitted_projection(spark, sf_dir):
 
 
 def _training(spark, sf_dir):
-    features = materialize(inputs.features(spark, sf_dir), "features")
+    features = inputs.features_table(spark, sf_dir)
     return training.train(features, CUTOFF, LAST_COHORT)
 
 
@@ -174,7 +174,7 @@ def glm_grid_search(spark, sf_dir):
 
 def best_trained(spark, sf_dir):
     """The winner of the search beside the naive baseline."""
-    features = materialize(inputs.features(spark, sf_dir), "features")
+    features = inputs.features_table(spark, sf_dir)
     run = training.train(features, CUTOFF, LAST_COHORT)
     baseline = metrics.naive_baseline(features, F.col("reporting_period") < F.lit(CUTOFF).cast("date"))
     judged = metrics.against_baseline(run.best.withColumnRenamed("val_mape", "mape_balance"), baseline)
@@ -183,7 +183,7 @@ def best_trained(spark, sf_dir):
 
 def trained_scores(spark, sf_dir):
     """End to end: the fitted, selected ratio tables score the months after the cut-off."""
-    features = materialize(inputs.features(spark, sf_dir), "features")
+    features = inputs.features_table(spark, sf_dir)
     run = training.train(features, CUTOFF, LAST_COHORT)
     served = training.served_ratios(run.ratios, run.best)
     scored = project.score(project.between_periods(features, CUTOFF, None), served)
