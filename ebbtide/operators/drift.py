@@ -23,11 +23,9 @@ from ebbtide.session import materialize
 
 def long_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value) rows. Text that is no number becomes null, and nulls and NaN are left out."""
-    pairs = [F.struct(F.lit(c).alias("feature"), F.expr(f"try_cast(`{c}` AS DOUBLE)").alias("value")) for c in columns]
-    return (
-        df.select(F.explode(F.array(*pairs)).alias("_p"))
-        .select("_p.*")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    numbers = df.select(*[F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in columns])
+    return numbers.unpivot([], list(columns), "feature", "value").filter(
+        F.col("value").isNotNull() & ~F.isnan("value")
     )
 
 
@@ -39,16 +37,22 @@ def bucket_edges(reference: DataFrame, columns: Sequence[str], buckets: int = PS
     return quantiles.select("feature", F.array_distinct("quantiles").alias("edges"))
 
 
-def _bucket(value: Column, edges: Column, buckets: int) -> Column:
-    """Bucket number, left-closed, the last one closed on both sides; null outside the edges."""
-    reached = F.lit(0)
-    for i in range(buckets + 1):
-        reached = reached + F.coalesce((value >= F.get(edges, F.lit(i))).cast("int"), F.lit(0))
-    last = F.size(edges)
-    return (
-        F.when(value == F.element_at(edges, -1), last - 1)
-        .when((reached >= 1) & (reached < last), reached)
-    )
+def _bucket(value: Column, edges: Column, n_edges: Column, buckets: int) -> Column:
+    """Bucket number, left-closed, the last one closed on both sides; null outside the edges.
+
+    ``edges`` has ``buckets + 1`` entries, infinite beyond the ``n_edges`` real ones. The comparisons are nested as a
+    binary search: four per value for ten buckets.
+    """
+
+    def reached(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= edges[middle], reached(middle + 1, high)).otherwise(reached(low, middle))
+
+    count = reached(0, buckets + 1)
+    inside = F.when((count >= 1) & (count < n_edges), count)
+    return F.when(value == F.col("last_edge"), n_edges - 1).otherwise(inside)
 
 
 def psi(
@@ -61,14 +65,21 @@ def psi(
     bucket before the shuffle. Runs one job for the edges, which are written so that the planner knows how small they
     are.
     """
-    edges = materialize(bucket_edges(reference, columns, buckets), "edges")
+    padding = F.array_repeat(F.lit(float("inf")), buckets + 1 - F.size("edges"))
+    edges = materialize(
+        bucket_edges(reference, columns, buckets).select(
+            "feature", F.concat("edges", padding).alias("edges"), F.size("edges").alias("n_edges"),
+            F.element_at("edges", -1).alias("last_edge"),
+        ),
+        "edges",
+    )
     sides = long_features(reference, columns).withColumn("is_reference", F.lit(True)).unionByName(
         long_features(current, columns).withColumn("is_reference", F.lit(False))
     )
-    n_edges = F.size("edges").alias("n_edges")
     counts = materialize(
         sides.join(edges, "feature")
-        .groupBy("feature", n_edges, _bucket(F.col("value"), F.col("edges"), buckets).alias("bucket"))
+        .withColumn("bucket", _bucket(F.col("value"), F.col("edges"), F.col("n_edges"), buckets))
+        .groupBy("feature", "n_edges", "bucket")
         .agg(F.count_if("is_reference").alias("r"), F.count_if(~F.col("is_reference")).alias("c")),
         "bucket_counts",
     )

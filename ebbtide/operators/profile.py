@@ -26,6 +26,8 @@ def profile(
 ) -> DataFrame:
     """Rows, nulls, extremes, mean, deviation, distinct values and quartiles per window, slice and column.
 
+    A column is either a slice or profiled, not both.
+
     Columns are unpivoted, so all of them go through one aggregation. Distinct values are counted apart, since only
     they shuffle by value, and quartiles by ``exact_quantiles``: neither gathers a large slice in one task.
     """
@@ -34,8 +36,8 @@ def profile(
     if timestamp is not None:
         keys = ["window_start", *keys]
         rows = rows.withColumn("window_start", _window(F.col(timestamp), granularity))
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
-    values = rows.select(*keys, F.explode(F.array(*pairs)).alias("_p")).select(*keys, "_p.*")
+    numbers = rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    values = numbers.unpivot(keys, list(columns), "column_name", "value")
     keys = [*keys, "column_name"]
     summary = values.groupBy(*keys).agg(
         F.count("*").alias("n_rows"),

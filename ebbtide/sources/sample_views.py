@@ -26,7 +26,7 @@ def account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def hundredths(name: str) -> Column:
-        return F.round(F.col(name) * 100).cast("long")
+        return F.rint(F.col(name) * 100).cast("long")
 
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
