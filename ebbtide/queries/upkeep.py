@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators import maintain, profile
+from ebbtide.plans import dashboards
 from ebbtide.queries import base_sql as sql
 from ebbtide.queries import inputs
 from ebbtide.schemas import RATIO_TABLES
@@ -59,6 +60,11 @@ def dataset_versions(spark, sf_dir):
     )
 
 
+def dash_dataset_history(spark, sf_dir):
+    history = dashboards.dataset_history(_manifests(spark, sf_dir)).drop("content_hash")
+    return history.withColumn("recorded_at", F.date_format("recorded_at", "yyyy-MM-dd"))
+
+
 def compact_table(spark, sf_dir):
     """Order lines rewritten by part and ship date; the content must not change."""
     target = new_table_path(spark, "compacted")
@@ -110,7 +116,7 @@ QUERIES.update(
     {
         f.__name__: f
         for f in (
-            table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, compact_table, log_evolution,
+            table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, dash_dataset_history, compact_table, log_evolution,
             feature_snapshots, ratio_store, csv_export,
         )
     }
@@ -147,6 +153,11 @@ SQL.update(
   'test' AS environment, '2024-01-31' AS recorded_at FROM {t}"""
             for t, n in _WIDTHS.items()
         ),
+        "dash_dataset_history": " UNION ALL ".join(
+            f"""SELECT '{t}' AS dataset_name, '{t}.parquet' AS source_table, count(*) AS row_count,
+  'test' AS environment, '2024-01-31' AS recorded_at FROM {t}"""
+            for t in TABLES
+        ),
         "compact_table": "SELECT count(*) AS rows_before, count(*) AS rows_after, true AS same_content FROM lineitem",
         "log_evolution": """SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice >= 250000 THEN o_orderstatus END AS o_orderstatus
 FROM orders""",

@@ -93,6 +93,11 @@ BASELINES = _schema(
     "int_rate double, best_buy double, delta_to_best_buy double, tenure_months double, n_accounts bigint, "
     "model_version string, baseline_frozen_at timestamp"
 )
+PREDICTION_BASELINES = _schema(
+    "balance_pred double, rec_pct_pred double, outflow_pct_pred double, transfer_pct_pred double, "
+    "model_version string, baseline_frozen_at timestamp"
+)
+VERSION_LOG = _schema("model_name string, version int, event string, event_ts timestamp, metric double")
 RATIO_TABLES = _schema(
     "product string, model_version string, months_since_start int, bin_id int, rate_bin string, rec_pct double, "
     "outflow_pct double, transfer_pct double"
@@ -117,6 +122,8 @@ TABLES: dict[str, T.StructType] = {
     "deployment_history": DEPLOYMENTS,
     "rollback_events": ROLLBACKS,
     "reference_feature_snapshot": BASELINES,
+    "reference_prediction_snapshot": PREDICTION_BASELINES,
+    "model_versions": VERSION_LOG,
     "training_ratio_tables": RATIO_TABLES,
 }
 

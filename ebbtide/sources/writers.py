@@ -28,7 +28,7 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
@@ -40,7 +40,7 @@ def upsert_table(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """
     spark = df.sparkSession
     assert_unique(df, keys)
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         df.write.parquet(path)
         return spark.read.parquet(path)
     merged = materialize(keyed_upsert(read_log(spark, path), df, keys), "upsert")
