@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.constants import DRIFT_PREDICTIONS, FOLD_OFFSETS, MATRIX_KEYS, MODEL_FEATURES, MODEL_LABELS, PARAM_GRID
 from ebbtide.operators import cohort, decide, drift, maintain, metrics, project, quality
 from ebbtide.operators.prep import MAIN_WINDOW
-from ebbtide.plans import monitoring, scoring, training
+from ebbtide.plans import monitoring, training
 from ebbtide.session import materialize
 from ebbtide.sources.readers import require_rows
 from ebbtide.sources.store import Store

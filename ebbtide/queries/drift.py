@@ -144,8 +144,9 @@ def psi_ctes(name: str, columns, reference: str, reference_where: str, current:
         f"""{name}_shares AS (SELECT feature, n_edges,
   CASE WHEN r = 0 THEN 0.0001::DOUBLE ELSE r / sum(r) OVER (PARTITION BY feature) END AS rs,
   CASE WHEN c = 0 THEN 0.0001::DOUBLE ELSE c / sum(c) OVER (PARTITION BY feature) END AS cs FROM {name}_counts)""",
-        f"""{name} AS (SELECT feature, CASE WHEN max(n_edges) < 3 THEN 0 ELSE sum((cs - rs) * ln(cs / rs)) END AS psi
-  FROM {name}_shares GROUP BY 1)""",
+        f"""{name} AS (SELECT e.feature, CASE WHEN n < 3 THEN 0 ELSE psi END AS psi
+  FROM (SELECT feature, count(*) AS n FROM {name}_edges GROUP BY 1) e
+  LEFT JOIN (SELECT feature, sum((cs - rs) * ln(cs / rs)) AS psi FROM {name}_shares GROUP BY 1) s ON s.feature = e.feature)""",
     ]
 
 
