@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import packing, quality_rules
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,5 +22,12 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_best_fit_packing": best_fit_packing}
+def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": best_fit_packing,
+    "op3_quality_rules": repetition_rules,
+}
 SQL: dict[str, str] = {}
