@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules
+from . import jaccard_join, packing, quality_rules
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -26,8 +26,13 @@ def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": best_fit_packing,
     "op3_quality_rules": repetition_rules,
+    "op8_ngram_jaccard_join": ngram_jaccard_join,
 }
 SQL: dict[str, str] = {}
