@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard_join, mixing, packing, quality_rules, sharding
+from . import chat, jaccard_join, mixing, packing, quality_rules, sharding, url_filter
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), leaves, sharding.grow(leaves))
 
 
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": best_fit_packing,
     "op3_quality_rules": repetition_rules,
     "op4_hash_tree_sharding": hash_tree_sharding,
+    "op5_url_filter": url_verdicts,
     "op7_source_mixing": source_mixing,
     "op8_ngram_jaccard_join": ngram_jaccard_join,
     "op10_chat_formatting": chat_formatting,
