@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard_join, mixing, packing, quality_rules, sharding, url_filter
+from . import chat, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, url_filter
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -40,6 +40,10 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": repetition_rules,
     "op4_hash_tree_sharding": hash_tree_sharding,
     "op5_url_filter": url_verdicts,
+    "op6_quality_classifier": quality_scores,
     "op7_source_mixing": source_mixing,
     "op8_ngram_jaccard_join": ngram_jaccard_join,
     "op10_chat_formatting": chat_formatting,
