@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, url_filter
+from . import chat, embedding_links, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, url_filter
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -48,6 +48,10 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.links(table(spark, sf_dir, "embeddings"))
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digest(chat.format_chats(turns.union(chat.hostile_chat(spark))))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": quality_scores,
     "op7_source_mixing": source_mixing,
     "op8_ngram_jaccard_join": ngram_jaccard_join,
+    "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_chat_formatting": chat_formatting,
 }
 def _escaped(column: str) -> str:
@@ -85,4 +90,18 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_char
   CAST(formatted_chars AS BIGINT) AS formatted_chars FROM chats
 """
 
-SQL: dict[str, str] = {"op7_source_mixing": mixing.sql(), "op10_chat_formatting": CHAT_SQL}
+# all pairs, which only serves for few vectors
+EMBEDDING_SQL = """
+WITH RECURSIVE unit AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+linked AS (SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+reach AS (SELECT vec_id AS id, vec_id AS root FROM embeddings UNION SELECT b, root FROM reach JOIN linked ON a = id),
+component AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id),
+counted AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON id = vec_id LEFT JOIN counted ON a = vec_id
+"""
+
+SQL: dict[str, str] = {"op9_embedding_near_dedup": EMBEDDING_SQL, "op7_source_mixing": mixing.sql(), "op10_chat_formatting": CHAT_SQL}
