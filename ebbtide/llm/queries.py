@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, embedding_links, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, url_filter
+from . import chat, embedding_links, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, token_counts, url_filter
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
+UNIGRAM = "piece_bpe_32k.model"
 SHARDS = 16
 
 
@@ -19,6 +20,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def viterbi_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(UNIGRAM))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
@@ -58,6 +63,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": viterbi_token_counts,
     "op2_best_fit_packing": best_fit_packing,
     "op3_quality_rules": repetition_rules,
     "op4_hash_tree_sharding": hash_tree_sharding,
