@@ -96,13 +96,14 @@ def probabilities(docs: DataFrame, shares: dict[str, dict[str, float]] | None =
 
 
 def _with_probability(docs: DataFrame, shares: dict[str, dict[str, float]] | None) -> DataFrame:
-    chances = probabilities(docs, shares).select(
-        *[F.col(k).alias(f"_mix_{k}") for k in DIMENSIONS], F.col("probability").alias("_mix_probability")
+    """(row, source, lang, topic, draw, probability), where ``row`` holds the columns of ``docs`` whatever their names."""
+    chances = probabilities(docs, shares)
+    own = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        *[c.alias(k) for k, c in _labels(docs).items()],
+        uniform(docs, SEED).alias("draw"),
     )
-    labels = _labels(docs)
-    here = docs.withColumns({f"_mix_own_{k}": c for k, c in labels.items()}).withColumn("_mix_draw", uniform(docs, SEED))
-    same = [here[f"_mix_own_{k}"] == chances[f"_mix_{k}"] for k in DIMENSIONS]
-    return here.join(chances, same[0] & same[1] & same[2])
+    return own.join(chances, list(DIMENSIONS))
 
 
 def mix(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None) -> DataFrame:
@@ -115,18 +116,17 @@ def mix(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None) -> D
     """
     drawn = _with_probability(docs.select("doc_id", "text", "lang", "source"), shares)
     return drawn.select(
-        "doc_id",
-        *[F.col(f"_mix_own_{k}").alias(k) for k in DIMENSIONS],
-        n_tokens(drawn["text"]).alias("n_tokens"),
-        F.round("_mix_probability", 9).alias("probability"),
-        (F.col("_mix_draw") < F.col("_mix_probability")).alias("sampled"),
+        "row.doc_id",
+        *DIMENSIONS,
+        n_tokens(F.col("row.text")).alias("n_tokens"),
+        F.round("probability", 9).alias("probability"),
+        (F.col("draw") < F.col("probability")).alias("sampled"),
     )
 
 
 def sample(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """The sampled rows of ``docs``, with all their columns."""
-    drawn = _with_probability(docs, shares)
-    return drawn.filter(F.col("_mix_draw") < F.col("_mix_probability")).select(*[docs[c] for c in docs.columns])
+    return _with_probability(docs, shares).filter(F.col("draw") < F.col("probability")).select("row.*")
 
 
 def sql() -> str:
