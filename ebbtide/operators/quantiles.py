@@ -9,90 +9,137 @@ from pyspark.sql import functions as F
 
 from ebbtide.session import materialize
 
-SKETCH_ACCURACY = 10_000
-# The sketch is off by at most n / accuracy ranks; twice that leaves room for the neighbour of the target rank, once
-# n / accuracy is a few ranks. Smaller groups are bracketed by their extremes, that is, ranked whole.
-BRACKET = 2.0 / SKETCH_ACCURACY
-RANKED_WHOLE = 4 * SKETCH_ACCURACY
+#: A sketch cuts a slice into so many parts of about equal size. It is off by a rank in ACCURACY at most, which is
+#: far less than the one part that is left as a margin on either side of a target.
+GRID, ACCURACY = 256, 10_000
+#: Rows of a slice that one task may rank.
+SLICE_ROWS = 200_000
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], slice_rows: int = SLICE_ROWS
+) -> DataFrame:
     """One row per group: ``n`` and ``quantiles``, an array in the order of ``probabilities``.
 
-    ``percentile`` keeps every distinct value of a group in one task; here no task does. A mergeable sketch brackets
-    each target rank, every row is counted against the brackets map-side, and only the rows inside a bracket (some
-    n/2500 per target, repeats collapsed) are ranked. The result does not depend on the sketch: a rank outside its
-    bracket fails the query. NaN and null values are left out.
+    ``percentile`` keeps every distinct value of a group in one task; here no task does. Each target rank lies in a
+    slice of the values, at first the whole group. A mergeable sketch of a slice gives its cuts, the two around the
+    rank are the new slice, and every row is counted against the slices map-side. That is repeated until a slice has
+    ``slice_rows`` rows at most, whatever the group's size, or consists of repeats of a few values; then its distinct
+    values are ranked. A rank that its slice turns out not to hold is looked for in the whole group again, so the
+    result never depends on the sketch. NaN and null values are left out.
 
-    Runs one job: the brackets are written, one row per group, so the planner sees their size and broadcasts them only
-    when they are small.
+    The slices, one row per group and target, are written between the passes.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v")
+    rows = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    cuts = F.percentile_approx("v", F.array(*[F.lit(k / GRID) for k in range(GRID + 1)]), ACCURACY)
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
+    position = F.col("t.p") * (F.col("n") - 1)
+    targets = (
+        rows.groupBy(*keys)
+        .agg(F.count("*").alias("n"), cuts.alias("cuts"))
+        .withColumn("t", F.explode(wanted))
+        .select(*keys, "n", "cuts", F.col("t.i").alias("i"), position.alias("pos"), F.floor(position).alias("low"))
+        .withColumn("high", F.least(F.col("low") + 1, F.col("n") - 1))
+        .withColumns({"below": F.lit(0).cast("long"), "inside": F.col("n")})
     )
-    edges: list[float] = []
-    for p in probabilities:
-        edges += [max(0.0, p - BRACKET), min(1.0, p + BRACKET)]
-    sketch = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("v").alias("lowest"),
-        F.max("v").alias("highest"),
-        F.percentile_approx("v", F.array(*[F.lit(e) for e in edges]), SKETCH_ACCURACY).alias("edges"),
+    state, largest = _count(rows, _narrow(targets), keys), None
+    while True:
+        more = F.col("inside") > slice_rows
+        worst = state.filter(more & ~F.col("lo").eqNullSafe(F.col("hi"))).agg(F.max("inside")).first()[0]
+        if worst is None or (largest is not None and worst > largest / 2):
+            break
+        largest = worst
+        at = null_safe_join(rows, _by_group(state.filter(more), keys), keys)
+        parts = at.select(*keys, "v", F.explode(_slices_of(F.col("v"))).alias("i")).groupBy(*keys, "i").agg(cuts.alias("cuts"))
+        state = _count(rows, _narrow(null_safe_join(state, parts, [*keys, "i"], "left")), keys)
+    return _ranked(rows, state, keys)
+
+
+def _narrow(targets: DataFrame) -> DataFrame:
+    """Bounds of the parts of a slice that hold the target ranks, with one part more on either side. A null bound is
+    open; a slice without cuts keeps its bounds."""
+    share = F.lit(float(GRID)) / F.col("inside")
+    first = F.floor((F.col("low") - F.col("below")) * share) - 1
+    last = F.ceil((F.col("high") + 1 - F.col("below")) * share) + 1
+    old = {c: F.col(c) if c in targets.columns else F.lit(None).cast("double") for c in ("lo", "hi")}
+    lo = F.when(first >= 0, F.get("cuts", first.cast("int"))).otherwise(old["lo"])
+    hi = F.when(last <= GRID, F.get("cuts", last.cast("int"))).otherwise(old["hi"])
+    known = F.col("cuts").isNotNull()
+    return targets.withColumns({"lo": F.when(known, lo).otherwise(old["lo"]), "hi": F.when(known, hi).otherwise(old["hi"])}).drop("cuts")
+
+
+def _by_group(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The slices of a group in one row: one entry per probability."""
+    return state.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "lo", "hi"))).alias("slices"))
+
+
+def _within(v: Column, s: Column) -> Column:
+    return F.coalesce(v >= s["lo"], F.lit(True)) & F.coalesce(v <= s["hi"], F.lit(True))
+
+
+def _slices_of(v: Column) -> Column:
+    """Numbers of the targets whose slices hold the value."""
+    return F.transform(F.filter("slices", lambda s: _within(v, s)), lambda s: s["i"])
+
+
+def _count(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows below and inside each slice. A slice that misses its target opens to the whole group."""
+    state = materialize(state, "slices")
+    many = state.agg(F.max("i")).first()[0]
+    at = null_safe_join(rows, _by_group(state, keys), keys)
+    counted = []
+    for k in range((-1 if many is None else many) + 1):
+        s = F.col("slices")[k]
+        counted += [F.count_if(F.coalesce(F.col("v") < s["lo"], F.lit(False))).alias(f"below_{k}"), F.count_if(_within(F.col("v"), s)).alias(f"inside_{k}")]
+    if not counted:
+        return state
+    found = at.groupBy(*keys).agg(*counted).select(
+        *keys,
+        F.posexplode(F.array(*[F.struct(F.col(f"below_{k}").alias("below"), F.col(f"inside_{k}").alias("inside")) for k in range(many + 1)])).alias("i", "c"),
     )
-    targets = _literals(probabilities)
-    whole = F.col("n") <= RANKED_WHOLE
-    bounds = []
-    for i, p in enumerate(probabilities):
-        lo = F.col("lowest") if p <= BRACKET else F.when(whole, F.col("lowest")).otherwise(F.col("edges")[2 * i])
-        hi = F.col("highest") if p >= 1 - BRACKET else F.when(whole, F.col("highest")).otherwise(F.col("edges")[2 * i + 1])
-        bounds.append(F.struct(lo.alias("lo"), hi.alias("hi")))
-    brackets = materialize(sketch.select(*keys, "n", F.array(*bounds).alias("b")), "brackets")
-    at = null_safe_join(rows, brackets, keys)
-    inside = [(F.col("v") >= F.col("b")[i]["lo"]) & (F.col("v") <= F.col("b")[i]["hi"]) for i in range(len(bounds))]
-
-    below = at.groupBy(*keys).agg(
-        F.array(*[F.count_if(F.col("v") < F.col("b")[i]["lo"]) for i in range(len(bounds))]).alias("below"),
-        F.max("n").alias("n"),
+    both = null_safe_join(state.drop("below", "inside"), found, [*keys, "i"])
+    holds = (F.col("low") >= F.col("c.below")) & (F.col("high") < F.col("c.below") + F.col("c.inside"))
+    return materialize(
+        both.withColumns(
+            {
+                "below": F.when(holds, F.col("c.below")).otherwise(0),
+                "inside": F.when(holds, F.col("c.inside")).otherwise(F.col("n")),
+                "lo": F.when(holds, F.col("lo")),
+                "hi": F.when(holds, F.col("hi")),
+            }
+        ).drop("c"),
+        "slices",
     )
-    hits = F.filter(
-        F.array(*[F.when(hit, F.lit(i)) for i, hit in enumerate(inside)]), lambda i: i.isNotNull()
+
+
+def _ranked(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The interpolated values at the target ranks, from the slices' distinct values."""
+    order = Window.partitionBy(*keys, "i").orderBy("v")
+    values = (
+        null_safe_join(rows, _by_group(state, keys), keys)
+        .select(*keys, "v", _slices_of(F.col("v")).alias("own"))
+        .filter(F.size("own") > 0)
+        .groupBy(*keys, "v", "own")
+        .agg(F.count("*").alias("copies"))
+        .select(*keys, "v", "copies", F.explode("own").alias("i"))
     )
     ranked = (
-        at.filter(_any(inside))
-        .groupBy(*keys, "v")
-        .agg(F.count("*").alias("copies"))
-        .transform(null_safe_join, brackets, keys)
-        .select(*keys, "v", "copies", F.explode(hits).alias("i"))
-        .withColumn("last", F.sum("copies").over(Window.partitionBy(*keys, "i").orderBy("v")))
-        .transform(null_safe_join, below, keys)
-        .withColumn("last", F.col("last") + F.element_at("below", F.col("i") + 1))
+        null_safe_join(values, state.select(*keys, "i", "n", "pos", "low", "high", "below"), [*keys, "i"])
+        .withColumn("end", F.col("below") + F.sum("copies").over(order))
+        .withColumn("begin", F.col("end") - F.col("copies"))
     )
-    # Zero-based target position and the two order statistics around it.
-    position = F.element_at(targets, F.col("i") + 1) * (F.col("n") - 1)
-    ranked = ranked.withColumn("pos", position).withColumn("first", F.col("last") - F.col("copies"))
-    low = F.floor("pos")
-    high = F.least(low + 1, F.col("n") - 1)
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("last")), F.col("v")))
+    def value_at(rank: str) -> Column:
+        return F.max(F.when((F.col("begin") <= F.col(rank)) & (F.col(rank) < F.col("end")), F.col("v")))
 
     per_target = ranked.groupBy(*keys, "i").agg(
-        F.max("n").alias("n"),
-        value_at(low).alias("a"),
-        value_at(high).alias("z"),
-        F.max(F.col("pos") - low).alias("part"),
-    )
-    missed = F.col("a").isNull() | F.col("z").isNull()
-    exact = F.when(missed, F.raise_error(F.lit("target rank outside its bracket")).cast("double")).otherwise(
-        F.col("a") + (F.col("z") - F.col("a")) * F.col("part")
+        F.max("n").alias("n"), value_at("low").alias("a"), value_at("high").alias("z"), F.max(F.col("pos") - F.col("low")).alias("part")
     )
+    quantile = F.col("a") + (F.col("z") - F.col("a")) * F.col("part")
     return per_target.groupBy(*keys).agg(
         F.max("n").alias("n"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("i", exact.alias("q")))),  # one entry per probability
-            lambda e: e["q"],
-        ).alias("quantiles"),
+        F.transform(F.array_sort(F.collect_list(F.struct("i", quantile.alias("q")))), lambda e: e["q"]).alias("quantiles"),
     )
 
 
@@ -101,14 +148,3 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     renamed = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     return left.join(renamed, on, how).drop(*[f"_key_{k}" for k in keys])
-
-
-def _literals(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(x)) for x in values])
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    combined = conditions[0]
-    for c in conditions[1:]:
-        combined = combined | c
-    return combined

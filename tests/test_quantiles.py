@@ -21,17 +21,32 @@ def test_agrees_with_numpy(spark, seed):
         np.testing.assert_allclose(row.quantiles, np.quantile(groups[row.g], SHARES), atol=1e-12)
 
 
-def test_large_skewed_group(spark):
-    """Beyond the size that is ranked whole, with a third of all rows equal."""
-    n = 3 * quantiles.RANKED_WHOLE
+@pytest.mark.parametrize("slice_rows", [1, 50, 10**6])
+def test_slices_are_narrowed(spark, slice_rows):
+    """A third of all rows are equal; slices are narrowed until they are small, or consist of repeats."""
+    n = 120_000
     df = spark.range(n).select(
         F.lit("hot").alias("g"), F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.abs(F.hash("id")) / 2.0**31).alias("v")
     )
     values = np.array([r.v for r in df.collect()])
-    (row,) = exact_quantiles(df, ["g"], "v", SHARES).collect()
+    (row,) = exact_quantiles(df, ["g"], "v", SHARES, slice_rows).collect()
     np.testing.assert_allclose(row.quantiles, np.quantile(values, SHARES), atol=1e-12)
 
 
+def test_a_missed_target_is_found_in_the_whole_group(spark, monkeypatch):
+    def astray(targets):
+        return targets.withColumns({"lo": F.lit(1e9), "hi": F.lit(2e9)}).drop("cuts")
+
+    monkeypatch.setattr(quantiles, "_narrow", astray)
+    df = spark.range(1000).select(F.lit("a").alias("g"), F.col("id").cast("double").alias("v"))
+    (row,) = exact_quantiles(df, ["g"], "v", SHARES).collect()
+    np.testing.assert_allclose(row.quantiles, np.quantile(np.arange(1000), SHARES))
+
+
+def test_no_rows(spark):
+    assert exact_quantiles(spark.createDataFrame([], "g string, v double"), ["g"], "v", [0.5]).count() == 0
+
+
 def test_null_group_is_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     got = {r.g: r.quantiles[0] for r in exact_quantiles(df, ["g"], "v", [0.5]).collect()}
