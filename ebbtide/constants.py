@@ -84,3 +84,20 @@ MODEL_FEATURES = (
     "int_rate", "best_buy", "delta_to_best_buy", "tenure_months", "n_accounts",
 )
 MODEL_LABELS = ("balance_pred", "receipts_pred", "withdrawals_pred", "transfers_pred")
+
+# Sales features. Column names, and the recency of an account without dated sales.
+SALES_COLUMNS = (
+    "sum_of_sales",
+    "avg_sale_amount",
+    "sale_count",
+    "sale_std",
+    "max_single_sale",
+    "last_sale_date",
+    "first_sale_date",
+    "days_since_last_sale",
+    "tenure_days",
+    "monthly_sale_avg",
+    "feature_date",
+)
+SALES_SUMMARY_COLUMNS = ("total_portfolio_sales", "portfolio_avg_transaction", "total_transactions", "avg_recency_days")
+NEVER_SOLD_DAYS = 9999

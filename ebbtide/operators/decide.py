@@ -105,19 +105,35 @@ def challenger_gate(
     return checked.withColumn("validation_passed", passed).withColumn("rejection_reason", failed)
 
 
+# --- picks: the last of many rows by (time, number), as one number that a hash aggregate can hold --------------------
+
+_NUMBERS = 10**18
+
+
+def _stamped(ts: Column, number: Column) -> Column:
+    """(time, number) in one DECIMAL of the same order; a struct would make Spark sort all rows before aggregating."""
+    return (F.unix_micros(ts.cast("timestamp")).cast("decimal(38,0)") * F.lit(_NUMBERS).cast("decimal(19,0)") + number.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def _number_of(stamped: Column) -> Column:
+    return F.pmod(stamped, F.lit(_NUMBERS).cast("decimal(19,0)")).cast("long")
+
+
 # --- version log: (model_name, version, event, event_ts, metric) --------------------------------------------------
 
 
 def alias_state(log: DataFrame) -> DataFrame:
     """Who holds each alias of a model now: the first registered version is the baseline, the last one the challenger,
-    the last promoted one the champion. Plain aggregates, so a model with very many events is combined map-side."""
-    when = F.struct("event_ts", "version")
+    the last promoted one the champion. Plain hash aggregates, so a model with very many events is combined map-side.
+    Versions are whole numbers from 0 on."""
+    when = _stamped(F.col("event_ts"), F.col("version"))
+    kind = log.schema["version"].dataType
     registered = F.when(F.col("event") == REGISTERED, when)
     promoted = F.when(F.col("event") == PROMOTED, when)
     return log.groupBy("model_name").agg(
-        F.min(registered)["version"].alias("baseline_version"),
-        F.max(registered)["version"].alias("challenger_version"),
-        F.max(promoted)["version"].alias("champion_version"),
+        _number_of(F.min(registered)).cast(kind).alias("baseline_version"),
+        _number_of(F.max(registered)).cast(kind).alias("challenger_version"),
+        _number_of(F.max(promoted)).cast(kind).alias("champion_version"),
         F.count_if(F.col("event") == REGISTERED).alias("n_versions"),
     )
 

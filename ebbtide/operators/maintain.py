@@ -4,16 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def canonical_row(df: DataFrame) -> Column:
+    """The row as one text that any engine can write: fractions with six decimals, times to the second, ``~`` for null,
+    each value after its length."""
+
+    def text(name: str) -> Column:
+        kind, value = df.schema[name].dataType, F.col(f"`{name}`")
+        if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+            value = value.cast("decimal(38,6)")
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        shown = F.coalesce(value.cast("string"), F.lit("~"))
+        return F.concat(F.length(shown).cast("string"), F.lit(":"), shown)
+
+    return F.concat(*[text(c) for c in df.columns])
 
 
 def content_summary(df: DataFrame) -> DataFrame:
     """One row: row count and a hash of the content that does not depend on row order or partitioning.
 
-    The hashes are summed as DECIMAL, so the sum neither overflows nor depends on the order of addition.
+    The hash is the sum of the first 15 hexadecimal digits of each row's md5. They are summed as DECIMAL, so the sum
+    neither overflows nor depends on the order of addition.
     """
-    row_hash = F.xxhash64(*df.columns).cast("decimal(38,0)")
+    digits = F.substring(F.md5(canonical_row(df).cast("binary")), 1, 15)
+    row_hash = F.conv(digits, 16, 10).cast("decimal(38,0)")
     return df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("content_hash"))
 
 

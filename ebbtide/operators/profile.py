@@ -37,6 +37,10 @@ def profile(
         keys = ["window_start", *keys]
         rows = rows.withColumn("window_start", _window(F.col(timestamp), granularity))
     numbers = rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    # the mean is that of the values to six decimals, summed as DECIMAL: a sum of DOUBLE would go by the order of rows
+    # (values that no such DECIMAL holds are averaged as they are)
+    total = F.sum(F.when(F.abs("value") < F.lit(1e21), F.col("value")).cast("decimal(28,6)")).cast("double")
+    mean = F.when(F.max(F.abs("value")) < F.lit(1e21), total / F.count("value")).otherwise(F.avg("value"))
     values = numbers.unpivot(keys, list(columns), "column_name", "value")
     keys = [*keys, "column_name"]
     summary = values.groupBy(*keys).agg(
@@ -44,7 +48,7 @@ def profile(
         F.avg(F.col("value").isNull().cast("double")).alias("null_rate"),
         F.min("value").alias("minimum"),
         F.max("value").alias("maximum"),
-        F.avg("value").alias("mean"),
+        mean.alias("mean"),
         F.stddev("value").alias("deviation"),
     )
     distinct = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ebbtide.operators import sales as ops
 from ebbtide.operators.upsert import keyed_upsert, repeated_keys
 from ebbtide.queries import base_sql as sql
+from ebbtide.session import materialize
 from ebbtide.sources import sample_views as views
 
 # The date of the features, and of the load before it.
@@ -29,7 +30,7 @@ def sales_features(spark, sf_dir):
 
 
 def sales_summary(spark, sf_dir):
-    row = ops.sales_summary(_features(spark, sf_dir))
+    row = ops.portfolio_summary(_features(spark, sf_dir))
     return row.select(
         F.round("total_portfolio_sales", 2).alias("total_portfolio_sales"),
         F.round("portfolio_avg_transaction", 4).alias("portfolio_avg_transaction"),
@@ -42,7 +43,15 @@ def feature_enrich(spark, sf_dir):
     accounts = views.read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias(KEY), F.col("c_mktsegment").alias("product_code"), "c_acctbal"
     )
-    return _rounded(ops.enrich(accounts, _features(spark, sf_dir, EARLIER), KEY))
+    return _rounded(ops.with_sales(accounts, _features(spark, sf_dir, EARLIER), KEY))
+
+
+def sales_features_from_parts(spark, sf_dir):
+    """The stored parts of the earlier load and those of the sales since, which share a month."""
+    sales = views.sales(spark, sf_dir)
+    stored = materialize(ops.monthly_parts(ops.known_by(sales, EARLIER), KEY), "sales_parts")
+    since = ops.monthly_parts(ops.known_by(sales, AS_OF, EARLIER), KEY)
+    return _rounded(ops.features_of(ops.merge_parts(stored, since), KEY, AS_OF))
 
 
 def feature_upsert(spark, sf_dir):
@@ -60,6 +69,7 @@ def key_violations(spark, sf_dir):
 
 QUERIES = {
     "sales_features": sales_features,
+    "sales_features_from_parts": sales_features_from_parts,
     "sales_summary": sales_summary,
     "feature_enrich": feature_enrich,
     "feature_upsert": feature_upsert,
@@ -89,6 +99,7 @@ _OUT = """account_id, sum_of_sales, avg_sale_amount, sale_count,
 
 SQL = {
     "sales_features": sql.with_ctes([_cte("f", AS_OF)], f"SELECT {_OUT}, feature_date FROM f"),
+    "sales_features_from_parts": sql.with_ctes([_cte("f", AS_OF)], f"SELECT {_OUT}, feature_date FROM f"),
     "sales_summary": sql.with_ctes(
         [_cte("f", AS_OF)],
         """SELECT round(sum(sum_of_sales), 2) AS total_portfolio_sales,

@@ -50,7 +50,14 @@ def _manifests(spark, sf_dir):
 
 
 def dataset_manifest(spark, sf_dir):
-    return _manifests(spark, sf_dir).withColumn("recorded_at", F.date_format("recorded_at", "yyyy-MM-dd"))
+    """Manifests; of the schema, the names of the columns."""
+    names = F.from_json("schema_json", "struct<fields: array<struct<name: string>>>")["fields"]["name"]
+    return (
+        _manifests(spark, sf_dir)
+        .withColumn("recorded_at", F.date_format("recorded_at", "yyyy-MM-dd"))
+        .withColumn("column_names", F.array_join(names, ","))
+        .drop("schema_json")
+    )
 
 
 def dataset_versions(spark, sf_dir):
@@ -127,7 +134,7 @@ def _profile_sql(source: str, columns, keys: str) -> str:
     parts = [
         f"""SELECT {keys}, '{c}' AS column_name, count(*) AS n_rows,
   round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate, CAST(min({c}) AS DOUBLE) AS minimum,
-  CAST(max({c}) AS DOUBLE) AS maximum, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS deviation,
+  CAST(max({c}) AS DOUBLE) AS maximum, round(CAST(sum(CAST({c} AS DECIMAL(28,6))) AS DOUBLE) / count({c}), 6) AS mean, round(stddev_samp({c}), 6) AS deviation,
   count(DISTINCT {c}) AS n_distinct, round(quantile_cont({c}::DOUBLE, 0.25), 6) AS p25,
   round(quantile_cont({c}::DOUBLE, 0.5), 6) AS p50, round(quantile_cont({c}::DOUBLE, 0.75), 6) AS p75
 FROM {source} GROUP BY ALL"""
@@ -136,6 +143,33 @@ FROM {source} GROUP BY ALL"""
     return "\nUNION ALL ".join(parts)
 
 
+# The columns of the sample tables; f: a fraction, t: a time.
+_COLUMNS = {
+    "customer": "c_custkey c_name c_nationkey c_acctbal:f c_mktsegment",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice:f o_orderdate:t o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity:f l_extendedprice:f l_discount:f l_tax:f "
+    "l_returnflag l_linestatus l_shipdate:t",
+    "events": "event_id ts:t user_id event_type value:f props",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice:f",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal:f",
+}
+_RENDERED = {
+    "": "CAST({c} AS VARCHAR)",
+    "f": "CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)",
+    "t": "strftime({c}, '%Y-%m-%d %H:%M:%S')",
+}
+
+
+def _manifest_sql(table: str) -> str:
+    columns = [c.partition(":")[::2] for c in _COLUMNS[table].split()]
+    shown = [f"coalesce({_RENDERED[kind].format(c=c)}, '~')" for c, kind in columns]
+    row = " || ".join(f"length({x}) || ':' || {x}" for x in shown)
+    digits = f"CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT)"
+    return f"""SELECT '{table}' AS dataset_name, '{table}.parquet' AS source_table, count(*) AS row_count,
+  {len(columns)} AS n_columns, CAST(coalesce(sum({digits}), 0) AS VARCHAR) AS content_hash, 'test' AS environment,
+  '2024-01-31' AS recorded_at, '{",".join(c for c, _ in columns)}' AS column_names FROM {table}"""
+
+
 _WIDTHS = {"customer": 5, "orders": 6, "lineitem": 11, "events": 6, "part": 6, "supplier": 4}
 
 SQL = {
@@ -148,6 +182,7 @@ SQL.update(
         "feature_snapshot_profile": sql.with_ctes(
             sql.FEATURE_CTES, _profile_sql("features", ["balance_lag_1", "n_accounts", "months_since_start"], "product")
         ),
+        "dataset_manifest": " UNION ALL ".join(_manifest_sql(t) for t in TABLES),
         "dataset_versions": " UNION ALL ".join(
             f"""SELECT '{t}' AS dataset_name, '{t}.parquet' AS source_table, count(*) AS row_count, {n} AS n_columns,
   'test' AS environment, '2024-01-31' AS recorded_at FROM {t}"""
