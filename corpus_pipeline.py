@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import jaccard_join, mixing, packing, quality_model, quality_rules
 from ebbtide.llm.queries import BYTE_BPE, tokenizer_path
-from ebbtide.llm.rows import table
+from ebbtide.llm.rows import ship_package, table
 from ebbtide.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,11 +25,13 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
+    ship_package(spark)
     return quality_rules.filter_docs(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the similarity join."""
+    ship_package(spark)
     return jaccard_join.keep_one(docs)
 
 
@@ -40,6 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences of 1024 tokens."""
+    ship_package(spark)
     return packing.pack(docs, tokenizer_path(BYTE_BPE))
 
 

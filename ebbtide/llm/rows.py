@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,7 +18,24 @@ from ..session import materialize
 SLICE_BYTES = 2 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application: they may not have it on their path."""
+    root, context = Path(__file__).resolve().parents[1], spark.sparkContext
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="ebbtide-package-")) / "ebbtide.zip"  # Spark copies it to the executors
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
