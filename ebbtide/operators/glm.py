@@ -31,8 +31,13 @@ ACTIVE, CONVERGED, FAILED, STOPPED = "active", "converged", "failed", "stopped"
 _PAIRS = [(i, j) for i in range(N_TERMS) for j in range(i, N_TERMS)]
 
 
-def model_rows(train: DataFrame, keys: Sequence[str] = WINDOW_KEYS, trimmed: bool = True) -> DataFrame:
-    """One row per training row and response the row was not trimmed from, rows without a response included."""
+def model_rows(
+    train: DataFrame,
+    keys: Sequence[str] = WINDOW_KEYS,
+    trimmed: bool = True,
+    wanted: Sequence[str] = tuple(RESPONSE_COLUMN),
+) -> DataFrame:
+    """One row per training row and wanted response the row was not trimmed from, rows without a response included."""
     responses = F.array(
         *[
             F.struct(
@@ -41,6 +46,7 @@ def model_rows(train: DataFrame, keys: Sequence[str] = WINDOW_KEYS, trimmed: boo
                 (F.col(f"keep_{column}") if trimmed else F.lit(True)).alias("keep"),
             )
             for name, column in RESPONSE_COLUMN.items()
+            if name in wanted
         ]
     )
     assert set(RESPONSE_COLUMN.values()) == set(RATIO_COLUMNS)
@@ -141,12 +147,11 @@ def _products(weight: Column) -> Column:
     return F.array(*[F.sum(weight * F.col(f"x{i + 1}") * F.col(f"x{j + 1}")) for i, j in _PAIRS])
 
 
-def _normal_equations(
-    obs: DataFrame, eta: Column, keys: Sequence[str], newton: bool = False, carried: Sequence[Column] = ()
-) -> DataFrame:
+def _normal_equations(obs: DataFrame, eta: Column, keys: Sequence[str], newton: bool = False) -> DataFrame:
     """One aggregated row per model: X'WX, X'Wz and the deviance at ``eta``.
 
-    The weights are the expected curvature (Fisher scoring) or the observed one (Newton).
+    The weights are the expected curvature (Fisher scoring) or the observed one (Newton). Only sums are aggregated, so
+    that they are hashed; an array carried through would have all observations sorted first.
     """
     family, y, mu = F.col("family"), F.col("y"), F.col("mu")
     weight = families.newton_weight(family, y, mu) if newton else families.working_weight(family, mu)
@@ -161,7 +166,6 @@ def _normal_equations(
         _products(F.col("w")).alias("xtwx"),
         F.array(*[F.sum(F.col("w") * F.col(f"x{i + 1}") * F.col("z")) for i in range(N_TERMS)]).alias("xtwz"),
         F.sum("d").alias("deviance"),
-        *carried,
     )
 
 
@@ -172,7 +176,8 @@ def fit(obs: DataFrame, keys: Sequence[str], max_iterations: int = 100, toleranc
     ``FISHER_STEPS`` iterations are Fisher scoring, which is safe from afar; then Newton, which squares the error in
     each step, so coefficients that moved by 1e-7 are good to some 1e-13. A model leaves the loop when its
     coefficients settle or its equations stop being finite. Coefficients along a flat direction may never settle: after
-    ``PATIENCE`` iterations a settled deviance is enough.
+    ``PATIENCE`` iterations a settled deviance is enough. A model that has not settled at the end is ``STOPPED``; the
+    ratio tables take settled ones only.
     """
     keys = list(keys)
     finite = ~F.exists("beta", lambda b: F.isnan(b) | b.isNull())
@@ -199,10 +204,9 @@ def fit(obs: DataFrame, keys: Sequence[str], max_iterations: int = 100, toleranc
         known = state.filter(F.col("status") == ACTIVE).select(
             *keys, F.col("beta").alias("_beta"), F.col("deviance").alias("_before")
         )
-        carried = [F.first("_beta").alias("_beta"), F.first("_before").alias("_before")]  # constant within a model
-        equations = _normal_equations(
-            obs.join(known, keys), _linear_predictor(F.col("_beta")), keys, iteration > FISHER_STEPS, carried
-        )
+        at = obs.join(known.drop("_before"), keys)
+        equations = _normal_equations(at, _linear_predictor(F.col("_beta")), keys, iteration > FISHER_STEPS)
+        equations = equations.join(known, keys)  # one row per model on either side
         moved = F.array_max(F.zip_with("beta", "_beta", lambda b, a: F.abs(b - a) / (F.abs(a) + 0.1)))
         settled = moved <= tolerance
         if iteration > PATIENCE:
@@ -250,14 +254,18 @@ def coefficient_table(models: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> D
 
 
 def fit_responses(
-    train: DataFrame, keys: Sequence[str] = WINDOW_KEYS, robust: bool = False, trimmed: bool = True
+    train: DataFrame,
+    keys: Sequence[str] = WINDOW_KEYS,
+    robust: bool = False,
+    trimmed: bool = True,
+    wanted: Sequence[str] = tuple(RESPONSE_COLUMN),
 ) -> DataFrame:
-    """Fit the three models of every key: frames (family, knots) with coefficients beside them.
+    """Fit the wanted models of every key: frames (family, knots) with coefficients beside them.
 
     ``train`` holds the training rows with their ``keep_`` flags; pass a written table, since it is read twice.
     """
     keys = list(keys)
-    rows = model_rows(train, keys, trimmed)
+    rows = model_rows(train, keys, trimmed, wanted)
     frames = materialize(model_frames(rows, keys), "model_frames")
     obs = materialize(design(rows, frames, keys), "design")
     models = fit(obs, [*keys, "response"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.constants import FIRST_PROJECTED_AGE, PARAM_GRID, RATE_LABELS
 from ebbtide.functions import families, spline
 from ebbtide.functions.ratios import rate_label, rate_midpoints
-from ebbtide.operators.glm import FAILED, N_TERMS, OUTFLOW, RECEIPTS, WITHDRAWAL
+from ebbtide.operators.glm import CONVERGED, N_TERMS, OUTFLOW, RECEIPTS, WITHDRAWAL
 from ebbtide.operators.prep import WINDOW_KEYS, expand_grid
 
 RATIOS = ("rec_pct", "outflow_pct", "transfer_pct")
@@ -47,8 +47,8 @@ def grid_rows(windows: DataFrame, first_age: int = FIRST_PROJECTED_AGE) -> DataF
 
 
 def models_by_window(models: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> DataFrame:
-    """The three models of a key side by side; a key that lacks a fitted one is left out."""
-    fitted = F.col("status").isNotNull() & (F.col("status") != FAILED)
+    """The three models of a key side by side; a key that lacks a settled one is left out."""
+    fitted = F.coalesce(F.col("status") == CONVERGED, F.lit(False))
     bend = spline.bends(F.col("beta"), F.col("curve"))
     usable = models.filter(fitted).withColumn("_model", F.struct("family", "knots", "beta", bend.alias("bend")))
     sides = [

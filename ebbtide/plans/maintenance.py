@@ -21,8 +21,6 @@ CLUSTERING: dict[str, tuple[str, ...]] = {
     "dataset_versions": (),
     "model_approvals": (),
     "model_cards": (),
-    "deployment_history": (),
-    "rollback_events": (),
     "data_quality_results": (),
     "model_eval_metrics": (),
 }

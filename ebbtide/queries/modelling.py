@@ -92,9 +92,11 @@ def spline_basis(spark, sf_dir):
     return placed.select("product", "age", *[F.round(c, 9).alias(f"spline_{i + 1}") for i, c in enumerate(columns)])
 
 
-def _main_models(spark, sf_dir, robust=False):
-    rows = _train_rows(spark, sf_dir).filter(F.col("drop_month2"))
-    return glm.fit_responses(rows, robust=robust)
+def _main_models(spark, sf_dir, robust=False, wanted=tuple(glm.RESPONSE_COLUMN)):
+    """Models of the main window without age 2; no other rows are written."""
+    windows = prep.training_windows(inputs.features_table(spark, sf_dir), CUTOFF, ()).filter(F.col("drop_month2"))
+    rows = materialize(prep.outlier_flags(windows, prep.WINDOW_KEYS), "train_rows")
+    return glm.fit_responses(rows, robust=robust, wanted=wanted)
 
 
 def _coefficients(models, response):
@@ -103,15 +105,15 @@ def _coefficients(models, response):
 
 
 def glm_outflow(spark, sf_dir):
-    return _coefficients(_main_models(spark, sf_dir), glm.OUTFLOW)
+    return _coefficients(_main_models(spark, sf_dir, wanted=(glm.OUTFLOW,)), glm.OUTFLOW)
 
 
 def glm_withdrawal(spark, sf_dir):
-    return _coefficients(_main_models(spark, sf_dir), glm.WITHDRAWAL)
+    return _coefficients(_main_models(spark, sf_dir, wanted=(glm.WITHDRAWAL,)), glm.WITHDRAWAL)
 
 
 def glm_receipts(spark, sf_dir):
-    return _coefficients(_main_models(spark, sf_dir), glm.RECEIPTS)
+    return _coefficients(_main_models(spark, sf_dir, wanted=(glm.RECEIPTS,)), glm.RECEIPTS)
 
 
 def glm_robust_se(spark, sf_dir):

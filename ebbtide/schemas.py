@@ -18,7 +18,6 @@ def _schema(ddl: str) -> T.StructType:
         "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
         "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
         "strings": T.ArrayType(T.StringType()), "flags": T.MapType(T.StringType(), T.BooleanType()),
-        "shares": T.MapType(T.StringType(), T.IntegerType()),
     }
     fields = []
     for pair in ddl.split(","):
@@ -82,13 +81,6 @@ MODEL_CARDS = _schema(
     "n_products int, portfolio_mape double, features strings, labels strings, framework string, "
     f"promoted boolean, promotion_reason string, card_generated_at timestamp, {_WHERE}"
 )
-DEPLOYMENTS = _schema(
-    f"endpoint_name string, action string, model_name string, traffic shares, deployed_at timestamp, {_WHERE}"
-)
-ROLLBACKS = _schema(
-    "endpoint_name string, model_name string, rollback_triggered boolean, rollback_reason string, "
-    f"reverted_to_version string, smoke_test_passed boolean, serving_action string, event_timestamp timestamp, {_WHERE}"
-)
 BASELINES = _schema(
     "int_rate double, best_buy double, delta_to_best_buy double, tenure_months double, n_accounts bigint, "
     "model_version string, baseline_frozen_at timestamp"
@@ -119,8 +111,6 @@ TABLES: dict[str, T.StructType] = {
     "training_feature_snapshots": SNAPSHOTS,
     "model_approvals": APPROVALS,
     "model_cards": MODEL_CARDS,
-    "deployment_history": DEPLOYMENTS,
-    "rollback_events": ROLLBACKS,
     "reference_feature_snapshot": BASELINES,
     "reference_prediction_snapshot": PREDICTION_BASELINES,
     "model_versions": VERSION_LOG,
