@@ -18,6 +18,8 @@ from ebbtide.constants import (
 REGISTERED, PROMOTED, REJECTED = "registered", "promoted", "rejected"
 APPROVED = "APPROVED"
 TURNED_DOWN = "REJECTED"
+PENDING = "PENDING"
+GATE_CHECKS = ("has_description", "mape_passed", "business_metric_passed", "coverage_passed")
 
 
 def retraining_need(
@@ -97,10 +99,9 @@ def challenger_gate(
             "coverage_passed": F.coalesce(covered, F.lit(False)),
         }
     )
-    checks = ("has_description", "mape_passed", "business_metric_passed", "coverage_passed")
-    failed = F.concat_ws(", ", *[F.when(~F.col(c), F.lit(c)) for c in checks])
+    failed = F.concat_ws(", ", *[F.when(~F.col(c), F.lit(c)) for c in GATE_CHECKS])
     passed = F.lit(True)
-    for c in checks:
+    for c in GATE_CHECKS:
         passed = passed & F.col(c)
     return checked.withColumn("validation_passed", passed).withColumn("rejection_reason", failed)
 
@@ -217,6 +218,23 @@ def latest_approvals(approvals: DataFrame) -> DataFrame:
     return decided.groupBy("request_id").agg(last.alias("_last")).select("request_id", "_last.*")
 
 
+def approval_requests(checked: DataFrame, requested_at: str) -> DataFrame:
+    """A row for the approval log for each validated challenger (model_name, model_version and the gate's columns):
+    pending if the gate passed, turned down by the gate if not. The request is named after model and version."""
+    status = F.when(F.col("validation_passed"), PENDING).otherwise(TURNED_DOWN)
+    flags = F.create_map(*[x for c in GATE_CHECKS for x in (F.lit(c), F.col(c))])
+    return checked.withColumns(
+        {
+            "request_id": F.concat_ws("-", "model_name", "model_version"),
+            "decision_id": F.lit(0).cast("long"),
+            "approver": F.when(~F.col("validation_passed"), "validation"),
+            "approval_status": status,
+            "approval_ts": F.lit(requested_at).cast("timestamp"),
+            "checks_passed": flags,
+        }
+    )
+
+
 def decision_rows(pending: DataFrame, decision: str, approver: str, decided_at: str, comments: str = "") -> DataFrame:
     """Approval rows for the pending requests, ready to append to the log."""
     decision = decision.strip().upper()

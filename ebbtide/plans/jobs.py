@@ -47,11 +47,15 @@ def train_job(
     grid: Sequence[tuple[int, bool]] = PARAM_GRID,
     offsets: Sequence[int] = FOLD_OFFSETS,
     gate: bool = True,
+    description: str = "cohort cash-flow ratios",
+    approval: bool = False,
 ) -> Row:
-    """Matrix, checks, search, evaluation, registration, promotion. Returns the promotion decision.
+    """Matrix, checks, search, evaluation, validation, registration, promotion. Returns the promotion decision.
 
-    The check log is written before a failed gate raises. A promoted version freezes the drift baseline; a rejected
-    one is logged as such.
+    Logs are written before a failed gate raises. A challenger that fails validation is logged as rejected and not
+    registered; one that passes leaves a pending request. With ``approval``, it is promoted only if the last decision
+    on that request allows it: see ``promote_job``. A promoted version freezes the drift baseline; a rejected one is
+    logged as such.
     """
     matrix = cohort.cohort_matrix(accounts, rates, products, mapping)
     features = require_rows(materialize(cohort.training_features(matrix), "features"), "cohort matrix")
@@ -75,18 +79,78 @@ def train_job(
     store.append(served, "training_ratio_tables")
 
     summary = metrics.portfolio_summary(evaluated)
+    checked = materialize(validate(store, features, summary, model_name, version, cutoff, description), "validation")
+    store.append(decide.approval_requests(checked, now), "model_approvals")
+    verdict = checked.first()
+    if not verdict["validation_passed"]:
+        rejected = summary.select(
+            F.lit(model_name).alias("model_name"), F.lit(version).alias("version"), F.lit(decide.REJECTED).alias("event"),
+            _stamp(now).alias("event_ts"), F.col("portfolio_mape").alias("metric"),
+        )
+        store.append(rejected, "model_versions")
+        raise ValueError(f"validation failed: {verdict['rejection_reason']}")
     registered = summary.select(
         F.lit(model_name).alias("model_name"), F.lit(version).alias("version"), F.lit(decide.REGISTERED).alias("event"),
         _stamp(now).alias("event_ts"), F.col("portfolio_mape").alias("metric"),
     )
     store.append(registered, "model_versions")
+    return promote_job(store, model_name, version, cutoff, now, environment, approval)
+
+
+def validate(
+    store: Store, features: DataFrame, summary: DataFrame, model_name: str, version: int, cutoff: str, description: str
+) -> DataFrame:
+    """The gate's row for a trained version against the champion: errors, projected balance since the cut-off, products.
+
+    Without a champion its columns are null.
+    """
+    log = store.read("model_versions").filter(F.col("model_name") == model_name)
+    champion = decide.champion_versus_challenger(log).first()
+    later = features.filter(F.col("reporting_period") >= F.lit(cutoff).cast("date"))
+
+    def standing(of: int | None) -> tuple[float | None, int | None]:
+        if of is None:
+            return None, None
+        ratios = store.read("training_ratio_tables").filter(F.col("model_version") == str(of))
+        balance = project.score(later, ratios).agg(F.sum("balance_pred").cast("double")).first()[0]
+        return balance, ratios.agg(F.countDistinct("product")).first()[0]
+
+    leader = champion["champion_version"] if champion else None
+    (new_balance, new_products), (old_balance, old_products) = standing(version), standing(leader)
+    row = summary.select(
+        F.lit(model_name).alias("model_name"),
+        F.lit(str(version)).alias("model_version"),
+        F.lit(description).alias("description"),
+        F.col("portfolio_mape").alias("challenger_mape"),
+        F.lit(champion["champion_metric"] if champion else None).cast("double").alias("champion_mape"),
+        F.lit(new_balance).cast("double").alias("challenger_balance"),
+        F.lit(old_balance).cast("double").alias("champion_balance"),
+        F.lit(new_products).cast("long").alias("challenger_products"),
+        F.lit(old_products).cast("long").alias("champion_products"),
+    )
+    return decide.challenger_gate(row)
+
+
+def promote_job(
+    store: Store, model_name: str, version: int, cutoff: str, now: str, environment: str = "dev", approval: bool = True
+) -> Row:
+    """Decide on a registered version, after the approval where one is asked for. Returns the promotion decision."""
     log = store.read("model_versions").filter(F.col("model_name") == model_name)
-    decided = materialize(decide.promotion(decide.champion_versus_challenger(log)), "decided")
+    pair = decide.promotion(decide.champion_versus_challenger(log))
+    if approval:
+        asked = F.col("request_id") == f"{model_name}-{version}"
+        last = decide.latest_approvals(store.read("model_approvals").filter(asked)).first()
+        if last is None or last["approval_status"] != decide.APPROVED:
+            why = "waiting for approval" if last is None else "turned down"
+            pair = pair.withColumn("promoted", F.lit(False)).withColumn("reason", F.lit(why))
+            if last is None:
+                return pair.first()
+    decided = materialize(pair, "decided")
     outcome = decide.decision_events(decided, now).filter(F.col("event") != decide.REGISTERED)
     store.append(outcome, "model_versions")
     decision = decided.first()
     if decision["promoted"]:
-        store.append(drift.freeze_baseline(features, str(version), now), "reference_feature_snapshot")
+        store.append(drift.freeze_baseline(store.read("cohort_matrix"), str(version), now), "reference_feature_snapshot")
     card = decided.select(
         "model_name", F.col("challenger_version").cast("string").alias("model_version"), "promoted",
         F.col("reason").alias("promotion_reason"), F.col("challenger_metric").alias("portfolio_mape"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from ebbtide.operators import decide
 from ebbtide.plans import jobs
 from ebbtide.session import materialize
 from ebbtide.sources import sample_views as views
@@ -47,3 +48,19 @@ def test_three_jobs(spark, folder):
     matrix = store.read("cohort_matrix")
     assert store.read("feature_store_cohort").count() == matrix.count() > 0
     assert store.read("training_feature_snapshots").count() == 2 * matrix.count()
+
+    assert {(r.request_id, r.approval_status) for r in store.read("model_approvals").collect()} == {("m-1", "PENDING"), ("m-2", "PENDING")}
+    with pytest.raises(ValueError, match="has_description"):
+        jobs.train_job(store, known, rates, None, None, version=3, now="2001-04-01 00:00:00", description=" ", **settings)
+    third = {r.event for r in store.read("model_versions").filter("version = 3").collect()}
+    assert third == {"rejected"}
+    refused = store.read("model_approvals").filter("model_version = '3'").first()
+    assert refused.approval_status == "REJECTED" and refused.checks_passed["coverage_passed"]
+
+    other = {**settings, "model_name": "n"}
+    waiting = jobs.train_job(store, known, rates, None, None, version=1, now="2001-05-01 00:00:00", approval=True, **other)
+    assert not waiting["promoted"] and waiting["reason"] == "waiting for approval"
+    pending = store.read("model_approvals").filter("model_name = 'n'").withColumn("decision_id", F.lit(1).cast("long"))
+    store.append(materialize(decide.decision_rows(pending, "approved", "someone", "2001-05-02 00:00:00"), "decided"), "model_approvals")
+    assert jobs.promote_job(store, "n", 1, "2000-01-01", "2001-05-03 00:00:00")["promoted"]
+    assert jobs.promote_job(store, "n", 1, "2000-01-01", "2001-05-04 00:00:00")["champion_version"] == 1
