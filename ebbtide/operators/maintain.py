@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Size of the files that a compaction aims at.
+FILE_BYTES = 128 << 20
+
+
 def canonical_row(df: DataFrame) -> Column:
     """The row as one text that any engine can write: fractions with six decimals, times to the second, ``~`` for null,
     each value after its length."""
@@ -25,15 +29,20 @@ def canonical_row(df: DataFrame) -> Column:
     return F.concat(*[text(c) for c in df.columns])
 
 
-def content_summary(df: DataFrame) -> DataFrame:
-    """One row: row count and a hash of the content that does not depend on row order or partitioning.
+def _content(df: DataFrame) -> list[Column]:
+    """Row count, and the sum of the first 15 hexadecimal digits of each row's md5.
 
-    The hash is the sum of the first 15 hexadecimal digits of each row's md5. They are summed as DECIMAL, so the sum
-    neither overflows nor depends on the order of addition.
+    The hashes are summed as DECIMAL, so the sum neither overflows nor depends on the order of addition.
     """
     digits = F.substring(F.md5(canonical_row(df).cast("binary")), 1, 15)
     row_hash = F.conv(digits, 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("content_hash"))
+    total = F.coalesce(F.sum(row_hash), F.lit(0)).cast("string")
+    return [F.count("*").alias("row_count"), total.alias("content_hash")]
+
+
+def content_summary(df: DataFrame) -> DataFrame:
+    """One row: row count and a hash of the content that does not depend on row order or partitioning."""
+    return df.agg(*_content(df))
 
 
 def manifest(df: DataFrame, dataset_name: str, source: str, environment: str, recorded_at: str) -> DataFrame:
@@ -61,30 +70,56 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) ->
     return ranged.sortWithinPartitions(*keys)
 
 
-def compact(spark: SparkSession, source: str, target: str, columns: Sequence[str] = (), files: int | None = None) -> DataFrame:
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files of a table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def compact(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    columns: Sequence[str] = (),
+    files: int | None = None,
+    file_bytes: int = FILE_BYTES,
+) -> DataFrame:
     """Rewrite a Parquet table clustered by the columns, and compare the content before handing it over.
 
-    Writes ``target`` and returns one row (rows and hash before and after, ``same_content``); the caller swaps the
-    tables only when that is true. Without columns it only compacts.
+    Writes ``target`` and returns one row (rows and hash before and after, ``same_content``); swap the tables only when
+    that is true. Without columns it only compacts; without ``files`` their number follows from the table's size. What
+    is written is counted and hashed on its way, so the source is not read again for that.
     """
+    files = files or max(1, -(-table_bytes(spark, source) // file_bytes))
     before = spark.read.parquet(source)
-    rewritten = cluster(before, columns, files) if columns else before.repartition(*([files] if files else []), F.xxhash64(*before.columns))
-    rewritten.write.mode("errorifexists").parquet(target)
+    rewritten = cluster(before, columns, files) if columns else before.repartition(files, F.xxhash64(*before.columns))
+    seen = Observation()
+    rewritten.observe(seen, *_content(before)).write.mode("errorifexists").parquet(target)
     after = spark.read.schema(before.schema).parquet(target)
-    now = content_summary(after).agg(F.max(F.struct("row_count", "content_hash"))).scalar()
     return (
-        content_summary(before)
-        .withColumn("_after", now)
+        content_summary(after)
         .select(
-            F.col("row_count").alias("rows_before"),
-            F.col("content_hash").alias("hash_before"),
-            F.col("_after.row_count").alias("rows_after"),
-            F.col("_after.content_hash").alias("hash_after"),
+            F.lit(seen.get["row_count"]).alias("rows_before"),
+            F.lit(seen.get["content_hash"]).alias("hash_before"),
+            F.col("row_count").alias("rows_after"),
+            F.col("content_hash").alias("hash_after"),
         )
         .withColumn("same_content", (F.col("rows_before") == F.col("rows_after")) & (F.col("hash_before") == F.col("hash_after")))
     )
 
 
+def swap(spark: SparkSession, path: str, replacement: str, kept_as: str) -> None:
+    """Put a rewritten table in the place of the old one, which is kept under another path. Only paths change."""
+    files = spark._jvm.org.apache.hadoop.fs
+    old, new, kept = files.Path(path), files.Path(replacement), files.Path(kept_as)
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.rename(old, kept):
+        raise OSError(f"{path} could not be moved")
+    if not system.rename(new, old):
+        system.rename(kept, old)
+        raise OSError(f"{replacement} could not be moved")
+
+
 def analyze_table(spark: SparkSession, table: str) -> None:
     """Refresh the planner's statistics of every column."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

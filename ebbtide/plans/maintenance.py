@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators.maintain import analyze_table, compact
-from ebbtide.session import new_table_path
+from ebbtide.operators.maintain import analyze_table, compact, swap
+from ebbtide.session import materialize
 
 # The columns each table is clustered by; tables without columns are only compacted.
 CLUSTERING: dict[str, tuple[str, ...]] = {
@@ -28,15 +29,21 @@ ANALYZED = ("cohort_matrix", "inference_predictions", "feature_store_cohort")
 
 
 def rewrite_all(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Rewrite each table beside the old one; one row per table says where, and whether the content is the same.
+    """Rewrite each table beside the old one, and put it in its place if the content is the same.
 
-    Nothing is swapped here: do that for the rows with ``same_content``.
+    One row per table: where the old files are kept (remove them when nothing reads them any more), or, if the content
+    differs, where the rewritten ones are. The number of files follows from each table's size.
     """
     report: DataFrame | None = None
     for table, path in paths.items():
-        target = new_table_path(spark, table)
-        row = compact(spark, path, target, CLUSTERING.get(table, ())).select(
-            F.lit(table).alias("table"), F.lit(target).alias("rewritten"), "*"
+        own = path.rstrip("/")
+        beside = f"{own}.rewritten-{uuid.uuid4().hex}"
+        row = materialize(compact(spark, own, beside, CLUSTERING.get(table, ())), "compaction")
+        same = row.first()["same_content"]
+        if same:
+            swap(spark, own, beside, kept := f"{own}.before-{uuid.uuid4().hex}")
+        row = row.select(
+            F.lit(table).alias("table"), F.lit(same).alias("swapped"), F.lit(kept if same else beside).alias("left_at"), "*"
         )
         report = row if report is None else report.unionByName(row)
     if report is None:

@@ -67,8 +67,15 @@ def latest_approval(spark, sf_dir):
     return rows.withColumn("approval_ts", F.date_format("approval_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
+# What each scenario of the gate does to a challenger.
+_SCENARIOS = ("as it is", "without description", "twice the error", "half the balance", "a cohort less")
+
+
 def challenger_gate(spark, sf_dir):
-    """Batch 3 challenges batch 2, product by product."""
+    """Batch 3 challenges batch 2, product by product, as it is and with a fault for each check.
+
+    One product's cohorts stand for the products of a model.
+    """
     rows = inputs.predictions(inputs.features(spark, sf_dir))
 
     def of(version: str, prefix: str):
@@ -81,7 +88,16 @@ def challenger_gate(spark, sf_dir):
         ]
 
     pairs = rows.groupBy("product").agg(*of("3", "challenger"), *of("2", "champion"))
-    gate = ops.challenger_gate(pairs.withColumn("description", F.col("product")))
+    scenario = F.col("scenario")
+    tried = pairs.withColumn("scenario", F.explode(F.array(*[F.lit(x) for x in _SCENARIOS]))).withColumns(
+        {
+            "description": F.when(scenario == _SCENARIOS[1], " ").otherwise(F.col("product")),
+            "challenger_mape": F.col("challenger_mape") * F.when(scenario == _SCENARIOS[2], 2.0).otherwise(1.0),
+            "challenger_balance": F.col("challenger_balance") * F.when(scenario == _SCENARIOS[3], 0.5).otherwise(1.0),
+            "challenger_products": F.col("challenger_products") - F.when(scenario == _SCENARIOS[4], 1).otherwise(0),
+        }
+    )
+    gate = ops.challenger_gate(tried)
     return gate.withColumns({c: F.round(c, 6) for c in ("challenger_mape", "champion_mape")})
 
 
@@ -175,21 +191,27 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
         sql.FEATURE_CTES
         + sql.prediction_ctes(inputs.LANDED_UNTIL)
         + [
-            f"""pairs AS (SELECT product, product AS description, {_GATE_MAPE.format(v='3')} AS challenger_mape,
+            f"""measured AS (SELECT product, {_GATE_MAPE.format(v='3')} AS challenger_mape,
   CAST(sum(balance_pred) FILTER (model_version = '3') AS DOUBLE) AS challenger_balance,
   count(DISTINCT cohort) FILTER (model_version = '3') AS challenger_products,
   {_GATE_MAPE.format(v='2')} AS champion_mape,
   CAST(sum(balance_pred) FILTER (model_version = '2') AS DOUBLE) AS champion_balance,
   count(DISTINCT cohort) FILTER (model_version = '2') AS champion_products
   FROM predictions GROUP BY 1)""",
-            """checked AS (SELECT *, true AS has_description,
+            f"""pairs AS (SELECT product, scenario, champion_mape, champion_balance, champion_products,
+  CASE WHEN scenario = '{_SCENARIOS[1]}' THEN ' ' ELSE product END AS description,
+  challenger_mape * CASE WHEN scenario = '{_SCENARIOS[2]}' THEN 2 ELSE 1 END AS challenger_mape,
+  challenger_balance * CASE WHEN scenario = '{_SCENARIOS[3]}' THEN 0.5::DOUBLE ELSE 1 END AS challenger_balance,
+  challenger_products - CASE WHEN scenario = '{_SCENARIOS[4]}' THEN 1 ELSE 0 END AS challenger_products
+  FROM measured, (SELECT unnest({list(_SCENARIOS)}) AS scenario))""",
+            """checked AS (SELECT *, length(trim(description)) > 0 AS has_description,
   (champion_mape - challenger_mape) / champion_mape * 100 >= -5 AS mape_passed,
   abs(challenger_balance - champion_balance) / champion_balance * 100 <= 30 AS business_metric_passed,
   challenger_products >= champion_products AS coverage_passed FROM pairs)""",
         ],
         """SELECT * REPLACE (round(challenger_mape, 6) AS challenger_mape, round(champion_mape, 6) AS champion_mape),
   has_description AND mape_passed AND business_metric_passed AND coverage_passed AS validation_passed,
-  concat_ws(', ', CASE WHEN NOT mape_passed THEN 'mape_passed' END,
+  concat_ws(', ', CASE WHEN NOT has_description THEN 'has_description' END, CASE WHEN NOT mape_passed THEN 'mape_passed' END,
     CASE WHEN NOT business_metric_passed THEN 'business_metric_passed' END,
     CASE WHEN NOT coverage_passed THEN 'coverage_passed' END) AS rejection_reason FROM checked""",
     ),

@@ -75,7 +75,7 @@ def dash_dataset_history(spark, sf_dir):
 def compact_table(spark, sf_dir):
     """Order lines rewritten by part and ship date; the content must not change."""
     target = new_table_path(spark, "compacted")
-    row = maintain.compact(spark, f"{sf_dir}/lineitem.parquet", target, ["l_partkey", "l_shipdate"], files=4)
+    row = maintain.compact(spark, f"{sf_dir}/lineitem.parquet", target, ["l_partkey", "l_shipdate"])
     return row.select("rows_before", "rows_after", "same_content")
 
 

@@ -64,7 +64,7 @@ def test_conform(spark):
 def test_tables(spark):
     names = schemas.TableNames("ebbtide_test")
     created = schemas.create_all(spark, names)
-    assert len(created) == len(schemas.TABLES) == 21 and schemas.create_all(spark, names) == created
+    assert len(created) == len(schemas.TABLES) == 19 and schemas.create_all(spark, names) == created
     stored = spark.table(names["model_approvals"]).schema
     assert [f.dataType for f in stored.fields] == [f.dataType for f in schemas.APPROVALS.fields]
     maintain.analyze_table(spark, names["drift_results"])
@@ -106,6 +106,10 @@ def test_maintenance_reports_every_table(spark, folder):
         spark.range(50).select(F.col("id").cast("string").alias("feature"), F.lit("t").alias("run_timestamp")).write.parquet(paths[table])
     report = maintenance.rewrite_all(spark, paths).collect()
     assert [r.table for r in report] == list(paths) and all(r.same_content and r.rows_after == 50 for r in report)
-    assert spark.read.parquet(report[0].rewritten).count() == 50
+    assert all(r.swapped for r in report)
+    # one file now, of the size that is aimed at, in the old place; the old ones are kept
+    swapped = spark.read.parquet(paths["drift_results"])
+    assert swapped.count() == 50 and len(swapped.inputFiles()) == 1
+    assert spark.read.parquet(report[0].left_at).count() == 50
     with pytest.raises(ValueError):
         maintenance.rewrite_all(spark, {})
