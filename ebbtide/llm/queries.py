@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, embedding_links, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, token_counts, url_filter
+from . import chat, checking_sql, embedding_links, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, token_counts, url_filter
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -110,4 +110,10 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN component ON id = vec_id LEFT JOIN counted ON a = vec_id
 """
 
-SQL: dict[str, str] = {"op9_embedding_near_dedup": EMBEDDING_SQL, "op7_source_mixing": mixing.sql(), "op10_chat_formatting": CHAT_SQL}
+SQL: dict[str, str] = {
+    "op3_quality_rules": checking_sql.rules(),
+    "op7_source_mixing": mixing.sql(),
+    "op8_ngram_jaccard_join": checking_sql.join(),
+    "op9_embedding_near_dedup": EMBEDDING_SQL,
+    "op10_chat_formatting": CHAT_SQL,
+}
