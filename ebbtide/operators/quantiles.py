@@ -43,7 +43,7 @@ def exact_quantiles(
         .withColumn("high", F.least(F.col("low") + 1, F.col("n") - 1))
         .withColumns({"below": F.lit(0).cast("long"), "inside": F.col("n")})
     )
-    state, largest = _count(rows, _narrow(targets), keys), None
+    state, largest = _count(rows, _narrow(targets), keys, len(probabilities)), None
     while True:
         more = F.col("inside") > slice_rows
         worst = state.filter(more & ~F.col("lo").eqNullSafe(F.col("hi"))).agg(F.max("inside")).first()[0]
@@ -52,7 +52,7 @@ def exact_quantiles(
         largest = worst
         at = null_safe_join(rows, _by_group(state.filter(more), keys), keys)
         parts = at.select(*keys, "v", F.explode(_slices_of(F.col("v"))).alias("i")).groupBy(*keys, "i").agg(cuts.alias("cuts"))
-        state = _count(rows, _narrow(null_safe_join(state, parts, [*keys, "i"], "left")), keys)
+        state = _count(rows, _narrow(null_safe_join(state, parts, [*keys, "i"], "left")), keys, len(probabilities))
     return _ranked(rows, state, keys)
 
 
@@ -83,20 +83,18 @@ def _slices_of(v: Column) -> Column:
     return F.transform(F.filter("slices", lambda s: _within(v, s)), lambda s: s["i"])
 
 
-def _count(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows below and inside each slice. A slice that misses its target opens to the whole group."""
+def _count(rows: DataFrame, state: DataFrame, keys: Sequence[str], many: int) -> DataFrame:
+    """Rows below and inside each of the ``many`` slices of a group. A slice that misses its target opens to the
+    whole group."""
     state = materialize(state, "slices")
-    many = state.agg(F.max("i")).first()[0]
     at = null_safe_join(rows, _by_group(state, keys), keys)
     counted = []
-    for k in range((-1 if many is None else many) + 1):
+    for k in range(many):
         s = F.col("slices")[k]
         counted += [F.count_if(F.coalesce(F.col("v") < s["lo"], F.lit(False))).alias(f"below_{k}"), F.count_if(_within(F.col("v"), s)).alias(f"inside_{k}")]
-    if not counted:
-        return state
     found = at.groupBy(*keys).agg(*counted).select(
         *keys,
-        F.posexplode(F.array(*[F.struct(F.col(f"below_{k}").alias("below"), F.col(f"inside_{k}").alias("inside")) for k in range(many + 1)])).alias("i", "c"),
+        F.posexplode(F.array(*[F.struct(F.col(f"below_{k}").alias("below"), F.col(f"inside_{k}").alias("inside")) for k in range(many)])).alias("i", "c"),
     )
     both = null_safe_join(state.drop("below", "inside"), found, [*keys, "i"])
     holds = (F.col("low") >= F.col("c.below")) & (F.col("high") < F.col("c.below") + F.col("c.inside"))

@@ -10,6 +10,7 @@ from ebbtide.operators import metrics, project, ratio_tables
 from ebbtide.queries import base_sql as sql
 from ebbtide.queries import inputs
 from ebbtide.queries.modelling import CUTOFF, LAST_COHORT
+from ebbtide.session import materialize
 
 _PREDICTED = [f"{m}_pred" for m in MEASURES]
 
@@ -30,9 +31,14 @@ def ratio_pivot(spark, sf_dir):
     return ratio_tables.pivot_ratio(table, "rec_pct", ["product"])
 
 
+def _ratios(feats):
+    """The ratio table, written: the planner knows its size and decides on the join by it."""
+    return materialize(inputs.given_ratios(feats), "given_ratios")
+
+
 def _projected(spark, sf_dir):
     feats = inputs.features_table(spark, sf_dir)
-    return project.project(project.lookup_ratios(feats, inputs.given_ratios(feats)))
+    return project.project(project.lookup_ratios(feats, _ratios(feats)))
 
 
 def project_balances(spark, sf_dir):
@@ -46,7 +52,7 @@ def score_batch(spark, sf_dir):
     """The months from the cut-off on, scored by the given ratio table, with row errors and audit columns."""
     feats = inputs.features_table(spark, sf_dir)
     batch = project.between_periods(feats, CUTOFF, None)
-    scored = project.score(batch, inputs.given_ratios(feats))
+    scored = project.score(batch, _ratios(feats))
     audited = project.add_audit(scored, "2024-01-31 00:00:00", "cohort_model", "7", "champion")
     return audited.select(
         *_months(), "product", "months_since_start", *[F.round(c, 2).alias(c) for c in _PREDICTED], *MEASURES,
