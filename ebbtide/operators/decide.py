@@ -120,6 +120,13 @@ def _number_of(stamped: Column) -> Column:
     return F.pmod(stamped, F.lit(_NUMBERS).cast("decimal(19,0)")).cast("long")
 
 
+def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of each key the row with the largest ``_stamp``: the stamps are reduced first, the rest of the row is joined to
+    what remains. A row without a stamp is no candidate."""
+    last = rows.groupBy(*keys).agg(F.max("_stamp").alias("_stamp"))
+    return rows.join(last, [*keys, "_stamp"]).drop("_stamp").dropDuplicates(list(keys))
+
+
 # --- version log: (model_name, version, event, event_ts, metric) --------------------------------------------------
 
 
@@ -170,14 +177,14 @@ def version_state(log: DataFrame) -> DataFrame:
 
 def champion_versus_challenger(log: DataFrame) -> DataFrame:
     """One row per model: both versions and their metrics, ready for ``promotion``."""
-    when = F.struct("event_ts", "version", "metric")
-    newest = F.max(F.when(F.col("event") == REGISTERED, when))
-    leader = F.max(F.when(F.col("event") == PROMOTED, when))
+    kind = log.schema["version"].dataType
+    when = _stamped(F.col("event_ts"), F.col("version"))
+    newest, leader = (F.when(F.col("event") == event, when) for event in (REGISTERED, PROMOTED))
     return log.groupBy("model_name").agg(
-        newest["version"].alias("challenger_version"),
-        newest["metric"].alias("challenger_metric"),
-        leader["version"].alias("champion_version"),
-        leader["metric"].alias("champion_metric"),
+        _number_of(F.max(newest)).cast(kind).alias("challenger_version"),
+        F.max_by("metric", newest).alias("challenger_metric"),
+        _number_of(F.max(leader)).cast(kind).alias("champion_version"),
+        F.max_by("metric", leader).alias("champion_metric"),
     )
 
 
@@ -213,9 +220,11 @@ def best_run(runs: DataFrame, keys: Sequence[str], metric: str = "metric", run:
 def latest_approvals(approvals: DataFrame) -> DataFrame:
     """Last decision per request; rows still pending do not count."""
     status = F.upper(F.trim("approval_status"))
-    decided = approvals.withColumn("approval_status", status).filter(status.isin(APPROVED, TURNED_DOWN))
-    last = F.max(F.struct("approval_ts", "decision_id", "approval_status", "approver"))
-    return decided.groupBy("request_id").agg(last.alias("_last")).select("request_id", "_last.*")
+    decided = approvals.withColumn("approval_status", status).filter(status.isin(APPROVED, TURNED_DOWN)).select(
+        "request_id", "approval_ts", "decision_id", "approval_status", "approver",
+        _stamped(F.col("approval_ts"), F.col("decision_id")).alias("_stamp"),
+    )
+    return _latest(decided, ["request_id"])
 
 
 def approval_requests(checked: DataFrame, requested_at: str) -> DataFrame:
@@ -263,8 +272,8 @@ def model_cards(versions: DataFrame, constants: Mapping[str, str], features: Seq
 
 def run_summary(log: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
     """One row per run with the latest value of each stage result; stages that never reported keep the default."""
-    latest = [
-        F.coalesce(F.max_by("value", F.when(F.col("key") == k, F.struct("logged_at", "entry_id"))), F.lit(d)).alias(k)
-        for k, d in defaults.items()
-    ]
-    return log.groupBy("run_id").agg(*latest)
+    stamped = log.select("run_id", "key", "value", _stamped(F.col("logged_at"), F.col("entry_id")).alias("_stamp"))
+    last = _latest(stamped.filter(F.col("key").isin(*defaults)), ["run_id", "key"])
+    found = last.groupBy("run_id").agg(*[F.max(F.when(F.col("key") == k, F.col("value"))).alias(k) for k in defaults])
+    shown = [F.coalesce(F.col(k), F.lit(d)).alias(k) for k, d in defaults.items()]
+    return log.select("run_id").distinct().join(found, "run_id", "left").select("run_id", *shown)
