@@ -12,6 +12,7 @@ from ebbtide.operators import cohort, decide, drift, maintain, metrics, project,
 from ebbtide.operators.prep import MAIN_WINDOW
 from ebbtide.plans import monitoring, training
 from ebbtide.session import materialize
+from ebbtide.sources import readers
 from ebbtide.sources.readers import require_rows
 from ebbtide.sources.store import Store
 
@@ -32,6 +33,20 @@ def evaluate(run: training.Training, features: DataFrame, cutoff: str, last_coho
     return metrics.against_baseline(metrics.error_metrics(flows, ["product"]), baseline)
 
 
+def ingest_job(store: Store, accounts: str, rates: str, products: str | None = None) -> None:
+    """Raw files into the raw tables; an empty file is refused before anything is replaced."""
+    found = {
+        "raw_base_data": readers.read_accounts(store.spark, accounts),
+        "raw_best_buy": readers.read_rates(store.spark, rates),
+    }
+    if products is not None:
+        found["raw_products"] = readers.read_products(store.spark, products)
+    for table, rows in found.items():
+        require_rows(rows, table)
+    for table, rows in found.items():
+        store.overwrite(rows, table)
+
+
 def train_job(
     store: Store,
     accounts: DataFrame,

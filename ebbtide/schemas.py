@@ -118,6 +118,21 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
+#: Logs are partitioned by run and tables by version, so that the newest batch does not cost the whole history; keyed
+#: tables by a month that the key determines, so that an upsert rewrites the months it touches.
+PARTITIONED_BY: dict[str, tuple[str, ...]] = {
+    "feature_store_cohort": ("reporting_period",),
+    "inference_features": ("reporting_period",),
+    "inference_predictions": ("scored_at",),
+    "model_eval_metrics": ("evaluated_at",),
+    "monitoring_metrics": ("logged_at",),
+    "training_feature_snapshots": ("snapshot_timestamp",),
+    "reference_feature_snapshot": ("model_version",),
+    "reference_prediction_snapshot": ("model_version",),
+    "training_ratio_tables": ("model_version",),
+}
+
+
 @dataclass(frozen=True)
 class TableNames:
     """Full names of the tables of one schema (and catalog, where the session has several)."""

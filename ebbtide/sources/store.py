@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.schemas import TABLES, conform
+from ebbtide.schemas import PARTITIONED_BY, TABLES, conform
 from ebbtide.sources import writers
 
 
@@ -27,13 +27,14 @@ class Store:
         """The table; an empty frame of its schema before the first write."""
         if not self.exists(table):
             return self.spark.createDataFrame([], TABLES[table])
-        return self.spark.read.schema(TABLES[table]).parquet(self.path(table))
+        schema = TABLES[table]
+        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)  # partitions come last
 
     def append(self, df: DataFrame, table: str) -> None:
-        writers.append(df, self.path(table), TABLES[table])
+        writers.append(df, self.path(table), TABLES[table], PARTITIONED_BY.get(table, ()))
 
     def overwrite(self, df: DataFrame, table: str) -> None:
-        writers.overwrite(conform(df, TABLES[table]), self.path(table))
+        writers.overwrite(conform(df, TABLES[table]), self.path(table), PARTITIONED_BY.get(table, ()))
 
     def upsert(self, df: DataFrame, table: str, keys: tuple[str, ...]) -> None:
-        writers.upsert_table(conform(df, TABLES[table]), self.path(table), keys)
+        writers.upsert_table(conform(df, TABLES[table]), self.path(table), keys, PARTITIONED_BY.get(table, ()))

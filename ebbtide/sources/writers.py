@@ -33,19 +33,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def upsert_table(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+def upsert_table(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
     """Create the keyed table, or merge into it: incoming rows replace those of the same key.
 
-    The merged table is written in the shared folder first, since it reads the one it replaces.
+    With ``partition_by``, columns that the key determines, only the partitions of incoming rows are read and
+    rewritten; the files of the others stay. Without, the whole table is. The merged rows are written in the shared
+    folder first, since they come from what they replace.
     """
     spark = df.sparkSession
     assert_unique(df, keys)
     if not path_exists(spark, path):
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-    merged = materialize(keyed_upsert(read_log(spark, path), df, keys), "upsert")
-    merged.write.mode("overwrite").parquet(path)
-    return spark.read.schema(merged.schema).parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    old = read_log(spark, path)
+    if partition_by:
+        touched = df.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_by]).distinct()
+        own = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by]
+        old = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        old = old.join(touched, own, "left_semi")
+    merged = materialize(keyed_upsert(old, df, keys), "upsert")
+    writer = merged.write.mode("overwrite").partitionBy(*partition_by)
+    (writer.option("partitionOverwriteMode", "dynamic") if partition_by else writer).parquet(path)
+    return spark.read.schema(merged.schema).parquet(path).select(*merged.columns)
 
 
 def append_snapshot(df: DataFrame, path: str, stamp: str, catalog: str, schema: str) -> None:

@@ -113,3 +113,56 @@ def test_maintenance_reports_every_table(spark, folder):
     assert spark.read.parquet(report[0].left_at).count() == 50
     with pytest.raises(ValueError):
         maintenance.rewrite_all(spark, {})
+
+
+def test_an_upsert_leaves_untouched_partitions_alone(spark, folder):
+    from ebbtide.sources import writers
+
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "b", "x"), (4, None, "x")], "k int, month string, v string")
+    path = f"{folder}/keyed"
+    writers.upsert_table(rows, path, ("k",), ("month",))
+    before = {f for f in spark.read.parquet(path).inputFiles()}
+    new = spark.createDataFrame([(2, "a", "new"), (5, "c", "new"), (4, None, "new")], "k int, month string, v string")
+    merged = writers.upsert_table(new, path, ("k",), ("month",))
+    assert merged.columns == rows.columns
+    assert sorted((r.k, r.month or "", r.v) for r in merged.collect()) == [
+        (1, "a", "x"), (2, "a", "new"), (3, "b", "x"), (4, "", "new"), (5, "c", "new"),
+    ]
+    after = {f for f in spark.read.parquet(path).inputFiles()}
+    assert {f for f in before if "month=b" in f} == {f for f in after if "month=b" in f}
+    assert not {f for f in before if "month=a" in f} & after
+
+
+def test_logs_are_partitioned_by_run(spark, folder):
+    from ebbtide.operators import metrics
+    from ebbtide.sources.store import Store
+
+    store = Store(spark, folder)
+    for stamp in ("2001-01-01 00:00:00", "2001-02-01 10:20:30"):
+        batch = spark.range(3).select(F.col("id").cast("string").alias("product"), F.lit(stamp).cast("timestamp").alias("scored_at"))
+        store.append(batch.withColumns({c: F.lit(d).cast(t) for c, d, t in (("cohort", "2000-01-01", "date"), ("months_since_start", 3, "int"))}), "inference_predictions")
+    log = store.read("inference_predictions")
+    assert log.columns == schemas.PREDICTIONS.names
+    newest = metrics.latest_batch(log)
+    assert newest.count() == 3 and newest.first().scored_at.isoformat() == "2001-02-01T10:20:30"
+    assert "PartitionFilters: [isnotnull(scored_at" in newest._jdf.queryExecution().toString()
+
+
+def test_ingest_fills_the_raw_tables(spark, folder):
+    from ebbtide.plans import jobs
+    from ebbtide.sources.store import Store
+
+    names = {v: k for k, v in readers.RAW_ACCOUNT_NAMES.items()}
+    accounts = spark.range(4).select(
+        F.col("id").cast("string").alias(names["account_id"]), F.lit("2020-01-05").alias(names["opening_date"]),
+        F.lit("2020-02-01").alias(names["reporting_period"]), F.lit("P1").alias(names["product_code"]), F.lit(1.5).alias(names["period_balance"]),
+    )
+    accounts.write.parquet(f"{folder}/accounts")
+    spark.createDataFrame([("2020-02", "A", 1.0)], readers.RAW_RATES).write.csv(f"{folder}/rates", header=True)
+    store = Store(spark, f"{folder}/store")
+    jobs.ingest_job(store, f"{folder}/accounts", f"{folder}/rates")
+    assert store.read("raw_base_data").count() == 4 and store.read("raw_best_buy").first().best_buy == 1.0
+    accounts.limit(0).write.parquet(f"{folder}/none")
+    with pytest.raises(ValueError, match="no rows"):
+        jobs.ingest_job(store, f"{folder}/none", f"{folder}/rates")
+    assert store.read("raw_base_data").count() == 4
