@@ -32,12 +32,14 @@ SHINGLE = 5
 PERCENT = 80
 #: First-level partitions for each one needed, since some are not solid.
 MARGIN = 1.15
-#: Bins of the count vector by which a pair's differences are bounded from below.
-BINS = 256
+#: Bins of the count vector by which a pair's differences are bounded from below, and of the short one.
+BINS, SHORT = 256, 64
 #: Signatures that a task gathers before it sends them on.
-FLUSH = 1 << 20
-#: Rows of a signature's members that are compared at a time.
+FLUSH = 1 << 19
+#: Members of a signature that are compared at a time.
 BLOCK = 2048
+#: Rounds in which each class is compared with its likeliest partner, before all that is left is compared.
+ROUNDS = 3
 #: Bits of the filter that spares reading most sets that no pair needs (false hits only cost a little).
 FILTER_BITS = 1 << 23
 
@@ -171,44 +173,30 @@ def prints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return map_texts(docs, [docs["doc_id"], docs["text"]], work, schema)
 
 
-_MATCHES = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("entries", pa.binary())])
-STAR, MEMBER, ENTRIES = 0, 1, 2
+_MATCHES = pa.schema(
+    [("bucket", pa.int32()), ("kind", pa.int32()), ("signature", pa.int64()), ("cls", pa.int64()), ("entries", pa.binary())]
+)
+MEMBER, ENTRIES = 0, 1
 
 
-def _rows(kind: int, buckets: int, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
-    """Rows that pass through the exchange, dealt by their first id."""
-    k = len(a)
-    columns = [
-        pa.array((mix(a.view(_U)) % _U(buckets)).astype(np.int32)),
-        pa.array(np.full(k, kind, np.int32)),
-        pa.array(a, pa.int64()),
-        pa.array(b, pa.int64()),
-        pa.array(np.ones(k, np.int64) if n is None else n, pa.int64()),
-        pa.nulls(k, pa.binary()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, schema=_MATCHES)
-
-
-def _groups(signature: np.ndarray, cls: np.ndarray, buckets: int) -> tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]:
-    """For signatures that several classes share: who shares them, and how often a class shares one with the smallest
-    class there. Also each signature once, with its smallest class."""
+def _groups(signature: np.ndarray, cls: np.ndarray, buckets: int) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    """Who shares a signature with another class, dealt by signature; and each signature once, with its smallest class."""
     order = np.lexsort((cls, signature))
     signature, cls = signature[order], cls[order]
     new = np.append(True, (signature[1:] != signature[:-1]) | (cls[1:] != cls[:-1]))[: len(signature)]
     signature, cls = signature[new], cls[new]
     opens = np.append(True, signature[1:] != signature[:-1])[: len(signature)]
-    begins = np.flatnonzero(opens)
-    smallest = cls[begins]
-    group = np.cumsum(opens) - 1
+    begins, group = np.flatnonzero(opens), np.cumsum(opens) - 1
     shared = np.bincount(group, minlength=len(begins))[group] > 1
-    out = []
-    if shared.any():
-        out.append(_rows(MEMBER, buckets, signature[shared].view(np.int64), cls[shared]))
-        other = shared & ~opens
-        pairs = np.stack([cls[other], smallest[group[other]]], axis=1)
-        pairs, times = np.unique(pairs, axis=0, return_counts=True)
-        out.append(_rows(STAR, buckets, pairs[:, 0].copy(), pairs[:, 1].copy(), times))
-    return out, signature[begins], smallest
+    k = int(shared.sum())
+    columns = [
+        pa.array((mix(signature[shared]) % _U(buckets)).astype(np.int32)),
+        pa.array(np.full(k, MEMBER, np.int32)),
+        pa.array(signature[shared].view(np.int64)),
+        pa.array(cls[shared]),
+        pa.nulls(k, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_MATCHES), signature[begins], cls[begins]
 
 
 def _sign(size: int, percent: int, buckets: int):
@@ -217,8 +205,8 @@ def _sign(size: int, percent: int, buckets: int):
     def flush(cls: list[np.ndarray], found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not cls:
             return
-        out, signature, smallest = _groups(np.concatenate(found), np.concatenate(cls), buckets)
-        yield from out
+        members, signature, smallest = _groups(np.concatenate(found), np.concatenate(cls), buckets)
+        yield members
         bucket = (signature >> _U(48)).astype(np.int64) * buckets >> 16
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(cuts))
@@ -237,7 +225,7 @@ def _sign(size: int, percent: int, buckets: int):
         n = len(used)
         nothing = pa.array(np.zeros(n, np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(np.full(n, ENTRIES, np.int32)), nothing, nothing, nothing, pa.array(entries, pa.binary())],
+            [pa.array(used.astype(np.int32)), pa.array(np.full(n, ENTRIES, np.int32)), nothing, nothing, pa.array(entries, pa.binary())],
             schema=_MATCHES,
         )
 
@@ -283,24 +271,23 @@ def _match(buckets: int):
         for batch in batches:
             kinds = batch.column(1).to_numpy()
             yield batch.filter(pa.array(kinds != ENTRIES))
-            for entries in batch.column(5).filter(pa.array(kinds == ENTRIES)).to_pylist():
+            for entries in batch.column(4).filter(pa.array(kinds == ENTRIES)).to_pylist():
                 signature, ids = _unpack(entries)
                 found.append(signature)
                 cls.append(ids)
         if found:
-            yield from _groups(np.concatenate(found), np.concatenate(cls), buckets)[0]
+            yield _groups(np.concatenate(found), np.concatenate(cls), buckets)[0]
 
     return run
 
 
-def matches(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Who shares signatures: rows (kind, a, b, n), of kind STAR (class, smallest class there, how many signatures)
-    and of kind MEMBER (signature, class)."""
+def shared_signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(signature, cls) for the classes that share a signature with another one; a row may come twice."""
     partitions = shuffle_partitions(docs.sparkSession)
     buckets = 4 * partitions
-    schema = "bucket int, kind int, a long, b long, n long, entries binary"
+    schema = "bucket int, kind int, signature long, cls long, entries binary"
     signed = docs.select("text").mapInArrow(_sign(size, percent, buckets), schema)
-    return signed.repartition(partitions, "bucket").mapInArrow(_match(buckets), schema).drop("bucket", "entries")
+    return signed.repartition(partitions, "bucket").mapInArrow(_match(buckets), schema).select("signature", "cls")
 
 
 def _possible(counts_a: np.ndarray, counts_b: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
@@ -309,8 +296,13 @@ def _possible(counts_a: np.ndarray, counts_b: np.ndarray, total: np.ndarray, per
     return (100 + percent) * apart <= (100 - percent) * total
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), BINS)
+def _vectors(column: pa.Array, bins: int = BINS) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), bins)
+
+
+def _shortened(counts: np.ndarray, bins: int) -> np.ndarray:
+    """Neighbouring bins added up; sums and caps never move two vectors further apart."""
+    return np.minimum(counts.reshape(len(counts), bins, -1).sum(axis=2), 255).astype(np.uint8)
 
 
 def _sift(percent: int):
@@ -368,75 +360,95 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return found.groupBy("cls").agg(F.first("set").alias("set"))
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` of classes whose sets are similar, by their whole sets."""
-    ids = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    sets = _sets(docs, ids, size)
-    sa, sb = sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), sets.select(F.col("cls").alias("b"), F.col("set").alias("sb"))
-    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long")
+def _verify(docs: DataFrame, vectors: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` of classes whose whole sets are similar.
 
+    The long count vectors leave few others, so that sets are made, and moved, for little more than what links.
+    """
+    va = vectors.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
+    vb = vectors.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
+    sifted = pairs.distinct().join(va, "a").join(vb, "b").mapInArrow(_sift(percent), "a long, b long")
+    sifted = materialize(sifted, "pairs")
+    sets = _sets(docs, sifted.select(F.col("a").alias("cls")).union(sifted.select("b")).distinct(), size)
+    sa = sets.select(F.col("cls").alias("a"), F.col("set").alias("sa"))
+    sb = sets.select(F.col("cls").alias("b"), F.col("set").alias("sb"))
+    both = sifted.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
+    return materialize(both.mapInArrow(_linked(percent), "a long, b long"), "links")
 
-def _cross_pairs(percent: int):
-    """Of the members of each signature's block: pairs from different components that may be similar."""
 
-    def block(rows: pa.RecordBatch) -> np.ndarray:
+def _candidates(percent: int, best: bool):
+    """In tasks, over the members of signatures in order of size: pairs from different components that may be similar.
+
+    With ``best``, for each class only the pair that the bound leaves most room, as (a, b, score); else all pairs.
+    """
+
+    def pairs_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cls, component, n, side = (rows.column(k).to_numpy() for k in ("cls", "component", "n", "side"))
-        counts = _vectors(rows.column("counts"))
-        found = [np.zeros((0, 2), np.int64)]
-        for i in np.flatnonzero(side != 2):  # side 0: within the block, 1: its rows, 2: its columns
-            other = np.flatnonzero((side == 2 if side[i] == 1 else cls > cls[i]) & (component != component[i]))
-            other = other[(n[other] * percent <= n[i] * 100) & (n[i] * percent <= n[other] * 100)]
-            if len(other):
-                other = other[_possible(counts[other], counts[i], n[other] + n[i], percent)]
-                found.append(np.stack([np.minimum(cls[other], cls[i]), np.maximum(cls[other], cls[i])], axis=1))
-        return np.concatenate(found)
-
-    def blocks(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        short = _vectors(rows.column("short"), SHORT)
+        coarse = short.reshape(len(short), 16, -1).sum(axis=2).astype(np.int16)
         key = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in ("signature", "i", "j")])
-        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1), rows.num_rows]
-        for begin, end in zip(cuts[:-1], cuts[1:]):
-            yield rows.slice(begin, end - begin)
+        opens = np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))
+        ends = np.append(np.flatnonzero(opens)[1:], len(cls))[np.cumsum(opens) - 1]
+        found = []
+        left, step = np.arange(len(cls)), 0
+        while len(left):  # each row with the next one of its block, then with the one after that, and so on
+            step += 1
+            left = left[left + step < ends[left]]
+            other = left + step
+            near = n[other] * percent <= n[left] * 100  # those further on are larger still
+            left, other = left[near], other[near]
+            # side 0: within a block; 1 and 2: the rows and columns of two blocks
+            can = (component[left] != component[other]) & ((side[left] == 0) | (side[left] != side[other]))
+            a, b = left[can], other[can]
+            for vectors in (coarse, short):
+                total = n[a] + n[b]
+                apart = np.abs(vectors[a].astype(np.int16) - vectors[b]).sum(axis=1, dtype=np.int64)
+                can = (100 + percent) * apart <= (100 - percent) * total
+                a, b, apart, total = a[can], b[can], apart[can], total[can]
+            found.append(np.stack([cls[a], cls[b], apart * 1_000_000 // np.maximum(total, 1)]))
+        a, b, score = np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1)
+        return np.minimum(a, b), np.maximum(a, b), score
+
+    def results(rows: pa.RecordBatch) -> pa.RecordBatch:
+        a, b, score = pairs_of(rows)
+        if best:  # for either end
+            a, b, score = np.append(a, b), np.append(b, a), np.append(score, score)
+        order = np.lexsort((b, score, a) if best else (score, b, a))
+        a, b, score = a[order], b[order], score[order]
+        first = np.append(True, a[1:] != a[:-1])[: len(a)]
+        if not best:
+            first[1:] |= b[1:] != b[:-1]
+        return pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (a, b, score)], ["a", "b", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def results(whole: list[pa.RecordBatch]) -> pa.RecordBatch:
-            pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *map(block, whole)]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-
         rest: list[pa.RecordBatch] = []  # a block may go on in the next batch
         for batch in batches:
-            *whole, last = blocks(pa.Table.from_batches([*rest, batch]).combine_chunks().to_batches()[0])
-            rest = [last]
-            yield results(whole)
-        yield results(rest)
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*rest, batch]).combine_chunks().to_batches()[0]
+            last = np.ones(rows.num_rows, bool)
+            for k in ("signature", "i", "j"):
+                last &= rows.column(k).to_numpy() == rows.column(k)[-1].as_py()
+            cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if cut:
+                yield results(rows.slice(0, cut))
+            rest = [rows.slice(cut)]
+        for rows in rest:
+            yield results(rows)
 
     return run
 
 
-def link_classes(docs: DataFrame, known: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes: enough of them that classes are connected if and only if similar pairs connect them.
-
-    First each class is compared with the one that it shares most signatures with as that signature's smallest. Then,
-    for each signature whose members are not yet connected, all pairs of members in different components are.
-    """
-    found = materialize(matches(docs, size, percent), "matches")
-    stars = found.filter(F.col("kind") == STAR).groupBy("a", "b").agg(F.sum("n").alias("n"))
-    best = stars.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-    vectors = known.filter("counts is not null").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counts").alias("counts"))
-    vectors = materialize(vectors, "vectors")
-    va = vectors.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
-    vb = vectors.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
-    sifted = best.join(va, "a").join(vb, "b").mapInArrow(_sift(percent), "a long, b long")
-    near = materialize(_verify(docs, materialize(sifted, "sifted"), size, percent), "near")
-    joined = components(near).select(F.col("id").alias("cls"), "component")
-
-    members = found.filter(F.col("kind") == MEMBER).select(F.col("a").alias("signature"), F.col("b").alias("cls"))
-    members = members.join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    members = materialize(members.distinct(), "members")
-    split = members.groupBy("signature").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("members")
-    ).filter("_low <> _high").select("signature", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+def _blocks(members: DataFrame, component: DataFrame) -> DataFrame:
+    """Members of signatures that are not yet connected, cut into blocks; block i meets each block j >= i."""
+    named = members.join(component, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    split = (
+        named.groupBy("signature")
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"))
+        .filter("_low <> _high")
+        .select("signature", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
+    )
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    # block i meets block j >= i: as rows if it is i, as columns if it is j
     meets = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(
@@ -445,17 +457,52 @@ def link_classes(docs: DataFrame, known: DataFrame, size: int, percent: int) ->
             F.when(F.col("own") == j, 0).when(F.col("own") < j, 1).otherwise(2).alias("side"),
         ),
     )
-    blocks = (
-        members.join(split, "signature")
-        .withColumn("own", own)
-        .withColumn("meets", F.explode(meets))
-        .select("signature", "cls", "component", "meets.*")
-        .join(vectors, "cls")
-    )
+    dealt = named.join(split, "signature").withColumn("own", own).withColumn("meets", F.explode(meets))
     key = ["signature", "i", "j"]
-    pairs = blocks.repartition(*key).sortWithinPartitions(*key).mapInArrow(_cross_pairs(percent), "a long, b long")
-    pairs = pairs.distinct()
-    return near.union(_verify(docs, materialize(pairs, "pairs"), size, percent))
+    dealt = dealt.select("signature", "cls", "component", "n", "short", "meets.*")
+    return dealt.repartition(*key).sortWithinPartitions(*key, "n")
+
+
+def link_classes(docs: DataFrame, known: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes: enough of them that classes are connected if and only if similar pairs connect them.
+
+    In each of a few rounds a class is compared with one partner: of those that share a signature and belong to another
+    component, the likeliest. What is similar becomes connected, so a large group of copies costs a comparison for
+    each copy and not for each pair. Then all pairs that share a signature and still lie in different components are
+    compared. A pair is left out only if its count vectors show that it cannot be similar.
+    """
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = _shortened(_vectors(batch.column("counts")), SHORT)
+            columns = [batch.column("cls"), batch.column("n"), pa.array([x.tobytes() for x in short], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "n", "short"])
+
+    vectors = known.filter("counts is not null").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counts").alias("counts"))
+    vectors = materialize(vectors, "vectors")
+    short = vectors.mapInArrow(shorten, "cls long, n long, short binary")
+    members = shared_signatures(docs, size, percent).distinct().join(short, "cls")
+    members = materialize(members, "members")
+
+    found = "a long, b long, score long"
+    component = docs.sparkSession.createDataFrame([], "cls long, component long")
+    links: list[DataFrame] = []
+    for _ in range(ROUNDS):
+        best = _blocks(members, component).mapInArrow(_candidates(percent, best=True), found)
+        best = best.groupBy("a").agg(F.min(F.struct("score", "b"))["b"].alias("b"))
+        pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        links.append(_verify(docs, vectors, pairs, size, percent))
+        component = components(_union(links)).select(F.col("id").alias("cls"), "component")
+    left = _blocks(members, component).mapInArrow(_candidates(percent, best=False), found).select("a", "b")
+    links.append(_verify(docs, vectors, left, size, percent))
+    return _union(links)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    first, *rest = frames
+    for frame in rest:
+        first = first.union(frame)
+    return first
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
