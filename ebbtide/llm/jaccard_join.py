@@ -32,10 +32,13 @@ SHINGLE = 5
 PERCENT = 80
 #: First-level partitions for each one needed, since some are not solid.
 MARGIN = 1.15
-#: Bins of the count vector by which a pair's differences are bounded from below, and of the short one.
-BINS, SHORT = 256, 64
+#: Bins of the count vectors by which a pair's differences are bounded from below: (largest set, bins of the short
+#: vector that travels with signatures, bins of the long one). Sets with more features need more bins to be told apart.
+BINS = ((1024, 64, 256), (4096, 256, 256), (None, 1024, 1024))
 #: Signatures that a task gathers before it sends them on.
 FLUSH = 1 << 19
+#: Candidate pairs that a task gathers before it sends them on.
+HELD = 1 << 19
 #: Members of a signature that are compared at a time.
 BLOCK = 2048
 #: Rounds in which each class is compared with its likeliest partner, before all that is left is compared.
@@ -83,12 +86,38 @@ def classes(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(a ^ mix(b + np.diff(bounds).astype(_U))).view(np.int64)
 
 
-def count_vectors(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """How many features fall into each of BINS bins, 255 at most; a set differs from another by their distance at least."""
-    n = len(bounds) - 1
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    counts = np.bincount(owner * BINS + (mix(keys + _U(77)) % _U(BINS)).astype(np.int64), minlength=n * BINS)
-    return np.minimum(counts, 255).astype(np.uint8).reshape(n, BINS)
+def _bins(size: np.ndarray, which: int) -> np.ndarray:
+    out = np.full(len(size), BINS[-1][which])
+    for row in BINS[-2::-1]:
+        out[size <= row[0]] = row[which]
+    return out
+
+
+def count_vectors(keys: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each set how many features fall into each of its bins, 255 at most.
+
+    Bins are runs of a hash's values, so neighbouring ones add up to those of a shorter vector. Two sets differ by
+    the distance of their vectors at least, since sums and caps never move vectors further apart.
+    """
+    sizes = np.diff(bounds)
+    bins = _bins(sizes, 2)
+    begin = np.append(0, np.cumsum(bins))
+    place = (mix(keys + _U(77)) >> _U(32)) * np.repeat(bins, sizes).astype(_U) >> _U(32)
+    counts = np.bincount(np.repeat(begin[:-1], sizes) + place.astype(np.int64), minlength=int(begin[-1]))
+    packed = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return [packed[x:y] for x, y in zip(begin[:-1], begin[1:])]
+
+
+def _level(vectors: list[bytes], bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors of that many bins or more, shortened to them, and for each vector its row there (-1: none)."""
+    lengths = np.fromiter(map(len, vectors), np.int64, len(vectors))
+    row = np.cumsum(lengths >= bins) - 1
+    out = np.zeros((int((lengths >= bins).sum()), bins), np.int16)
+    for own in np.unique(lengths[lengths >= bins]):
+        which = np.flatnonzero(lengths == own)
+        raw = np.frombuffer(b"".join(vectors[i] for i in which), np.uint8).reshape(len(which), bins, -1)
+        out[row[which]] = np.minimum(raw.sum(axis=2), 255)
+    return out, np.where(lengths >= bins, row, -1)
 
 
 def differences(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -164,7 +193,7 @@ def prints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             batch.column(0),
             pa.array(n, pa.int64()),
             pa.array(cls, pa.int64(), mask=n == 0),
-            pa.array([c.tobytes() if s else None for c, s in zip(counts, shown & (n > 0))], pa.binary()),
+            pa.array([c if s else None for c, s in zip(counts, shown & (n > 0))], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "cls", "counts"])
 
@@ -290,28 +319,23 @@ def shared_signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     return signed.repartition(partitions, "bucket").mapInArrow(_match(buckets), schema).select("signature", "cls")
 
 
-def _possible(counts_a: np.ndarray, counts_b: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets with these count vectors and this sum of sizes can be similar."""
-    apart = np.abs(counts_a.astype(np.int16) - counts_b).sum(axis=-1, dtype=np.int64)
-    return (100 + percent) * apart <= (100 - percent) * total
-
-
-def _vectors(column: pa.Array, bins: int = BINS) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), bins)
-
-
-def _shortened(counts: np.ndarray, bins: int) -> np.ndarray:
-    """Neighbouring bins added up; sums and caps never move two vectors further apart."""
-    return np.minimum(counts.reshape(len(counts), bins, -1).sum(axis=2), 255).astype(np.uint8)
+def _room(a: list[bytes], b: list[bytes], total: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs (a[i], b[i]) with these sums of sizes can be similar, by their long vectors."""
+    can = np.ones(len(a), bool)
+    for bins in sorted({row[2] for row in BINS}):
+        (x, at_x), (y, at_y) = _level(a, bins), _level(b, bins)
+        known = np.flatnonzero((at_x >= 0) & (at_y >= 0))
+        apart = np.abs(x[at_x[known]] - y[at_y[known]]).sum(axis=1, dtype=np.int64)
+        can[known] &= (100 + percent) * apart <= (100 - percent) * total[known]
+    return can
 
 
 def _sift(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, na, nb, ca, cb = (batch.column(k) for k in ("a", "b", "na", "nb", "ca", "cb"))
-            total = na.to_numpy() + nb.to_numpy()
-            can = _possible(_vectors(ca), _vectors(cb), total, percent)
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(can))
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            can = _room(batch.column("ca").to_pylist(), batch.column("cb").to_pylist(), total, percent)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(can))
 
     return run
 
@@ -384,8 +408,8 @@ def _candidates(percent: int, best: bool):
 
     def pairs_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cls, component, n, side = (rows.column(k).to_numpy() for k in ("cls", "component", "n", "side"))
-        short = _vectors(rows.column("short"), SHORT)
-        coarse = short.reshape(len(short), 16, -1).sum(axis=2).astype(np.int16)
+        short = rows.column("short").to_pylist()
+        levels = [_level(short, bins) for bins in (16, 64, 256, 1024)]
         key = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in ("signature", "i", "j")])
         opens = np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))
         ends = np.append(np.flatnonzero(opens)[1:], len(cls))[np.cumsum(opens) - 1]
@@ -400,28 +424,37 @@ def _candidates(percent: int, best: bool):
             # side 0: within a block; 1 and 2: the rows and columns of two blocks
             can = (component[left] != component[other]) & ((side[left] == 0) | (side[left] != side[other]))
             a, b = left[can], other[can]
-            for vectors in (coarse, short):
-                total = n[a] + n[b]
-                apart = np.abs(vectors[a].astype(np.int16) - vectors[b]).sum(axis=1, dtype=np.int64)
+            total, apart = n[a] + n[b], np.zeros(len(a), np.int64)
+            for vectors, at in levels:  # few bins first: they rule out most pairs
+                known = (at[a] >= 0) & (at[b] >= 0)
+                x, y = vectors[at[a[known]]], vectors[at[b[known]]]
+                apart[known] = np.abs(x - y).sum(axis=1, dtype=np.int64)
                 can = (100 + percent) * apart <= (100 - percent) * total
                 a, b, apart, total = a[can], b[can], apart[can], total[can]
             found.append(np.stack([cls[a], cls[b], apart * 1_000_000 // np.maximum(total, 1)]))
         a, b, score = np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1)
         return np.minimum(a, b), np.maximum(a, b), score
 
-    def results(rows: pa.RecordBatch) -> pa.RecordBatch:
-        a, b, score = pairs_of(rows)
-        if best:  # for either end
-            a, b, score = np.append(a, b), np.append(b, a), np.append(score, score)
+    def reduced(found: list[np.ndarray]) -> np.ndarray:
+        """Each class once with its best pair, or each pair once."""
+        a, b, score = np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1)
         order = np.lexsort((b, score, a) if best else (score, b, a))
         a, b, score = a[order], b[order], score[order]
         first = np.append(True, a[1:] != a[:-1])[: len(a)]
         if not best:
             first[1:] |= b[1:] != b[:-1]
-        return pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (a, b, score)], ["a", "b", "score"])
+        return np.stack([a[first], b[first], score[first]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row_batch(found: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b", "score"])
+
+        def results(rows: pa.RecordBatch) -> np.ndarray:
+            a, b, score = pairs_of(rows)
+            return np.stack([np.append(a, b), np.append(b, a), np.append(score, score)] if best else [a, b, score])
+
         rest: list[pa.RecordBatch] = []  # a block may go on in the next batch
+        held = np.zeros((3, 0), np.int64)  # what several signatures of the task tell is told once
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -431,16 +464,19 @@ def _candidates(percent: int, best: bool):
                 last &= rows.column(k).to_numpy() == rows.column(k)[-1].as_py()
             cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
             if cut:
-                yield results(rows.slice(0, cut))
+                held = reduced([held, results(rows.slice(0, cut))])
             rest = [rows.slice(cut)]
-        for rows in rest:
-            yield results(rows)
+            if held.shape[1] > HELD:
+                yield row_batch(held)
+                held = held[:, :0]
+        yield row_batch(reduced([held, *map(results, rest)]))
 
     return run
 
 
-def _blocks(members: DataFrame, component: DataFrame) -> DataFrame:
-    """Members of signatures that are not yet connected, cut into blocks; block i meets each block j >= i."""
+def _blocks(members: DataFrame, short: DataFrame, component: DataFrame) -> DataFrame:
+    """Members of signatures that are not yet connected, cut into blocks; block i meets each block j >= i. The count
+    vectors join last, since they are most of a row."""
     named = members.join(component, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     split = (
         named.groupBy("signature")
@@ -459,7 +495,7 @@ def _blocks(members: DataFrame, component: DataFrame) -> DataFrame:
     )
     dealt = named.join(split, "signature").withColumn("own", own).withColumn("meets", F.explode(meets))
     key = ["signature", "i", "j"]
-    dealt = dealt.select("signature", "cls", "component", "n", "short", "meets.*")
+    dealt = dealt.select("signature", "cls", "component", "meets.*").join(short, "cls")
     return dealt.repartition(*key).sortWithinPartitions(*key, "n")
 
 
@@ -474,26 +510,29 @@ def link_classes(docs: DataFrame, known: DataFrame, size: int, percent: int) ->
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            short = _shortened(_vectors(batch.column("counts")), SHORT)
-            columns = [batch.column("cls"), batch.column("n"), pa.array([x.tobytes() for x in short], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["cls", "n", "short"])
+            counts, n = batch.column("counts").to_pylist(), batch.column("n").to_numpy()
+            short: list[bytes] = list(counts)
+            for bins in {row[1] for row in BINS}:
+                vectors, at = _level(counts, bins)
+                for i in np.flatnonzero(_bins(n, 1) == bins):
+                    short[i] = vectors[at[i]].astype(np.uint8).tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), pa.array(short, pa.binary())], ["cls", "n", "short"])
 
     vectors = known.filter("counts is not null").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counts").alias("counts"))
     vectors = materialize(vectors, "vectors")
-    short = vectors.mapInArrow(shorten, "cls long, n long, short binary")
-    members = shared_signatures(docs, size, percent).distinct().join(short, "cls")
-    members = materialize(members, "members")
+    short = materialize(vectors.mapInArrow(shorten, "cls long, n long, short binary"), "short")
+    members = materialize(shared_signatures(docs, size, percent).distinct(), "members")
 
     found = "a long, b long, score long"
     component = docs.sparkSession.createDataFrame([], "cls long, component long")
     links: list[DataFrame] = []
     for _ in range(ROUNDS):
-        best = _blocks(members, component).mapInArrow(_candidates(percent, best=True), found)
+        best = _blocks(members, short, component).mapInArrow(_candidates(percent, best=True), found)
         best = best.groupBy("a").agg(F.min(F.struct("score", "b"))["b"].alias("b"))
         pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         links.append(_verify(docs, vectors, pairs, size, percent))
         component = components(_union(links)).select(F.col("id").alias("cls"), "component")
-    left = _blocks(members, component).mapInArrow(_candidates(percent, best=False), found).select("a", "b")
+    left = _blocks(members, short, component).mapInArrow(_candidates(percent, best=False), found).select("a", "b")
     links.append(_verify(docs, vectors, left, size, percent))
     return _union(links)
 

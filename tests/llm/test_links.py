@@ -112,6 +112,23 @@ def test_similar_sets_share_a_signature(seed):
     assert found > 50
 
 
+def test_count_vectors_bound_the_differences():
+    draw = np.random.default_rng(1)
+    sets = []
+    for n in (5, 600, 1000, 1100, 4200):
+        base = draw.integers(0, 2**63, n).astype(np.uint64)
+        for part in (0, 0.02, 0.2):
+            k = int(n * part)
+            sets.append(np.append(base[k:], draw.integers(0, 2**63, k).astype(np.uint64)))
+    vectors = jaccard_join.count_vectors(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    for a, x in zip(sets, vectors):
+        for b, y in zip(sets, vectors):
+            for bins in (16, 64, 256, 1024):
+                short, at = jaccard_join._level([x, y], bins)
+                if (at >= 0).all():
+                    assert np.abs(short[0] - short[1]).sum() <= len(np.setxor1d(a, b))
+
+
 def test_join_of_families(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 7)  # so that a signature has several blocks
     draw = random.Random(9)
