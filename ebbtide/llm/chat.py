@@ -135,7 +135,12 @@ def format_chats(turns: DataFrame) -> DataFrame:
     placed = F.transform(
         F.col("turns"),
         lambda t, i: F.transform(
-            t["attachments"], lambda a, k: F.struct(i.alias("place"), k.alias("number"), a["kind"].alias("kind"), a["reference"].alias("reference"), a["units"].alias("units"), a["n_tokens"].alias("n_tokens"))
+            t["attachments"],
+            lambda a, k: F.struct(
+                i.alias("place"),
+                k.alias("number"),
+                *[a[c].alias(c) for c in ("kind", "reference", "units", "n_tokens")],
+            ),
         ),
     )
     return chats.select(

@@ -250,7 +250,9 @@ def _sign(size: int, percent: int, buckets: int):
             step = np.diff(high, prepend=0)
             wide = np.flatnonzero(step >= 65535)
             step16 = np.minimum(step, 65535).astype("<u2")
-            entries.append(b"".join([head, np.array([len(wide)], "<u4").tobytes(), low.tobytes(), step16.tobytes(), step[wide].astype("<u4").tobytes(), names.astype("<i8").tobytes(), place.tobytes()]))
+            head += np.array([len(wide)], "<u4").tobytes()
+            parts = (low, step16, step[wide].astype("<u4"), names.astype("<i8"), place)
+            entries.append(b"".join([head, *(x.tobytes() for x in parts)]))
         n = len(used)
         nothing = pa.array(np.zeros(n, np.int64))
         yield pa.RecordBatch.from_arrays(
