@@ -43,6 +43,10 @@ HELD = 1 << 19
 BLOCK = 2048
 #: Rounds in which each class is compared with its likeliest partner, before all that is left is compared.
 ROUNDS = 3
+#: Classes of a component that are compared with one another in one go, about.
+TILE = 128
+#: Features that are counted at a time when sets are compared.
+WIDE = 4096
 #: Bits of the filter that spares reading most sets that no pair needs (false hits only cost a little).
 FILTER_BITS = 1 << 23
 
@@ -501,14 +505,8 @@ def _blocks(members: DataFrame, short: DataFrame, component: DataFrame) -> DataF
     return dealt.repartition(*key).sortWithinPartitions(*key, "n")
 
 
-def link_classes(docs: DataFrame, known: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes: enough of them that classes are connected if and only if similar pairs connect them.
-
-    In each of a few rounds a class is compared with one partner: of those that share a signature and belong to another
-    component, the likeliest. What is similar becomes connected, so a large group of copies costs a comparison for
-    each copy and not for each pair. Then all pairs that share a signature and still lie in different components are
-    compared. A pair is left out only if its count vectors show that it cannot be similar.
-    """
+def _prepared(docs: DataFrame, known: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of the classes: (cls, n, counts), (cls, n, short) and (signature, cls)."""
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -523,8 +521,18 @@ def link_classes(docs: DataFrame, known: DataFrame, size: int, percent: int) ->
     vectors = known.filter("counts is not null").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counts").alias("counts"))
     vectors = materialize(vectors, "vectors")
     short = materialize(vectors.mapInArrow(shorten, "cls long, n long, short binary"), "short")
-    members = materialize(shared_signatures(docs, size, percent).distinct(), "members")
+    return vectors, short, materialize(shared_signatures(docs, size, percent).distinct(), "members")
+
+
+def link_classes(docs: DataFrame, prepared: tuple[DataFrame, DataFrame, DataFrame], size: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes: enough of them that classes are connected if and only if similar pairs connect them.
 
+    In each of a few rounds a class is compared with one partner: of those that share a signature and belong to another
+    component, the likeliest. What is similar becomes connected, so a large group of copies costs a comparison for
+    each copy and not for each pair. Then all pairs that share a signature and still lie in different components are
+    compared. A pair is left out only if its count vectors show that it cannot be similar.
+    """
+    vectors, short, members = prepared
     found = "a long, b long, score long"
     component = docs.sparkSession.createDataFrame([], "cls long, component long")
     links: list[DataFrame] = []
@@ -539,6 +547,79 @@ def link_classes(docs: DataFrame, known: DataFrame, size: int, percent: int) ->
     return _union(links)
 
 
+def _similar(sets: list[bytes], percent: int) -> np.ndarray:
+    """Which of the sets are similar to which: a matrix."""
+    held = [np.frombuffer(x, _U) for x in sets]
+    n = np.array([len(x) for x in held])
+    _, feature, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(len(held)), n), times[feature] > 1
+    place = (np.cumsum(times > 1) - 1)[feature[shared]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[shared][order], place[order]
+    common = np.zeros((len(held), len(held)))
+    for begin in range(0, int((times > 1).sum()), WIDE):
+        part = slice(*np.searchsorted(place, (begin, begin + WIDE)))
+        has = np.zeros((len(held), WIDE), np.float32)
+        has[owner[part], place[part] - begin] = 1
+        common += has @ has.T
+    return 100 * common >= percent * (n[:, None] + n[None, :] - common)
+
+
+def _met(percent: int):
+    """In tasks, over the sets of tiles that meet: every similar pair of classes."""
+
+    def pairs_of(rows: pa.RecordBatch) -> pa.RecordBatch:
+        cls, side = rows.column("cls").to_numpy(), rows.column("side").to_numpy()
+        # side 0: within a tile; 1 and 2: the rows and columns of two tiles
+        yes = _similar(rows.column("set").to_pylist(), percent) & ((side[:, None] == 0) | (side[:, None] != side))
+        x, y = np.nonzero(np.triu(yes, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(cls[x], cls[y])), pa.array(np.maximum(cls[x], cls[y]))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []  # a meeting may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*rest, batch]).combine_chunks().to_batches()[0]
+            key = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in ("component", "i", "j")])
+            begins = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+            for x, y in zip(begins, begins[1:]):
+                yield pairs_of(rows.slice(x, y - x))
+            rest = [rows.slice(begins[-1])]
+        for rows in rest:
+            yield pairs_of(rows)
+
+    return run
+
+
+def all_links(docs: DataFrame, members: DataFrame, component: DataFrame, size: int, percent: int) -> DataFrame:
+    """Every similar pair (a, b) of classes, once, where ``component`` (cls, component) tells what similar pairs connect.
+
+    Similar classes lie in one component and share a signature. A component is cut into tiles by a hash of the class;
+    tiles that share a signature meet, and the whole sets of both are compared there, so that a set is moved once
+    for each meeting of its tile and not for each pair.
+    """
+    blocks = component.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+    tile = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    dealt = materialize(component.join(blocks, "component").select("cls", "component", "blocks", tile.alias("tile")), "tiles")
+    seen = members.join(dealt.filter("blocks > 1"), "cls").select("component", "signature", "tile").distinct()
+    seen = materialize(seen, "seen")
+    across = seen.withColumnRenamed("tile", "i").join(seen.withColumnRenamed("tile", "j"), ["component", "signature"])
+    across = across.filter("i <= j").select("component", "i", "j").distinct()
+    alone = dealt.filter("blocks = 1").select("component", F.lit(0).alias("i"), F.lit(0).alias("j")).distinct()
+    sides = F.when(
+        F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("tile"), F.lit(0).alias("side")))
+    ).otherwise(
+        F.array(F.struct(F.col("i").alias("tile"), F.lit(1).alias("side")), F.struct(F.col("j").alias("tile"), F.lit(2).alias("side")))
+    )
+    meets = across.union(alone).withColumn("own", F.explode(sides)).select("component", "i", "j", "own.*")
+    sets = _sets(docs, dealt.select("cls"), size)
+    met = meets.join(dealt.select("cls", "component", "tile"), ["component", "tile"]).drop("tile").join(sets, "cls")
+    key = ["component", "i", "j"]
+    met = met.repartition(*key).sortWithinPartitions(*key).select(*key, "side", "cls", "set")
+    return materialize(met.mapInArrow(_met(percent), "a long, b long"), "all-links")
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     first, *rest = frames
     for frame in rest:
@@ -554,19 +635,49 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     row is its own equal, so the result has it as often; a row without doc_id has a component if an equal or similar
     document has an id. An empty table gives an empty one. Texts of any length are taken whole.
     """
+    known, _, of_class = _joined(docs, size, percent)
+    return _with_component(known, of_class)
+
+
+def _joined(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The prints, (signature, cls), and (cls, component) of the classes that are similar to others."""
     known = materialize(prints(docs, size), "prints")
-    links = link_classes(docs, known, size, percent)
+    prepared = _prepared(docs, known, size, percent)
+    links = link_classes(docs, prepared, size, percent)
+    return known, prepared[2], components(links).withColumnRenamed("id", "cls")
+
+
+def _with_component(known: DataFrame, of_class: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and further columns of ``known``."""
     firsts = known.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first"))
     firsts = materialize(firsts, "firsts")
-    of_class = components(links).withColumnRenamed("id", "cls")
     named = firsts.join(of_class, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(smallest, "component").select("cls", "component_id")
+    rest = [c for c in known.columns if c not in ("doc_id", "n_shingles", "cls", "counts")]
     return known.join(named, "cls", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *rest
     )
 
 
+def counted_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``n_links``: how many other rows of ``docs`` a row is equal or similar to.
+
+    All similar pairs of classes are told (see ``all_links``), so the work grows with their number; equal rows
+    are counted and not paired. Nulls, empty texts and repeated rows are as there: without words a row has no links.
+    """
+    known, members, of_class = _joined(docs, size, percent)
+    of_class = materialize(of_class, "components")
+    pairs = all_links(docs, members, of_class, size, percent)
+    rows = materialize(known.filter("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("_rows")), "rows")
+    both = pairs.union(pairs.select("b", "a"))
+    others = both.join(rows.withColumnRenamed("cls", "b"), "b").groupBy("a").agg(F.sum("_rows").alias("_others"))
+    counted = rows.join(others.withColumnRenamed("a", "cls"), "cls", "left")
+    counted = counted.select("cls", (F.col("_rows") - 1 + F.coalesce("_others", F.lit(0))).alias("n_links"))
+    known = known.join(counted, "cls", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    return _with_component(known, of_class)
+
+
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Of each component the document with the smallest doc_id, with all its columns. A row that is there several
     times under one doc_id is kept once; rows without doc_id cannot be told apart, and stay."""

@@ -36,6 +36,10 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.counted_links(table(spark, sf_dir, "documents"))
+
+
 def hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = sharding.tree(SHARDS)
     return sharding.place(table(spark, sf_dir, "documents"), leaves, sharding.grow(leaves))
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": quality_scores,
     "op7_source_mixing": source_mixing,
     "op8_ngram_jaccard_join": ngram_jaccard_join,
+    "op8_ngram_jaccard_links": ngram_jaccard_links,
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_chat_formatting": chat_formatting,
 }
