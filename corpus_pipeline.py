@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences of 1024 tokens."""
     ship_package(spark)
-    return packing.pack(docs, tokenizer_path(BYTE_BPE))
+    return packing.pack(docs, tokenizer_path(BYTE_BPE), added=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -229,28 +229,32 @@ def byte_signs(alphabet: list[str]) -> list[str]:
     return [chr(b) if chr(b) in own else chr(next(spare)) for b in range(256)]
 
 
-@functools.lru_cache(maxsize=1)
-def byte_bpe(path: str) -> Callable[[str], list[int]]:
-    """The ids of a text by the byte-level vocabulary in a ``tokenizers`` file, without special tokens.
+@functools.lru_cache(maxsize=2)
+def byte_bpe(path: str, added: bool = False) -> Callable[[str], list[int]]:
+    """The ids of a text by the byte-level vocabulary in a ``tokenizers`` file, without adding special tokens.
 
     That library takes four times as long. Its vocabulary is in merge order, so its ids are ranks, and ``tiktoken``
-    gives the same ids by them (the tests compare the two). Strings of special tokens are ordinary text.
+    gives the same ids by them (the tests compare the two). With ``added``, the file's added tokens in a text are
+    found first and have their own ids, as that library does it; else their strings are ordinary text.
     """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
-    special = {token.content for token in tokenizer.get_added_tokens_decoder().values()}
+    special = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
     byte_of = {sign: byte for byte, sign in enumerate(byte_signs(pre_tokenizers.ByteLevel.alphabet()))}
     vocabulary = tokenizer.get_vocab(with_added_tokens=False)
     ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in vocabulary.items() if t not in special}
-    return tiktoken.Encoding(
-        "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    ).encode_ordinary
+    encoding = tiktoken.Encoding(
+        "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special if added else {}
+    )
+    return functools.partial(encoding.encode, allowed_special="all") if added else encoding.encode_ordinary
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, keep_ids: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, path: str, capacity: int, end_id: int, keep_ids: bool = False, added: bool = False
+) -> DataFrame:
     """One row for each piece of each document: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
 
     A document's ids are those of its text (null: empty) and then ``end_id``. One of more than ``capacity`` ids is cut
@@ -259,7 +263,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, keep_id
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[list] = [[], [], [], [], [], []]
-        encode = byte_bpe(path)
+        encode = byte_bpe(path, added)
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             ids = np.array([*encode(text or ""), end_id], "<u4").tobytes()
             n, start, piece = len(ids) // 4, 0, 0
@@ -280,18 +284,25 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, keep_id
 
 
 def pack(
-    docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, groups: int = GROUPS, keep_ids: bool = False
+    docs: DataFrame,
+    path: str,
+    capacity: int = 1024,
+    end_id: int = 2,
+    groups: int = GROUPS,
+    keep_ids: bool = False,
+    added: bool = False,
 ) -> DataFrame:
     """The pieces of ``docs`` with ``sequence_id`` and ``offset``: which sequence holds a piece, from which place on.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns, whatever their names, play no part. A null or empty text is
     one piece that holds ``end_id`` alone. A repeated row is packed as often as it occurs; a null ``doc_id`` stays
     null. An empty table gives an empty one. Texts of any length are tokenised whole, one in memory at a time.
-    With ``keep_ids``, ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers.
+    With ``keep_ids``, ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers. With ``added``, added
+    tokens of the tokenizer's file that stand in a text have their own ids, as its library gives them.
     """
     spark = docs.sparkSession
     pieces = number_rows(
-        token_pieces(docs, path, capacity, end_id, keep_ids), ["length"], ["doc_id", "piece"], "_number", "pieces"
+        token_pieces(docs, path, capacity, end_id, keep_ids, added), ["length"], ["doc_id", "piece"], "_number", "pieces"
     )
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     found = places(plan(histogram, capacity, groups))

@@ -25,7 +25,7 @@ def viterbi_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), added=True)
 
 
 def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
