@@ -4,8 +4,9 @@ URLs that a rule accepts or rejects train a smoothed variable-order Markov model
 the difference of its log-likelihoods, by character, against a threshold that is calibrated on the same URLs: the
 model that scores one half of them has been counted on the other half.
 
-Contexts of each order are hashed into tables of a fixed size, so the models are as large for 10^12 URLs as for
-10^3; every URL counts. Sums of counts are combined map-side.
+The n-grams are counted themselves, in stored tables that grow with what the URLs hold; every URL counts. A character's
+probability follows from the few bytes before it, its window: so each distinct window is scored once, order by order,
+by joins that meet a row at most 256 times, and a URL's score is the sum over its windows.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .rows import slices
 
 # The rules: fixed values.
 RULES = (
@@ -30,11 +32,12 @@ RULES = (
     ("block", "com", "/de/"),
 )
 ORDERS = 5
-#: Cells of the hashed table of each order.
-CELLS = 1 << 16
+#: What a context's count is held against when orders are interpolated.
+STRENGTH = 4.0
+#: Windows that a task gathers before it sends their sums on.
+HELD = 1 << 20
 #: A score's histogram has so many bins, over differences from -SPAN to SPAN a character.
 BINS, SPAN = 4000, 20.0
-_U = np.uint64
 
 
 @dataclass(frozen=True)
@@ -81,115 +84,141 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
 
 
-def _contexts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each order and place: the cell of the context before the place, and that of context and character.
+def _windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the URL, window) of all characters but the opening signs.
 
-    Also which places have a character to predict (all but the opening sign). Contexts do not reach past the opening
-    sign, which stands for all that comes before.
+    A window is the character, the ORDERS - 1 bytes before it (not past the opening sign) and, above those, how many
+    bytes there are before it: as a number that no other window has.
     """
-    place = np.arange(len(data)) - np.repeat(bounds[:-1], np.diff(bounds))
-    context, joint = np.zeros((ORDERS, len(data)), np.int32), np.zeros((ORDERS, len(data)), np.int32)
-    rolled = np.full(len(data), 1469598103934665603, _U)
-    for order in range(ORDERS):
-        if order:
-            back = np.concatenate([np.zeros(order, np.uint8), data[:-order]])[: len(data)]
-            rolled = np.where(place >= order, (rolled ^ back.astype(_U)) * _U(1099511628211), rolled)
-        salted = (rolled + _U(order)) * _U(0x9E3779B97F4A7C15)
-        context[order] = (salted >> _U(48)) % _U(CELLS)
-        joint[order] = (((salted ^ data) * _U(0xD6E8FEB86659FD93)) >> _U(48)) % _U(CELLS)
-    return context, joint, place > 0
-
-
-def _counted():
-    """In tasks: (part, kind, order, cell, n), the sums over all URLs of the task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # 2 halves x 2 verdicts x (context, joint, first seen) x orders x cells
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            parts = batch.column(0).to_numpy()
-            for part in np.unique(parts):
-                data, bounds = _bytes(batch.column(1).filter(pa.array(parts == part)))
-                context, joint, real = _contexts(data, bounds)
-                own = total.setdefault(int(part), np.zeros((2, ORDERS, CELLS), np.int64))
-                for order in range(ORDERS):
-                    own[0, order] += np.bincount(context[order][real], minlength=CELLS)
-                    own[1, order] += np.bincount(joint[order][real], minlength=CELLS)
-        for part, counts in total.items():
-            kind, order, cell = np.nonzero(counts)
-            arrays = [np.full(len(kind), part), kind, order, cell]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(a.astype(np.int32)) for a in arrays), pa.array(counts[kind, order, cell])],
-                ["part", "kind", "order", "cell", "n"],
-            )
-
-    return run
-
-
-def counts(urls: DataFrame) -> np.ndarray:
-    """Counts [half, rejected, kind, order, cell] of URLs given as (part = 2 * half + rejected, url).
-
-    The sums are a table of 8 * ORDERS * CELLS rows at most, whatever the number of URLs.
+    url = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    place = np.arange(len(data)) - bounds[url]
+    key = np.zeros(len(data), np.int64)
+    for back in range(ORDERS):
+        byte = np.concatenate([np.zeros(back, np.uint8), data[: len(data) - back]])[: len(data)].astype(np.int64)
+        key |= np.where(place >= back, byte << (8 * back), 0)
+    key |= np.minimum(place, ORDERS - 1) << (8 * ORDERS)
+    return url[place > 0], key[place > 0]
+
+
+def _each(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row of keys once, with its sum."""
+    order = np.lexsort(keys.T[::-1])
+    keys, n = keys[order], n[order]
+    begins = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))[: len(keys)])
+    return keys[begins], np.add.reduceat(n, begins) if len(begins) else n
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In tasks: (part, key, n), the sums over the task's URLs."""
+
+    def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys[:, 0].astype(np.int32)), pa.array(keys[:, 1]), pa.array(n)], ["part", "key", "n"])
+
+    held, sums = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        for part in slices(batch, 1):
+            if not part.num_rows:
+                continue
+            url, key = _windows(*_bytes(part.column(1)))
+            own = np.stack([part.column(0).to_numpy().astype(np.int64)[url], key], axis=1)
+            held, sums = _each(np.concatenate([held, own]), np.concatenate([sums, np.ones(len(own), np.int64)]))
+            if len(held) > HELD:
+                yield rows(held, sums)
+                held, sums = held[:0], sums[:0]
+    yield rows(held, sums)
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In tasks: (row, key, n), each window of a URL once."""
+    for batch in batches:
+        for part in slices(batch, 1):
+            if not part.num_rows:
+                continue
+            url, key = _windows(*_bytes(part.column(1)))
+            each, n = _each(np.stack([part.column(0).to_numpy()[url], key], axis=1), np.ones(len(key), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(each[:, 0]), pa.array(each[:, 1]), pa.array(n)], ["row", "key", "n"])
+
+
+def grams(urls: DataFrame) -> list[DataFrame]:
+    """For each order (key, n_0 to n_3): how often URLs given as (part = 2 * half + rejected, url) hold an n-gram.
+
+    The keys are windows shortened to the order. URLs of part -1 are not counted, but their n-grams are there.
     """
-    out = np.zeros((4, 2, ORDERS, CELLS))
-    found = urls.mapInArrow(_counted(), "part int, kind int, order int, cell int, n long")
-    rows = found.groupBy("part", "kind", "order", "cell").agg(F.sum("n").alias("n")).toArrow()
-    out[tuple(rows.column(k).to_numpy() for k in ("part", "kind", "order", "cell"))] = rows.column("n").to_numpy()
-    return out.reshape(2, 2, 2, ORDERS, CELLS)
+    of = [F.coalesce(F.sum(F.when(F.col("part") == p, F.col("n"))), F.lit(0)).cast("long").alias(f"n_{p}") for p in range(4)]
+    found = urls.mapInArrow(_counted, "part int, key long, n long")
+    out = [materialize(found.groupBy("key").agg(*of), "grams")]
+    for order in range(ORDERS - 2, -1, -1):
+        shorter = out[0].select(shortened(F.col("key"), order).alias("key"), *[f"n_{p}" for p in range(4)])
+        out.insert(0, materialize(shorter.groupBy("key").agg(*[F.sum(f"n_{p}").alias(f"n_{p}") for p in range(4)]), "grams"))
+    return out
+
 
+def shortened(key: Column, order: int) -> Column:
+    """The window with at most ``order`` bytes before its character."""
+    before = F.least(F.shiftright(key, 8 * ORDERS), F.lit(order).cast("long"))
+    return key.bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).bitwiseOR(F.shiftleft(before, 8 * ORDERS))
 
-class Model:
-    """Log-probabilities by interpolation from the lowest order up, in the manner of Witten and Bell: the weight of an
-    order grows with how often its context has been seen."""
 
-    def __init__(self, tables: np.ndarray, strength: float = 4.0):
-        self.tables, self.strength = tables, strength
+def counts(urls: DataFrame) -> np.ndarray:
+    """Counts [half, rejected, context or n-gram, order, number of it], gathered: for few URLs, as in checks."""
+    tables = []
+    for order in grams(urls):
+        n = np.array([r[1:] for r in order.collect()], float).reshape(-1, 4)
+        context = np.array([r[1:] for r in _contexts(order).collect()], float).reshape(-1, 4)
+        tables.append((context, n))
+    out = np.zeros((4, 2, ORDERS, max((len(n) for _, n in tables), default=0)))
+    for order, both in enumerate(tables):
+        for kind, n in enumerate(both):
+            out[:, kind, order, : len(n)] = n.T
+    return out.reshape(2, 2, 2, ORDERS, -1)
 
-    def scores(self, context: np.ndarray, joint: np.ndarray) -> np.ndarray:
-        p = np.full(context.shape[1], 1 / 256)
-        for order in range(ORDERS):
-            seen, both = self.tables[0, order][context[order]], self.tables[1, order][joint[order]]
-            p = (np.minimum(both, seen) + self.strength * p) / (seen + self.strength)
-        return np.log(p)
 
+def _context(key: Column) -> Column:
+    return F.shiftright(key, 8)
 
-def differences(column: pa.Array, accepted: Model, rejected: Model) -> np.ndarray:
-    """By URL: log-likelihood as accepted less that as rejected, over its number of characters."""
-    if not len(column):
-        return np.zeros(0)
-    data, bounds = _bytes(column)
-    context, joint, real = _contexts(data, bounds)
-    apart = np.where(real, accepted.scores(context, joint) - rejected.scores(context, joint), 0)
-    return np.add.reduceat(apart, bounds[:-1]) / (np.diff(bounds) - 1)
 
+def _contexts(order: DataFrame) -> DataFrame:
+    """(context, c_0 to c_3): how often each context of the order stands before a character."""
+    return order.groupBy(_context(F.col("key")).alias("context")).agg(*[F.sum(f"n_{p}").alias(f"c_{p}") for p in range(4)])
 
-def _pairs(tables: np.ndarray) -> tuple[Model, Model]:
-    return Model(tables[0]), Model(tables[1])
 
+def window_scores(tables: list[DataFrame]) -> DataFrame:
+    """(key, by_0, by_1, by_both): log-likelihood as accepted less that as rejected, by the counts of a half or of both.
 
-def calibrate(urls: DataFrame, tables: np.ndarray) -> float:
-    """The difference that parts accepted from rejected URLs best: each kind counts for a half.
+    Log-probabilities by interpolation from the lowest order up, in the manner of Witten and Bell: the weight of an
+    order grows with how often its context has been seen.
+    """
+    models = {f"{half}_{kind}": parts for kind in (0, 1) for half, parts in (("0", [kind]), ("1", [2 + kind]), ("both", [kind, 2 + kind]))}
+    lower = None
+    for k, order in enumerate(tables):
+        out = order.withColumn("context", _context(F.col("key"))).join(_contexts(order), "context")
+        if lower is not None:
+            last = lower.select(F.col("key").alias("_shorter"), *[F.col(f"p_{m}").alias(f"q_{m}") for m in models])
+            out = out.join(last, shortened(F.col("key"), k - 1) == F.col("_shorter"))
+        chances = []
+        for m, parts in models.items():
+            both, seen = (sum((F.col(f"{x}_{p}") for p in parts[1:]), F.col(f"{x}_{parts[0]}")) for x in "nc")
+            less = F.col(f"q_{m}") if lower is not None else F.lit(1 / 256)
+            chances.append(((both + F.lit(STRENGTH) * less) / (seen + F.lit(STRENGTH))).alias(f"p_{m}"))
+        lower = materialize(out.select("key", *chances), "chances")
+    return lower.select("key", *[F.log(F.col(f"p_{h}_0") / F.col(f"p_{h}_1")).alias(f"by_{h}") for h in ("0", "1", "both")])
+
+
+def scores(urls: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """Of (row, url): row, by_0, by_1, by_both, each over the URL's number of characters."""
+    spread = urls.select("row", "url").mapInArrow(_spread, "row long, key long, n long")
+    scored = spread.join(materialize(window_scores(tables), "scores"), "key")
+    return scored.groupBy("row").agg(*[(F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c) for c in ("by_0", "by_1", "by_both")])
+
+
+def calibrate(known: DataFrame) -> float:
+    """Of (part, by_0, by_1): the difference that parts accepted from rejected URLs best: each kind counts for a half.
 
     Half the URLs are scored by the models of the other half. Only a histogram of scores is gathered.
     """
-    session = urls.sparkSession.sparkContext
-    shared = session.broadcast(tables)  # 8 * ORDERS * CELLS numbers
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, BINS), np.int64)
-        for batch in batches:
-            parts = batch.column(0).to_numpy()
-            for half in (0, 1):
-                own = batch.filter(pa.array(parts >> 1 == half))
-                score = differences(own.column(1), *_pairs(shared.value[1 - half]))
-                bin_ = np.clip((score + SPAN) * BINS / (2 * SPAN), 0, BINS - 1).astype(int)
-                np.add.at(total, (own.column(0).to_numpy() & 1, bin_), 1)
-        kind, bin_ = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kind.astype(np.int32)), pa.array(bin_.astype(np.int32)), pa.array(total[kind, bin_])], ["kind", "bin", "n"]
-        )
-
-    rows = urls.mapInArrow(run, "kind int, bin int, n long").groupBy("kind", "bin").agg(F.sum("n").alias("n")).toArrow()
+    score = F.when(F.col("part") >= 2, F.col("by_0")).otherwise(F.col("by_1"))
+    bin_ = F.least(F.greatest(F.floor((score + SPAN) * BINS / (2 * SPAN)), F.lit(0)), F.lit(BINS - 1)).cast("int")
+    rows = known.select((F.col("part") % 2).alias("kind"), bin_.alias("bin")).groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n")).toArrow()
     found = np.zeros((2, BINS))
     found[rows.column("kind").to_numpy(), rows.column("bin").to_numpy()] = rows.column("n").to_numpy()
     if not found.sum(axis=1).all():  # with one kind alone there is nothing to part
@@ -216,21 +245,18 @@ def judge(pages: DataFrame, of: list[Rule] | None = None) -> DataFrame:
     named = named.withColumn("_rule", rule_of(F.col("host"), F.col("path"), of))
     half = F.pmod(F.xxhash64("url"), F.lit(2))
     part = (2 * half + F.when(F.col("_rule.verdict") == "block", 1).otherwise(0)).cast("int")
-    # read once from the pages, whose other columns are much larger
-    known = materialize(named.filter("_rule is not null").select(part.alias("part"), "url"), "urls")
-    tables = counts(known)
-    threshold = calibrate(known, tables)
-    shared = pages.sparkSession.sparkContext.broadcast(tables.sum(axis=0))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = differences(batch.column("url"), *_pairs(shared.value)) - threshold
-            own = [batch.column(k) for k in ("page_id", "host", "path", "rule", "verdict")]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(score)], ["page_id", "host", "path", "rule", "verdict", "score"])
-
-    kind = pages.schema["page_id"].dataType.simpleString()
-    scored = named.select(
-        "page_id", "host", "path", F.col("_rule.name").alias("rule"), F.col("_rule.verdict").alias("verdict"), "url"
-    ).mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string, score double")
-    by_model = F.when(F.col("score") >= 0, "allow").otherwise("block")
-    return scored.withColumn("verdict", F.coalesce("verdict", by_model))
+    part = F.when(F.col("_rule").isNull(), -1).otherwise(part).cast("int")
+    # read once from the pages, whose other columns are much larger; numbered as written
+    named = materialize(named.select("*", part.alias("part"), F.monotonically_increasing_id().alias("row")), "urls")
+    scored = materialize(scores(named, grams(named.select("part", "url"))), "url-scores")
+    scored = materialize(named.join(scored, "row"), "scored")
+    score = F.col("by_both") - F.lit(calibrate(scored.filter("part >= 0")))
+    by_model = F.when(score >= 0, "allow").otherwise("block")
+    return scored.select(
+        "page_id",
+        "host",
+        "path",
+        F.col("_rule.name").alias("rule"),
+        F.coalesce(F.col("_rule.verdict"), by_model).alias("verdict"),
+        score.alias("score"),
+    )
