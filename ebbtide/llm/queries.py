@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, checking_sql, embedding_links, jaccard_join, mixing, packing, quality_model, quality_rules, sharding, token_counts, url_filter
+from . import chat, checking_sql, embedding_links, jaccard_join, merkle, mixing, packing, period_runs, quality_model, quality_rules, sharding, token_counts, url_filter
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -66,6 +67,20 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(turns.union(chat.hostile_chat(spark))))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's proof, and what it says of the row as found: some texts have been lower-cased since."""
+    docs = table(spark, sf_dir, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    found = F.when(touched, merkle.lowered(docs["text"])).otherwise(docs["text"])
+    return merkle.audit(docs, {"text": found}).drop("path")
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", period_runs.planted(docs["doc_id"], docs["text"]).alias("text"))
+    return period_runs.digest(period_runs.collapse(planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": viterbi_token_counts,
     "op2_best_fit_packing": best_fit_packing,
@@ -78,7 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_links": ngram_jaccard_links,
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_chat_formatting": chat_formatting,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_periodic_runs": periodic_runs,
 }
+
 def _escaped(column: str) -> str:
     for sign, entity in chat.ESCAPES:
         column = f"replace({column}, '{sign}', '{entity}')"
@@ -121,4 +139,5 @@ SQL: dict[str, str] = {
     "op8_ngram_jaccard_join": checking_sql.join(),
     "op9_embedding_near_dedup": EMBEDDING_SQL,
     "op10_chat_formatting": CHAT_SQL,
+    "op12_merkle_manifest": merkle.sql(),
 }

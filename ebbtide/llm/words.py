@@ -133,3 +133,36 @@ def sums(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return np.diff(total[firsts])
+
+
+def packed(texts: Texts, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The words, or those with a flag, each followed by one space; and where each of them begins, and the end."""
+    begin, end, _ = texts.words
+    size = end - begin if kept is None else (end - begin)[kept]
+    inner = ~texts.separator
+    if kept is not None:
+        inner[inner] = np.repeat(kept, end - begin)
+    starts = np.append(0, np.cumsum(size + 1))
+    out = np.full(int(starts[-1]), 0x20, np.uint8)
+    out[np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)] = texts.bytes[inner]
+    return out, starts
+
+
+def joined(texts: Texts, kept: np.ndarray) -> pa.Array:
+    """The flagged words of each text, joined by one space."""
+    raw, starts = packed(texts, kept)
+    left = np.append(0, np.cumsum(kept))[texts.words[2]]
+    bounds = starts[left]
+    some = np.diff(left) > 0  # their last space goes: it is cut off by an entry of its own
+    edges = np.append(np.stack([bounds[:-1], bounds[1:] - some], axis=1).ravel(), bounds[-1:])
+    pieces = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(raw))
+    return pieces.take(pa.array(np.arange(0, len(edges) - 1, 2))).cast(pa.string())
+
+
+def word_numbers(texts: Texts) -> np.ndarray:
+    """A number for each word, equal for equal words and for no others."""
+    raw, starts = packed(texts)
+    if len(starts) == 1:
+        return np.zeros(0, np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(raw)])
+    return words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
