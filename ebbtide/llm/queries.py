@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, checking_sql, embedding_links, jaccard_join, merkle, mixing, packing, period_runs, quality_model, quality_rules, sharding, token_counts, url_filter
+from . import chat, checking_sql, embedding_links, jaccard_join, merkle, mixing, packing, period_runs, phrase_automata, quality_model, quality_rules, sharding, token_counts, url_filter
 from .rows import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -67,6 +67,11 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(turns.union(chat.hostile_chat(spark))))
 
 
+def recurring_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = phrase_automata.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row's proof, and what it says of the row as found: some texts have been lower-cased since."""
     docs = table(spark, sf_dir, "documents")
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_links": ngram_jaccard_links,
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_chat_formatting": chat_formatting,
+    "op11_substring_dedup": recurring_passages,
     "op12_merkle_manifest": merkle_manifest,
     "op13_periodic_runs": periodic_runs,
 }
@@ -139,5 +145,6 @@ SQL: dict[str, str] = {
     "op8_ngram_jaccard_join": checking_sql.join(),
     "op9_embedding_near_dedup": EMBEDDING_SQL,
     "op10_chat_formatting": CHAT_SQL,
+    "op11_substring_dedup": phrase_automata.sql(),
     "op12_merkle_manifest": merkle.sql(),
 }
