@@ -9,135 +9,117 @@ from pyspark.sql import functions as F
 
 from ebbtide.session import materialize
 
-#: A sketch cuts a slice into so many parts of about equal size. It is off by a rank in ACCURACY at most, which is
-#: far less than the one part that is left as a margin on either side of a target.
-GRID, ACCURACY = 256, 10_000
+#: Bits of a value's key that a pass tells apart: a task holds at most 2**DIGIT counts a slice.
+DIGIT, KEY = 16, 64
 #: Rows of a slice that one task may rank.
 SLICE_ROWS = 200_000
 
 
+def sort_key(value: Column) -> Column:
+    """A DOUBLE (no NaN) as a LONG of the same order: the number's own bits, which arithmetic by powers of two finds
+    exactly. Both zeros are one."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))
+    scaled = size * F.pow(F.lit(2.0), -guess)  # off by a factor of two at most, where the logarithm was rounded
+    exponent = guess + F.when(scaled >= 2, 1).when(scaled < 1, -1).otherwise(0)
+    fraction = scaled * F.when(scaled >= 2, 0.5).when(scaled < 1, 2.0).otherwise(1.0) - 1
+    bits = (
+        F.when(size == float("inf"), F.lit(2047 << 52))
+        .when(size < 2.0**-1022, (size * 2.0**537 * 2.0**537).cast("long"))
+        .otherwise(F.shiftleft((exponent + 1023).cast("long"), 52) + (fraction * 2.0**52).cast("long"))
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """One row per group: ``n`` and ``quantiles``, an array in the order of ``probabilities``.
 
     ``percentile`` keeps every distinct value of a group in one task; here no task does. Each target rank lies in a
-    slice of the values, at first the whole group. A mergeable sketch of a slice gives its cuts, the two around the
-    rank are the new slice, and every row is counted against the slices map-side. That is repeated until a slice has
-    ``slice_rows`` rows at most, whatever the group's size, or consists of repeats of a few values; then its distinct
-    values are ranked. A rank that its slice turns out not to hold is looked for in the whole group again, so the
-    result never depends on the sketch. NaN and null values are left out.
+    slice of the values, at first the whole group. Values have 64-bit keys of the same order. Rows of a slice are counted by
+    the next DIGIT bits of their keys, map-side, and the counts tell with which digit the rank lies, which is the new
+    slice. Only slices of more than ``slice_rows`` rows are cut again, and none more than four times: then all its
+    values are equal. What is left is ranked by distinct values. Every step is exact. NaN and null values are left out.
 
     The slices, one row per group and target, are written between the passes.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    cuts = F.percentile_approx("v", F.array(*[F.lit(k / GRID) for k in range(GRID + 1)]), ACCURACY)
+    rows = rows.withColumn("k", sort_key(F.col("v")))
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
     position = F.col("t.p") * (F.col("n") - 1)
+    low = F.floor(position)
+    ranks = F.explode(F.array_distinct(F.array("low", "high"))).alias("rank")
     targets = (
         rows.groupBy(*keys)
-        .agg(F.count("*").alias("n"), cuts.alias("cuts"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("t", F.explode(wanted))
-        .select(*keys, "n", "cuts", F.col("t.i").alias("i"), position.alias("pos"), F.floor(position).alias("low"))
+        .select(*keys, "n", F.col("t.i").alias("i"), (position - low).alias("part"), low.alias("low"))
         .withColumn("high", F.least(F.col("low") + 1, F.col("n") - 1))
-        .withColumns({"below": F.lit(0).cast("long"), "inside": F.col("n")})
+        .select("*", ranks)
+        .withColumns({"known": F.lit(0), "prefix": F.lit(0).cast("long"), "below": F.lit(0).cast("long"), "inside": F.col("n")})
     )
-    state, largest = _count(rows, _narrow(targets), keys, len(probabilities)), None
-    while True:
-        more = F.col("inside") > slice_rows
-        worst = state.filter(more & ~F.col("lo").eqNullSafe(F.col("hi"))).agg(F.max("inside")).first()[0]
-        if worst is None or (largest is not None and worst > largest / 2):
+    state = materialize(targets, "slices")
+    for _ in range(KEY // DIGIT):
+        large = state.filter(F.col("inside") > slice_rows)
+        if large.isEmpty():
             break
-        largest = worst
-        at = null_safe_join(rows, _by_group(state.filter(more), keys), keys)
-        parts = at.select(*keys, "v", F.explode(_slices_of(F.col("v"))).alias("i")).groupBy(*keys, "i").agg(cuts.alias("cuts"))
-        state = _count(rows, _narrow(null_safe_join(state, parts, [*keys, "i"], "left")), keys, len(probabilities))
-    return _ranked(rows, state, keys)
-
-
-def _narrow(targets: DataFrame) -> DataFrame:
-    """Bounds of the parts of a slice that hold the target ranks, with one part more on either side. A null bound is
-    open; a slice without cuts keeps its bounds."""
-    share = F.lit(float(GRID)) / F.col("inside")
-    first = F.floor((F.col("low") - F.col("below")) * share) - 1
-    last = F.ceil((F.col("high") + 1 - F.col("below")) * share) + 1
-    old = {c: F.col(c) if c in targets.columns else F.lit(None).cast("double") for c in ("lo", "hi")}
-    lo = F.when(first >= 0, F.get("cuts", first.cast("int"))).otherwise(old["lo"])
-    hi = F.when(last <= GRID, F.get("cuts", last.cast("int"))).otherwise(old["hi"])
-    known = F.col("cuts").isNotNull()
-    return targets.withColumns({"lo": F.when(known, lo).otherwise(old["lo"]), "hi": F.when(known, hi).otherwise(old["hi"])}).drop("cuts")
-
-
-def _by_group(state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The slices of a group in one row: one entry per probability."""
-    return state.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "lo", "hi"))).alias("slices"))
-
-
-def _within(v: Column, s: Column) -> Column:
-    return F.coalesce(v >= s["lo"], F.lit(True)) & F.coalesce(v <= s["hi"], F.lit(True))
-
-
-def _slices_of(v: Column) -> Column:
-    """Numbers of the targets whose slices hold the value."""
-    return F.transform(F.filter("slices", lambda s: _within(v, s)), lambda s: s["i"])
-
-
-def _count(rows: DataFrame, state: DataFrame, keys: Sequence[str], many: int) -> DataFrame:
-    """Rows below and inside each of the ``many`` slices of a group. A slice that misses its target opens to the
-    whole group."""
-    state = materialize(state, "slices")
-    at = null_safe_join(rows, _by_group(state, keys), keys)
-    counted = []
-    for k in range(many):
-        s = F.col("slices")[k]
-        counted += [F.count_if(F.coalesce(F.col("v") < s["lo"], F.lit(False))).alias(f"below_{k}"), F.count_if(_within(F.col("v"), s)).alias(f"inside_{k}")]
-    found = at.groupBy(*keys).agg(*counted).select(
-        *keys,
-        F.posexplode(F.array(*[F.struct(F.col(f"below_{k}").alias("below"), F.col(f"inside_{k}").alias("inside")) for k in range(many)])).alias("i", "c"),
-    )
-    both = null_safe_join(state.drop("below", "inside"), found, [*keys, "i"])
-    holds = (F.col("low") >= F.col("c.below")) & (F.col("high") < F.col("c.below") + F.col("c.inside"))
-    return materialize(
-        both.withColumns(
-            {
-                "below": F.when(holds, F.col("c.below")).otherwise(0),
-                "inside": F.when(holds, F.col("c.inside")).otherwise(F.col("n")),
-                "lo": F.when(holds, F.col("lo")),
-                "hi": F.when(holds, F.col("hi")),
-            }
-        ).drop("c"),
-        "slices",
+        state = materialize(state.filter(F.col("inside") <= slice_rows).unionByName(_narrow(rows, large, keys)), "slices")
+    return _quantiles(_ranked(rows, state, keys), keys)
+
+
+def _prefix(k: Column, known: Column) -> Column:
+    """The first ``known`` digits of a key."""
+    out = F.when(known == 0, F.lit(0).cast("long"))
+    for digits in range(1, KEY // DIGIT):
+        out = out.when(known == digits, F.shiftright(k, KEY - digits * DIGIT))
+    return out.otherwise(k)
+
+
+def _in_slices(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in the slices of ``state``, once for each slice (``s``: known, prefix). A group's slices come in one row."""
+    slices = state.groupBy(*keys).agg(F.collect_set(F.struct("known", "prefix")).alias("slices"))
+    at = null_safe_join(rows, slices, keys)
+    own = F.filter("slices", lambda s: s["prefix"] == _prefix(F.col("k"), s["known"]))
+    return at.select(*keys, "v", "k", F.explode(own).alias("s"))
+
+
+def _narrow(rows: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each target's slice cut down to one value of the next digit."""
+    slice_keys = [*keys, "known", "prefix"]
+    counts = (
+        _in_slices(rows, targets, keys)
+        .select(*keys, "s.known", "s.prefix", _prefix(F.col("k"), F.col("s.known") + 1).alias("next"))
+        .groupBy(*slice_keys, "next")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
+    end = F.sum("copies").over(Window.partitionBy(*slice_keys).orderBy("next"))
+    placed = counts.withColumn("end", end)
+    found = null_safe_join(targets, placed, slice_keys)
+    found = found.withColumn("begin", F.col("below") + F.col("end") - F.col("copies"))
+    here = (F.col("rank") >= F.col("begin")) & (F.col("rank") < F.col("below") + F.col("end"))
+    cut = {"known": F.col("known") + 1, "prefix": F.col("next"), "below": F.col("begin"), "inside": F.col("copies")}
+    return found.filter(here).withColumns(cut).select(*targets.columns)
 
 
 def _ranked(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The interpolated values at the target ranks, from the slices' distinct values."""
-    order = Window.partitionBy(*keys, "i").orderBy("v")
-    values = (
-        null_safe_join(rows, _by_group(state, keys), keys)
-        .select(*keys, "v", _slices_of(F.col("v")).alias("own"))
-        .filter(F.size("own") > 0)
-        .groupBy(*keys, "v", "own")
-        .agg(F.count("*").alias("copies"))
-        .select(*keys, "v", "copies", F.explode("own").alias("i"))
-    )
-    ranked = (
-        null_safe_join(values, state.select(*keys, "i", "n", "pos", "low", "high", "below"), [*keys, "i"])
-        .withColumn("end", F.col("below") + F.sum("copies").over(order))
-        .withColumn("begin", F.col("end") - F.col("copies"))
-    )
-
-    def value_at(rank: str) -> Column:
-        return F.max(F.when((F.col("begin") <= F.col(rank)) & (F.col(rank) < F.col("end")), F.col("v")))
-
-    per_target = ranked.groupBy(*keys, "i").agg(
-        F.max("n").alias("n"), value_at("low").alias("a"), value_at("high").alias("z"), F.max(F.col("pos") - F.col("low")).alias("part")
-    )
+    """The value ``v`` at each target rank, from the distinct values of its slice."""
+    slice_keys = [*keys, "known", "prefix"]
+    values = _in_slices(rows, state, keys).groupBy(*keys, "s", "k").agg(F.count(F.lit(1)).alias("copies"), F.min("v").alias("v"))
+    end = F.sum("copies").over(Window.partitionBy(*slice_keys).orderBy("k"))
+    placed = values.select(*keys, "s.known", "s.prefix", "k", "v", "copies").withColumn("end", end)
+    found = null_safe_join(state, placed, slice_keys)
+    begin = F.col("below") + F.col("end") - F.col("copies")
+    return found.filter((F.col("rank") >= begin) & (F.col("rank") < F.col("below") + F.col("end")))
+
+
+def _quantiles(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    at_low, at_high = (F.max(F.when(F.col("rank") == F.col(side), F.col("v"))) for side in ("low", "high"))
+    per_target = ranked.groupBy(*keys, "n", "i", "part").agg(at_low.alias("a"), at_high.alias("z"))
     quantile = F.col("a") + (F.col("z") - F.col("a")) * F.col("part")
-    return per_target.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        F.transform(F.array_sort(F.collect_list(F.struct("i", quantile.alias("q")))), lambda e: e["q"]).alias("quantiles"),
+    return per_target.groupBy(*keys, "n").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", quantile.alias("q")))), lambda e: e["q"]).alias("quantiles")
     )
 
 

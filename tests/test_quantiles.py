@@ -51,3 +51,27 @@ def test_null_group_is_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     got = {r.g: r.quantiles[0] for r in exact_quantiles(df, ["g"], "v", [0.5]).collect()}
     assert got == {None: 2.0, "a": 5.0}
+
+
+def test_keys_have_the_order_of_the_numbers(spark):
+    import struct
+
+    rng = np.random.default_rng(5)
+    bits = np.concatenate([rng.integers(-(2**63), 2**63 - 1, 3000), [0, 1, 2, 2**52 - 1, 2**52, 2**52 + 1, 2047 * 2**52, 2047 * 2**52 - 1]])
+    powers = [s * 2.0**e * f for e in range(-1074, 1024) for s in (1, -1) for f in (1.0, 1 - 2.0**-53, 1 + 2.0**-52)]
+    values = [v for v in np.concatenate([bits.view(np.float64), powers]) if not np.isnan(v)]
+    got = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", quantiles.sort_key(F.col("v")).alias("k")).collect()
+    for row in got:
+        own = struct.unpack("<q", struct.pack("<d", abs(row.v)))[0]
+        assert row.k == (-own if row.v < 0 else own)
+
+
+@pytest.mark.parametrize("scale", [1e-300, 1.0, 1e300])
+def test_all_four_passes(spark, scale):
+    """Slices of one row only, over values whose keys differ in their last bits."""
+    base = np.nextafter(scale, np.inf) + np.spacing(scale) * np.arange(300)
+    values = np.concatenate([base, -base, [0.0, -0.0, 5e-324, np.inf, np.inf]])
+    df = spark.createDataFrame([("g", float(v)) for v in values] + [("h", 2.5)] * 7, "g string, v double")
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", [0.0, 0.3, 0.5, 0.9], 1).collect()}
+    np.testing.assert_array_equal(got["g"].quantiles, np.quantile(values, [0.0, 0.3, 0.5, 0.9]))
+    assert got["h"].quantiles == [2.5] * 4 and got["h"].n == 7
