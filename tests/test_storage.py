@@ -166,3 +166,66 @@ def test_ingest_fills_the_raw_tables(spark, folder):
     with pytest.raises(ValueError, match="no rows"):
         jobs.ingest_job(store, f"{folder}/none", f"{folder}/rates")
     assert store.read("raw_base_data").count() == 4
+
+
+def _batch(spark, stamp, rows=3, first=0):
+    batch = spark.range(first, first + rows).select(F.concat(F.lit("p"), F.col("id")).alias("product"), F.lit(stamp).cast("timestamp").alias("scored_at"))
+    return batch.withColumns({"cohort": F.lit("2000-01-01").cast("date"), "months_since_start": F.lit(3), "balance_pred": F.rand(1)})
+
+
+def test_a_rewritten_log_keeps_its_partitions(spark, folder):
+    from ebbtide.plans import maintenance
+    from ebbtide.sources.store import Store
+
+    store, table = Store(spark, folder), "inference_predictions"
+    for k in range(3):  # three files in one partition
+        store.append(_batch(spark, "2001-01-01 10:20:30", first=3 * k).coalesce(1), table)
+    store.append(_batch(spark, "2001-02-01 00:00:00").coalesce(1), table)
+    null = _batch(spark, "2001-02-01 00:00:00", 2, 50).withColumn("scored_at", F.lit(None).cast("timestamp"))
+    store.append(null.repartition(2), table)
+    before = sorted(store.read(table).collect(), key=str)
+    files = set(spark.read.parquet(store.path(table)).inputFiles())
+
+    report = maintenance.rewrite_all(spark, {table: store.path(table)}).first()
+    assert report.swapped and report.same_content and report.partitions == 2 and report.rows_before == 11
+    assert sorted(store.read(table).collect(), key=str) == before
+    now = set(spark.read.parquet(store.path(table)).inputFiles())
+    assert all("scored_at=" in f for f in now) and len(now) == 3
+    assert {f for f in files if "2001-02-01" in f} == {f for f in now if "2001-02-01" in f}
+    assert len(spark.read.parquet(report.left_at).inputFiles()) == 5
+
+    store.append(_batch(spark, "2001-03-01 00:00:00"), table)
+    store.append(_batch(spark, "2001-01-01 10:20:30", 1, 90), table)
+    assert store.read(table).count() == 18  # 14 before
+    kept = set(spark.read.parquet(store.path(table)).inputFiles())
+    again = maintenance.rewrite_all(spark, {table: store.path(table)}).first()
+    assert again.partitions >= 1 and store.read(table).count() == 18
+    third = maintenance.rewrite_all(spark, {table: store.path(table)}).first()
+    assert third.partitions == 0 and not third.swapped and third.left_at is None and kept - now
+
+
+def test_large_partitions_get_as_many_files_as_they_need(spark, folder):
+    rows = spark.range(40_000).select((F.col("id") % 2).alias("month"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.rand(3).alias("v"))
+    rows.filter("month = 0").repartition(12).write.partitionBy("month").parquet(f"{folder}/t")
+    rows.filter("month = 1 AND id % 100 = 1".replace("id", "k")).coalesce(1).write.mode("append").partitionBy("month").parquet(f"{folder}/t")
+    size = maintain.table_bytes(spark, f"{folder}/t")
+    row, known = maintain.compact_partitions(spark, f"{folder}/t", f"{folder}/new", ["month"], ["k"], file_bytes=size // 4)
+    assert row.first().same_content and row.first().partitions == 1 and known.first().month == "0"
+    new = spark.read.parquet(f"{folder}/new")
+    sizes = [r["count"] for r in new.groupBy(F.input_file_name()).count().collect()]
+    assert 4 <= len(sizes) <= 6 and max(sizes) < 8000  # the hot value is in several
+    ranges = sorted((r.low, r.high) for r in new.groupBy(F.input_file_name()).agg(F.min("k").alias("low"), F.max("k").alias("high")).collect())
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_a_rewrite_gives_way_to_a_writer(spark, folder):
+    rows = spark.createDataFrame([(1, "a"), (2, "a")], "k int, month string")
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").partitionBy("month").parquet(f"{folder}/t")
+    _, known = maintain.compact_partitions(spark, f"{folder}/t", f"{folder}/new", ["month"])
+    rows.coalesce(1).write.mode("append").partitionBy("month").parquet(f"{folder}/t")
+    with pytest.raises(RuntimeError, match="written to"):
+        maintain.swap_partitions(spark, f"{folder}/t", f"{folder}/new", f"{folder}/old", ["month"], known)
+    assert spark.read.parquet(f"{folder}/t").count() == 6
+    with pytest.raises(ValueError, match="not partitioned"):
+        maintain.compact_partitions(spark, f"{folder}/t", f"{folder}/other", ["k2"])
