@@ -175,11 +175,14 @@ def version_state(log: DataFrame) -> DataFrame:
     return held.select("model_name", "version", "registered_ts", "metric", stage.alias("stage"), aliases.alias("aliases"))
 
 
-def champion_versus_challenger(log: DataFrame) -> DataFrame:
-    """One row per model: both versions and their metrics, ready for ``promotion``."""
+def champion_versus_challenger(log: DataFrame, version: int | None = None) -> DataFrame:
+    """One row per model: both versions and their metrics, ready for ``promotion``. The challenger is the version that
+    is asked for, or the last registered one; it is null if that one is not registered."""
     kind = log.schema["version"].dataType
     when = _stamped(F.col("event_ts"), F.col("version"))
     newest, leader = (F.when(F.col("event") == event, when) for event in (REGISTERED, PROMOTED))
+    if version is not None:
+        newest = F.when(F.col("version") == version, newest)
     return log.groupBy("model_name").agg(
         _number_of(F.max(newest)).cast(kind).alias("challenger_version"),
         F.max_by("metric", newest).alias("challenger_metric"),

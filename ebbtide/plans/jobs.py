@@ -68,10 +68,13 @@ def train_job(
     """Matrix, checks, search, evaluation, validation, registration, promotion. Returns the promotion decision.
 
     Logs are written before a failed gate raises. A challenger that fails validation is logged as rejected and not
-    registered; one that passes leaves a pending request. With ``approval``, it is promoted only if the last decision
-    on that request allows it: see ``promote_job``. A promoted version freezes the drift baseline; a rejected one is
-    logged as such.
+    registered, and leaves no ratio tables, so its number is free; one that passes leaves a pending request. With
+    ``approval``, it is promoted only if the last decision on that request allows it: see ``promote_job``. A promoted
+    version freezes the drift baseline; a rejected one is logged as such. The number of a registered version is refused.
     """
+    taken = (F.col("model_name") == model_name) & (F.col("version") == version) & (F.col("event") == decide.REGISTERED)
+    if not store.read("model_versions").filter(taken).isEmpty():
+        raise ValueError(f"{model_name} has a version {version}")
     matrix = cohort.cohort_matrix(accounts, rates, products, mapping)
     features = require_rows(materialize(cohort.training_features(matrix), "features"), "cohort matrix")
     store.overwrite(features, "cohort_matrix")
@@ -90,11 +93,11 @@ def train_job(
     run = training.train(features, cutoff, last_cohort, grid, offsets)
     evaluated = materialize(evaluate(run, features, cutoff, last_cohort), "evaluated")
     store.append(evaluated.withColumn("evaluated_at", _stamp(now)), "model_eval_metrics")
-    served = training.served_ratios(run.ratios, run.best).withColumn("model_version", F.lit(str(version)))
-    store.append(served, "training_ratio_tables")
+    named = {"model_name": F.lit(model_name), "model_version": F.lit(str(version))}
+    served = materialize(training.served_ratios(run.ratios, run.best).withColumns(named), "served")
 
     summary = metrics.portfolio_summary(evaluated)
-    checked = materialize(validate(store, features, summary, model_name, version, cutoff, description), "validation")
+    checked = materialize(validate(store, features, summary, served, model_name, version, cutoff, description), "validation")
     store.append(decide.approval_requests(checked, now), "model_approvals")
     verdict = checked.first()
     if not verdict["validation_passed"]:
@@ -104,6 +107,7 @@ def train_job(
         )
         store.append(rejected, "model_versions")
         raise ValueError(f"validation failed: {verdict['rejection_reason']}")
+    store.replace(served, "training_ratio_tables")  # what a run that broke off has left under this number goes
     registered = summary.select(
         F.lit(model_name).alias("model_name"), F.lit(version).alias("version"), F.lit(decide.REGISTERED).alias("event"),
         _stamp(now).alias("event_ts"), F.col("portfolio_mape").alias("metric"),
@@ -112,26 +116,33 @@ def train_job(
     return promote_job(store, model_name, version, cutoff, now, environment, approval)
 
 
+def ratio_tables(store: Store, model_name: str, version: int | str) -> DataFrame:
+    """The stored ratio tables of one version."""
+    own = (F.col("model_name") == model_name) & (F.col("model_version") == str(version))
+    return store.read("training_ratio_tables").filter(own).drop("model_name")
+
+
 def validate(
-    store: Store, features: DataFrame, summary: DataFrame, model_name: str, version: int, cutoff: str, description: str
+    store: Store, features: DataFrame, summary: DataFrame, served: DataFrame, model_name: str, version: int, cutoff: str,
+    description: str,
 ) -> DataFrame:
     """The gate's row for a trained version against the champion: errors, projected balance since the cut-off, products.
 
-    Without a champion its columns are null.
+    ``served`` are the version's own ratio tables, which nothing has stored yet. Without a champion its columns are null.
     """
     log = store.read("model_versions").filter(F.col("model_name") == model_name)
     champion = decide.champion_versus_challenger(log).first()
     later = features.filter(F.col("reporting_period") >= F.lit(cutoff).cast("date"))
 
-    def standing(of: int | None) -> tuple[float | None, int | None]:
-        if of is None:
-            return None, None
-        ratios = store.read("training_ratio_tables").filter(F.col("model_version") == str(of))
+    def standing(ratios: DataFrame) -> tuple[float | None, int | None]:
         balance = project.score(later, ratios).agg(F.sum("balance_pred").cast("double")).first()[0]
         return balance, ratios.agg(F.countDistinct("product")).first()[0]
 
     leader = champion["champion_version"] if champion else None
-    (new_balance, new_products), (old_balance, old_products) = standing(version), standing(leader)
+    new_balance, new_products = standing(served)
+    old_balance, old_products = None, None
+    if leader is not None:
+        old_balance, old_products = standing(ratio_tables(store, model_name, leader))
     row = summary.select(
         F.lit(model_name).alias("model_name"),
         F.lit(str(version)).alias("model_version"),
@@ -149,9 +160,21 @@ def validate(
 def promote_job(
     store: Store, model_name: str, version: int, cutoff: str, now: str, environment: str = "dev", approval: bool = True
 ) -> Row:
-    """Decide on a registered version, after the approval where one is asked for. Returns the promotion decision."""
+    """Decide on the asked version, after its approval where one is asked for. Returns the promotion decision.
+
+    The asked version meets the champion, whatever has been registered since. A version that was never registered, or
+    has been turned down, is refused; one that waits for its approval stays as it is.
+    """
     log = store.read("model_versions").filter(F.col("model_name") == model_name)
-    pair = decide.promotion(decide.champion_versus_challenger(log))
+    last = log.filter(F.col("version") == version).groupBy("event").agg(F.max("event_ts").alias("ts"))
+    own = {r["event"]: r["ts"] for r in last.collect()}
+    if decide.REGISTERED not in own:
+        raise ValueError(f"{model_name} has no version {version}")
+    if decide.REJECTED in own and own[decide.REJECTED] >= own[decide.REGISTERED]:  # not one before it was trained again
+        raise ValueError(f"version {version} of {model_name} was turned down")
+    pair = decide.promotion(decide.champion_versus_challenger(log, version))
+    if pair.first()["champion_version"] == version:  # nothing to decide
+        return pair.withColumn("reason", F.lit("is the champion")).first()
     if approval:
         asked = F.col("request_id") == f"{model_name}-{version}"
         last = decide.latest_approvals(store.read("model_approvals").filter(asked)).first()
@@ -201,7 +224,7 @@ def score_job(
     store.append(quality.quality_log(checks, now, "scoring"), "data_quality_results")
     if gate:
         quality.require(checks)
-    ratios = store.read("training_ratio_tables").filter(F.col("model_version") == version)
+    ratios = ratio_tables(store, model_name, version)
     scored = project.add_audit(project.score(features, ratios), now, model_name, version, CHAMPION)
     written = materialize(scored, "scored")
     store.append(require_rows(written, "predictions"), "inference_predictions")

@@ -106,7 +106,7 @@ def ratio_store(spark, sf_dir):
     path = new_table_path(spark, "ratio_store")
     for version in ("1", "2"):
         writers.append(table.withColumn("model_version", F.lit(version)), path, RATIO_TABLES, ["model_version"])
-    stored = spark.read.schema(RATIO_TABLES).parquet(path)
+    stored = spark.read.schema(RATIO_TABLES).parquet(path).drop("model_name")
     return stored.filter(F.col("model_version") == stored.agg(F.max("model_version")).scalar())
 
 

@@ -91,8 +91,8 @@ PREDICTION_BASELINES = _schema(
 )
 VERSION_LOG = _schema("model_name string, version int, event string, event_ts timestamp, metric double")
 RATIO_TABLES = _schema(
-    "product string, model_version string, months_since_start int, bin_id int, rate_bin string, rec_pct double, "
-    "outflow_pct double, transfer_pct double"
+    "product string, model_name string, model_version string, months_since_start int, bin_id int, rate_bin string, "
+    "rec_pct double, outflow_pct double, transfer_pct double"
 )
 
 TABLES: dict[str, T.StructType] = {
@@ -129,7 +129,7 @@ PARTITIONED_BY: dict[str, tuple[str, ...]] = {
     "training_feature_snapshots": ("snapshot_timestamp",),
     "reference_feature_snapshot": ("model_version",),
     "reference_prediction_snapshot": ("model_version",),
-    "training_ratio_tables": ("model_version",),
+    "training_ratio_tables": ("model_name", "model_version"),
 }
 
 

@@ -36,5 +36,9 @@ class Store:
     def overwrite(self, df: DataFrame, table: str) -> None:
         writers.overwrite(conform(df, TABLES[table]), self.path(table), PARTITIONED_BY.get(table, ()))
 
+    def replace(self, df: DataFrame, table: str) -> None:
+        """Write the partitions of ``df`` anew; the files of the others stay."""
+        writers.replace_partitions(conform(df, TABLES[table]), self.path(table), PARTITIONED_BY[table])
+
     def upsert(self, df: DataFrame, table: str, keys: tuple[str, ...]) -> None:
         writers.upsert_table(conform(df, TABLES[table]), self.path(table), keys, PARTITIONED_BY.get(table, ()))

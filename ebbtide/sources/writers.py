@@ -23,6 +23,12 @@ def append(df: DataFrame, path: str, schema: T.StructType | None = None, partiti
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write the partitions that have rows in ``df``, in the place of what they held. Others stay."""
+    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All batches of a log, columns of every batch; older batches have null in newer columns."""
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -52,8 +58,10 @@ def upsert_table(df: DataFrame, path: str, keys: Sequence[str], partition_by: Se
         old = spark.read.schema(df.schema).parquet(path).select(*df.columns)
         old = old.join(touched, own, "left_semi")
     merged = materialize(keyed_upsert(old, df, keys), "upsert")
-    writer = merged.write.mode("overwrite").partitionBy(*partition_by)
-    (writer.option("partitionOverwriteMode", "dynamic") if partition_by else writer).parquet(path)
+    if partition_by:
+        replace_partitions(merged, path, partition_by)
+    else:
+        merged.write.mode("overwrite").parquet(path)
     return spark.read.schema(merged.schema).parquet(path).select(*merged.columns)
 
 
