@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -32,23 +32,25 @@ SHINGLE = 5
 PERCENT = 80
 #: First-level partitions for each one needed, since some are not solid.
 MARGIN = 1.15
-#: Bins of the count vectors by which a pair's differences are bounded from below: (largest set, bins of the short
-#: vector that travels with signatures, bins of the long one). Sets with more features need more bins to be told apart.
+#: Bins of the count vectors by which a pair's differences are bounded from below: (largest set, bins of a short
+#: vector, bins of the long one). Sets with more features need more bins to be told apart.
 BINS = ((1024, 64, 256), (4096, 256, 256), (None, 1024, 1024))
 #: Signatures that a task gathers before it sends them on.
 FLUSH = 1 << 19
 #: Candidate pairs that a task gathers before it sends them on.
 HELD = 1 << 19
+#: Bits of a sketch for each feature, at least; up to twice as many.
+SKETCH_BITS = 3
+#: A pair whose sketches differ by less than this share of what is allowed is taken for similar until its sets are read.
+SURE_PERCENT = 75
 #: Members of a signature that are compared at a time.
 BLOCK = 2048
-#: Rounds in which each class is compared with its likeliest partner, before all that is left is compared.
+#: Rounds in which each class is compared with one partner, before all that is left is compared.
 ROUNDS = 3
 #: Classes of a component that are compared with one another in one go, about.
 TILE = 128
 #: Features that are counted at a time when sets are compared.
 WIDE = 4096
-#: Bits of the filter that spares reading most sets that no pair needs (false hits only cost a little).
-FILTER_BITS = 1 << 23
 
 
 # ---- sets and signatures of a run of texts ----
@@ -124,6 +126,58 @@ def _level(vectors: list[bytes], bins: int) -> tuple[np.ndarray, np.ndarray]:
     return out, np.where(lengths >= bins, row, -1)
 
 
+def odd_sketches(keys: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each set a bit for each value of a hash: whether an odd number of its features have that value.
+
+    Two sets' sketches differ in no more bits than the sets in features: what both have cancels out. A sketch of half
+    the bits is its two halves, one laid over the other. There are so many bits that few differences hide.
+    """
+    sizes = np.diff(bounds)
+    bits = 1 << np.maximum(6, np.frexp(np.maximum(sizes, 1) * float(SKETCH_BITS) - 1)[1].astype(np.int64))
+    begin = np.append(0, np.cumsum(bits))
+    place = mix(keys + _U(177)) & np.repeat(bits - 1, sizes).astype(_U)
+    counts = np.bincount(np.repeat(begin[:-1], sizes) + place.astype(np.int64), minlength=int(begin[-1]))
+    packed = np.packbits((counts & 1).astype(bool), bitorder="little").tobytes()
+    return [packed[x:y] for x, y in zip((begin[:-1] >> 3).tolist(), (begin[1:] >> 3).tolist())]
+
+
+class Sketches:
+    """Sketches of many sets, by length; each also laid over to half its length, since similar sets' lengths differ by a
+    factor of two at most."""
+
+    def __init__(self, sketches: list[bytes]) -> None:
+        self.length = np.fromiter(map(len, sketches), np.int64, len(sketches))
+        self.of: dict[int, np.ndarray] = {}
+        self.row = np.zeros((2, len(sketches)), np.int64)  # of a sketch as it is, and of its half
+        raw, halves = {}, {}
+        for own in np.unique(self.length).tolist():
+            which = np.flatnonzero(self.length == own)
+            raw[own] = which, np.frombuffer(b"".join([sketches[i] for i in which]), _U).reshape(len(which), -1)
+            if own > 8:
+                halves[own // 2] = which, raw[own][1][:, : own // 16] ^ raw[own][1][:, own // 16 :]
+        for own in {*raw, *halves}:
+            rows, done = [], 0
+            for side, part in enumerate((raw, halves)):
+                if own in part:
+                    which, words = part[own]
+                    self.row[side, which] = done + np.arange(len(which))
+                    rows.append(words)
+                    done += len(which)
+            self.of[own] = np.concatenate(rows)
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many bits the sketches a[i] and b[i] differ; their lengths differ by a factor of two at most."""
+        low = np.minimum(self.length[a], self.length[b])
+        out = np.zeros(len(a), np.int64)
+        for own in np.unique(low).tolist():
+            at = np.flatnonzero(low == own)
+            x, y = a[at], b[at]
+            words = self.of[own]
+            differ = words[self.row[(self.length[x] > own).astype(int), x]] ^ words[self.row[(self.length[y] > own).astype(int), y]]
+            out[at] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def differences(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The most features by which a similar set can differ from one of that size."""
     return size * (100 - percent) // percent
@@ -184,26 +238,36 @@ def signatures(keys: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) ->
 # ---- the steps over the corpus ----
 
 
+def _once(names: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Each of the texts once, by their hashes: the texts, where each first stands, and which one stands where."""
+    _, first, back = np.unique(names.to_numpy(), return_index=True, return_inverse=True)
+    return texts.take(pa.array(first)), first, back
+
+
 def prints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, cls (equal for equal sets, null for empty ones), counts (with the first of a run's equals)."""
+    """doc_id, n_shingles, cls (equal for equal sets, null for empty ones), name (a hash of the text); and with the first
+    of a run's equals, counts and sketch."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, bounds = shingle_sets(batch.column(1), size)
-        n, cls, counts = np.diff(bounds), classes(keys, bounds), count_vectors(keys, bounds)
-        _, first = np.unique(cls, return_index=True)
-        shown = np.zeros(len(n), bool)
+        texts, _, back = _once(batch.column(1), batch.column(2))
+        keys, bounds = shingle_sets(texts, size)
+        n, cls = np.diff(bounds), classes(keys, bounds)
+        vectors = {"counts": count_vectors(keys, bounds), "sketch": odd_sketches(keys, bounds)}
+        _, first = np.unique(cls[back], return_index=True)
+        shown = np.zeros(len(back), bool)
         shown[first] = True
         columns = [
             batch.column(0),
-            pa.array(n, pa.int64()),
-            pa.array(cls, pa.int64(), mask=n == 0),
-            pa.array([c if s else None for c, s in zip(counts, shown & (n > 0))], pa.binary()),
+            pa.array(n[back], pa.int64()),
+            pa.array(cls[back], pa.int64(), mask=n[back] == 0),
+            batch.column(1),
+            *[pa.array([v[k] if s and n[k] else None for k, s in zip(back, shown)], pa.binary()) for v in vectors.values()],
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "cls", "counts"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "cls", "name", *vectors])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles long, cls long, counts binary"
-    return map_texts(docs, [docs["doc_id"], docs["text"]], work, schema)
+    schema = f"doc_id {kind}, n_shingles long, cls long, name long, counts binary, sketch binary"
+    return map_texts(docs, [docs["doc_id"], F.xxhash64(docs["text"]), docs["text"]], work, schema)
 
 
 _MATCHES = pa.schema(
@@ -267,8 +331,8 @@ def _sign(size: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls, found, held = [], [], 0
         for batch in batches:
-            for part in slices(batch, 0):
-                keys, bounds = shingle_sets(part.column(0), size)
+            for part in slices(batch, 1):
+                keys, bounds = shingle_sets(_once(part.column(0), part.column(1))[0], size)
                 ids = classes(keys, bounds)
                 _, first = np.unique(ids, return_index=True)  # equal sets sign alike: once will do
                 chosen = np.zeros(len(ids), bool)
@@ -321,7 +385,7 @@ def shared_signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     partitions = shuffle_partitions(docs.sparkSession)
     buckets = 4 * partitions
     schema = "bucket int, kind int, signature long, cls long, entries binary"
-    signed = docs.select("text").mapInArrow(_sign(size, percent, buckets), schema)
+    signed = docs.select(F.xxhash64("text"), "text").mapInArrow(_sign(size, percent, buckets), schema)
     return signed.repartition(partitions, "bucket").mapInArrow(_match(buckets), schema).select("signature", "cls")
 
 
@@ -360,34 +424,21 @@ def _linked(percent: int):
     return run
 
 
-def _needed(ids: DataFrame) -> bytes:
-    """A bitmap of FILTER_BITS bits, with the bit of each of ``ids`` set: of fixed size, however many there are."""
-    bit = F.pmod(F.col("cls"), F.lit(FILTER_BITS)) + 1  # these functions count from 1
-    rows = ids.groupBy(F.bitmap_bucket_number(bit).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in rows.collect():  # FILTER_BITS / 32768 rows at most
-        out[(row["k"] - 1) * 4096 : row["k"] * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return out.tobytes()
-
-
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(cls, set) of the classes in ``ids``, and of a few others."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(_needed(ids))
+def _sets(docs: DataFrame, vectors: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(cls, set) of the classes in ``ids``, written once. Only texts that stand for one of them are looked at."""
+    names = vectors.join(ids.distinct(), "cls", "left_semi").select("name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
-            for part in slices(batch, 0):
-                keys, bounds = shingle_sets(part.column(0), size)
+            for part in slices(batch, 1):
+                keys, bounds = shingle_sets(_once(part.column(0), part.column(1))[0], size)
                 cls, first = np.unique(classes(keys, bounds), return_index=True)
-                at = cls % FILTER_BITS
-                hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-                hit &= np.diff(bounds)[first] > 0
-                sets = [keys[bounds[i] : bounds[i + 1]].tobytes() for i in first[hit]]
-                yield pa.RecordBatch.from_arrays([pa.array(cls[hit]), pa.array(sets, pa.binary())], ["cls", "set"])
+                sets = [keys[bounds[i] : bounds[i + 1]].tobytes() for i in first]
+                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(sets, pa.binary())], ["cls", "set"])
 
-    found = docs.select("text").mapInArrow(run, "cls long, set binary")
-    return found.groupBy("cls").agg(F.first("set").alias("set"))
+    named = docs.select(F.xxhash64("text").alias("name"), "text").join(materialize(names, "names"), "name", "left_semi")
+    found = named.mapInArrow(run, "cls long, set binary")
+    return materialize(found.groupBy("cls").agg(F.first("set").alias("set")), "sets")
 
 
 def _verify(docs: DataFrame, vectors: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -399,7 +450,7 @@ def _verify(docs: DataFrame, vectors: DataFrame, pairs: DataFrame, size: int, pe
     vb = vectors.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
     sifted = pairs.distinct().join(va, "a").join(vb, "b").mapInArrow(_sift(percent), "a long, b long")
     sifted = materialize(sifted, "pairs")
-    sets = _sets(docs, sifted.select(F.col("a").alias("cls")).union(sifted.select("b")).distinct(), size)
+    sets = _sets(docs, vectors, sifted.select(F.col("a").alias("cls")).union(sifted.select("b")), size)
     sa = sets.select(F.col("cls").alias("a"), F.col("set").alias("sa"))
     sb = sets.select(F.col("cls").alias("b"), F.col("set").alias("sb"))
     both = sifted.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
@@ -409,13 +460,14 @@ def _verify(docs: DataFrame, vectors: DataFrame, pairs: DataFrame, size: int, pe
 def _candidates(percent: int, best: bool):
     """In tasks, over the members of signatures in order of size: pairs from different components that may be similar.
 
-    With ``best``, for each class only the pair that the bound leaves most room, as (a, b, score); else all pairs.
+    With ``best``, for each class one pair only, as (a, b, score, goal): of those that look similar the one with the
+    smallest component, so that a group of similar classes gathers around one of them, else the likeliest. Otherwise
+    all pairs, each once.
     """
 
-    def pairs_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs_of(rows: pa.RecordBatch) -> np.ndarray:
         cls, component, n, side = (rows.column(k).to_numpy() for k in ("cls", "component", "n", "side"))
-        short = rows.column("short").to_pylist()
-        levels = [_level(short, bins) for bins in (16, 64, 256, 1024)]
+        sketches = Sketches(rows.column("sketch").to_pylist())
         key = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in ("signature", "i", "j")])
         opens = np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))
         ends = np.append(np.flatnonzero(opens)[1:], len(cls))[np.cumsum(opens) - 1]
@@ -430,37 +482,35 @@ def _candidates(percent: int, best: bool):
             # side 0: within a block; 1 and 2: the rows and columns of two blocks
             can = (component[left] != component[other]) & ((side[left] == 0) | (side[left] != side[other]))
             a, b = left[can], other[can]
-            total, apart = n[a] + n[b], np.zeros(len(a), np.int64)
-            for vectors, at in levels:  # few bins first: they rule out most pairs
-                known = (at[a] >= 0) & (at[b] >= 0)
-                x, y = vectors[at[a[known]]], vectors[at[b[known]]]
-                apart[known] = np.abs(x - y).sum(axis=1, dtype=np.int64)
-                can = (100 + percent) * apart <= (100 - percent) * total
-                a, b, apart, total = a[can], b[can], apart[can], total[can]
-            found.append(np.stack([cls[a], cls[b], apart * 1_000_000 // np.maximum(total, 1)]))
-        a, b, score = np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1)
-        return np.minimum(a, b), np.maximum(a, b), score
+            allowed = (100 - percent) * (n[a] + n[b])
+            apart = (100 + percent) * sketches.apart(a, b)
+            can = apart <= allowed
+            a, b, apart, allowed = a[can], b[can], apart[can], allowed[can]
+            sure = 100 * apart <= SURE_PERCENT * allowed
+            score = np.where(sure, 0, 1 + apart * 1_000_000 // np.maximum(allowed, 1))
+            goals = [np.where(sure, component[k], 0) for k in (b, a)]
+            if best:
+                found.append(np.stack([np.append(cls[a], cls[b]), np.append(cls[b], cls[a]), np.append(score, score), np.concatenate(goals)]))
+            else:
+                low, high = np.minimum(cls[a], cls[b]), np.maximum(cls[a], cls[b])
+                found.append(np.stack([low, high, score, np.zeros_like(score)]))
+        return np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)
 
     def reduced(found: list[np.ndarray]) -> np.ndarray:
         """Each class once with its best pair, or each pair once."""
-        a, b, score = np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1)
-        order = np.lexsort((b, score, a) if best else (score, b, a))
-        a, b, score = a[order], b[order], score[order]
-        first = np.append(True, a[1:] != a[:-1])[: len(a)]
+        a, b, score, goal = both = np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)
+        both = both[:, np.lexsort((b, goal, score, a) if best else (score, b, a))]
+        first = np.append(True, both[0, 1:] != both[0, :-1])[: len(a)]
         if not best:
-            first[1:] |= b[1:] != b[:-1]
-        return np.stack([a[first], b[first], score[first]])
+            first[1:] |= both[1, 1:] != both[1, :-1]
+        return both[:, first]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row_batch(found: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b", "score"])
-
-        def results(rows: pa.RecordBatch) -> np.ndarray:
-            a, b, score = pairs_of(rows)
-            return np.stack([np.append(a, b), np.append(b, a), np.append(score, score)] if best else [a, b, score])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b", "score", "goal"])
 
         rest: list[pa.RecordBatch] = []  # a block may go on in the next batch
-        held = np.zeros((3, 0), np.int64)  # what several signatures of the task tell is told once
+        held = np.zeros((4, 0), np.int64)  # what several signatures of the task tell is told once
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -470,79 +520,86 @@ def _candidates(percent: int, best: bool):
                 last &= rows.column(k).to_numpy() == rows.column(k)[-1].as_py()
             cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
             if cut:
-                held = reduced([held, results(rows.slice(0, cut))])
+                held = reduced([held, pairs_of(rows.slice(0, cut))])
             rest = [rows.slice(cut)]
             if held.shape[1] > HELD:
                 yield row_batch(held)
                 held = held[:, :0]
-        yield row_batch(reduced([held, *map(results, rest)]))
+        yield row_batch(reduced([held, *map(pairs_of, rest)]))
 
     return run
 
 
-def _blocks(members: DataFrame, short: DataFrame, component: DataFrame) -> DataFrame:
-    """Members of signatures that are not yet connected, cut into blocks; block i meets each block j >= i. The count
-    vectors join last, since they are most of a row."""
+def _blocks(members: DataFrame, sketches: DataFrame, component: DataFrame, turn: int | None) -> DataFrame:
+    """Members of signatures that are not yet connected, cut into blocks. The sketches join last, since they are most
+    of a row.
+
+    With ``turn``, a block is compared within itself, and each turn deals the members anew. Without, all pairs from different
+    components meet: of each signature, members outside its largest component (i below ``minor``) meet one another
+    and those in it, which do not meet, so that few stragglers cost little however large the rest is.
+    """
     named = members.join(component, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    split = (
-        named.groupBy("signature")
-        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"))
-        .filter("_low <> _high")
-        .select("signature", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
+    parts = named.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("_n"))
+    split = parts.groupBy("signature").agg(
+        F.sum("_n").alias("_all"), F.max("_n").alias("_most"), F.max_by("component", "_n").alias("major"), F.count(F.lit(1)).alias("_parts")
     )
-    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda j: F.struct(
-            F.least(F.col("own"), j).alias("i"),
-            F.greatest(F.col("own"), j).alias("j"),
-            F.when(F.col("own") == j, 0).when(F.col("own") < j, 1).otherwise(2).alias("side"),
-        ),
+
+    def cuts(rows: Column) -> Column:
+        return F.ceil(rows / BLOCK).cast("int")
+
+    split = split.filter("_parts > 1").select(
+        "signature", "major", cuts(F.col("_all")).alias("blocks"), cuts(F.col("_all") - F.col("_most")).alias("minor"), cuts(F.col("_most")).alias("rest")
     )
-    dealt = named.join(split, "signature").withColumn("own", own).withColumn("meets", F.explode(meets))
+    dealt = named.join(split, "signature")
+    if turn is not None:
+        own = F.pmod(F.xxhash64("cls", F.lit(turn)), F.col("blocks")).cast("int")
+        dealt = dealt.select("signature", "cls", "component", own.alias("i"), own.alias("j"), F.lit(0).alias("side"))
+    else:
+        of_rest = F.col("component") == F.col("major")
+        own = F.pmod(F.xxhash64("cls"), F.when(of_rest, F.col("rest")).otherwise(F.col("minor"))).cast("int")
+        own = F.when(of_rest, own + F.col("minor")).otherwise(own)
+        others = F.sequence(F.lit(0), F.when(of_rest, F.col("minor")).otherwise(F.col("minor") + F.col("rest")) - 1)
+        meets = F.transform(
+            others,
+            lambda j: F.struct(
+                F.least(F.col("own"), j).alias("i"),
+                F.greatest(F.col("own"), j).alias("j"),
+                F.when(F.col("own") == j, 0).when(F.col("own") < j, 1).otherwise(2).alias("side"),
+            ),
+        )
+        dealt = dealt.withColumn("own", own).withColumn("meets", F.explode(meets)).select("signature", "cls", "component", "meets.*")
     key = ["signature", "i", "j"]
-    dealt = dealt.select("signature", "cls", "component", "meets.*").join(short, "cls")
-    return dealt.repartition(*key).sortWithinPartitions(*key, "n")
+    return dealt.join(sketches, "cls").repartition(*key).sortWithinPartitions(*key, "n")
 
 
 def _prepared(docs: DataFrame, known: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of the classes: (cls, n, counts), (cls, n, short) and (signature, cls)."""
-
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, n = batch.column("counts").to_pylist(), batch.column("n").to_numpy()
-            short: list[bytes] = list(counts)
-            for bins in {row[1] for row in BINS}:
-                vectors, at = _level(counts, bins)
-                for i in np.flatnonzero(_bins(n, 1) == bins):
-                    short[i] = vectors[at[i]].astype(np.uint8).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), pa.array(short, pa.binary())], ["cls", "n", "short"])
-
-    vectors = known.filter("counts is not null").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counts").alias("counts"))
-    vectors = materialize(vectors, "vectors")
-    short = materialize(vectors.mapInArrow(shorten, "cls long, n long, short binary"), "short")
-    return vectors, short, materialize(shared_signatures(docs, size, percent).distinct(), "members")
+    """Of the classes: (cls, n, counts, name), (cls, n, sketch) and (signature, cls)."""
+    firsts = {"n": "n_shingles", "counts": "counts", "name": "name", "sketch": "sketch"}
+    row = F.first(F.struct(*[F.col(c).alias(k) for k, c in firsts.items()]))
+    of_class = materialize(known.filter("counts is not null").groupBy("cls").agg(row.alias("row")).select("cls", "row.*"), "vectors")
+    members = materialize(shared_signatures(docs, size, percent).distinct(), "members")
+    return of_class.drop("sketch"), of_class.select("cls", "n", "sketch"), members
 
 
 def link_classes(docs: DataFrame, prepared: tuple[DataFrame, DataFrame, DataFrame], size: int, percent: int) -> DataFrame:
     """Links (a, b) between classes: enough of them that classes are connected if and only if similar pairs connect them.
 
-    In each of a few rounds a class is compared with one partner: of those that share a signature and belong to another
-    component, the likeliest. What is similar becomes connected, so a large group of copies costs a comparison for
+    In each of a few rounds a class is compared with one partner from another component that shares a signature with it:
+    what looks similar gathers around one class, so a large group of copies becomes connected by about a comparison for
     each copy and not for each pair. Then all pairs that share a signature and still lie in different components are
-    compared. A pair is left out only if its count vectors show that it cannot be similar.
+    compared. A pair is left out only if sketches show that it cannot be similar.
     """
-    vectors, short, members = prepared
-    found = "a long, b long, score long"
+    vectors, sketches, members = prepared
+    found = "a long, b long, score long, goal long"
     component = docs.sparkSession.createDataFrame([], "cls long, component long")
     links: list[DataFrame] = []
-    for _ in range(ROUNDS):
-        best = _blocks(members, short, component).mapInArrow(_candidates(percent, best=True), found)
-        best = best.groupBy("a").agg(F.min(F.struct("score", "b"))["b"].alias("b"))
+    for turn in range(ROUNDS):
+        best = _blocks(members, sketches, component, turn).mapInArrow(_candidates(percent, best=True), found)
+        best = best.groupBy("a").agg(F.min(F.struct("score", "goal", "b"))["b"].alias("b"))
         pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         links.append(_verify(docs, vectors, pairs, size, percent))
         component = components(_union(links)).select(F.col("id").alias("cls"), "component")
-    left = _blocks(members, short, component).mapInArrow(_candidates(percent, best=False), found).select("a", "b")
+    left = _blocks(members, sketches, component, None).mapInArrow(_candidates(percent, best=False), found).select("a", "b")
     links.append(_verify(docs, vectors, left, size, percent))
     return _union(links)
 
@@ -592,7 +649,7 @@ def _met(percent: int):
     return run
 
 
-def all_links(docs: DataFrame, members: DataFrame, component: DataFrame, size: int, percent: int) -> DataFrame:
+def all_links(docs: DataFrame, vectors: DataFrame, members: DataFrame, component: DataFrame, size: int, percent: int) -> DataFrame:
     """Every similar pair (a, b) of classes, once, where ``component`` (cls, component) tells what similar pairs connect.
 
     Similar classes lie in one component and share a signature. A component is cut into tiles by a hash of the class;
@@ -613,7 +670,7 @@ def all_links(docs: DataFrame, members: DataFrame, component: DataFrame, size: i
         F.array(F.struct(F.col("i").alias("tile"), F.lit(1).alias("side")), F.struct(F.col("j").alias("tile"), F.lit(2).alias("side")))
     )
     meets = across.union(alone).withColumn("own", F.explode(sides)).select("component", "i", "j", "own.*")
-    sets = _sets(docs, dealt.select("cls"), size)
+    sets = _sets(docs, vectors, dealt.select("cls"), size)
     met = meets.join(dealt.select("cls", "component", "tile"), ["component", "tile"]).drop("tile").join(sets, "cls")
     key = ["component", "i", "j"]
     met = met.repartition(*key).sortWithinPartitions(*key).select(*key, "side", "cls", "set")
@@ -636,27 +693,29 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     document has an id. An empty table gives an empty one. Texts of any length are taken whole.
     """
     known, _, of_class = _joined(docs, size, percent)
-    return _with_component(known, of_class)
+    return _with_component(known, of_class).drop("name")
 
 
-def _joined(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The prints, (signature, cls), and (cls, component) of the classes that are similar to others."""
+def _joined(
+    docs: DataFrame, size: int, percent: int
+) -> tuple[DataFrame, tuple[DataFrame, DataFrame, DataFrame], DataFrame]:
+    """The prints, what ``_prepared`` gives, and (cls, component) of the classes that are similar to others."""
     known = materialize(prints(docs, size), "prints")
     prepared = _prepared(docs, known, size, percent)
     links = link_classes(docs, prepared, size, percent)
-    return known, prepared[2], components(links).withColumnRenamed("id", "cls")
+    return known.drop("counts", "sketch"), prepared, components(links).withColumnRenamed("id", "cls")
 
 
-def _with_component(known: DataFrame, of_class: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and further columns of ``known``."""
+def _with_component(known: DataFrame, of_class: DataFrame, *also: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, further columns of ``known``, and ``component`` where that is asked for."""
     firsts = known.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first"))
     firsts = materialize(firsts, "firsts")
     named = firsts.join(of_class, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(smallest, "component").select("cls", "component_id")
-    rest = [c for c in known.columns if c not in ("doc_id", "n_shingles", "cls", "counts")]
+    named = named.join(smallest, "component").select("cls", "component_id", *also)
+    rest = [c for c in known.columns if c not in ("doc_id", "n_shingles", "cls")]
     return known.join(named, "cls", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *rest
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *rest, *also
     )
 
 
@@ -666,21 +725,27 @@ def counted_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     All similar pairs of classes are told (see ``all_links``), so the work grows with their number; equal rows
     are counted and not paired. Nulls, empty texts and repeated rows are as there: without words a row has no links.
     """
-    known, members, of_class = _joined(docs, size, percent)
+    known, (vectors, _, members), of_class = _joined(docs, size, percent)
     of_class = materialize(of_class, "components")
-    pairs = all_links(docs, members, of_class, size, percent)
+    pairs = all_links(docs, vectors, members, of_class, size, percent)
     rows = materialize(known.filter("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("_rows")), "rows")
     both = pairs.union(pairs.select("b", "a"))
     others = both.join(rows.withColumnRenamed("cls", "b"), "b").groupBy("a").agg(F.sum("_rows").alias("_others"))
     counted = rows.join(others.withColumnRenamed("a", "cls"), "cls", "left")
     counted = counted.select("cls", (F.col("_rows") - 1 + F.coalesce("_others", F.lit(0))).alias("n_links"))
     known = known.join(counted, "cls", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
-    return _with_component(known, of_class)
+    return _with_component(known, of_class).drop("name")
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of each component the document with the smallest doc_id, with all its columns. A row that is there several
-    times under one doc_id is kept once; rows without doc_id cannot be told apart, and stay."""
-    kept = near_duplicates(docs, size, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of each component one document, with all its columns: the one with the smallest doc_id, and of different texts
+    under one doc_id that with the smallest hash. Texts of different components all stay, whatever their doc_id; a row
+    that is there several times is kept once. Rows without doc_id cannot be told apart, and stay."""
+    known, _, of_class = _joined(docs, size, percent)
+    named = _with_component(known, of_class, "component").filter("component is not null AND doc_id is not null")
+    chosen = named.groupBy("component").agg(F.min(F.struct("doc_id", "name")).alias("row")).select("row.*")
+    wordless = known.filter("cls is null AND doc_id is not null").select("doc_id", "name")
+    chosen = materialize(chosen.union(wordless).distinct().withColumnRenamed("name", "_name"), "kept")
+    once = docs.withColumn("_name", F.xxhash64("text")).join(chosen, ["doc_id", "_name"], "left_semi")
+    once = once.dropDuplicates(["doc_id", "_name"])
     return once.select(docs.columns).union(docs.filter("doc_id is null"))

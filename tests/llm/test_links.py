@@ -279,3 +279,35 @@ def test_url_query_learns_from_the_rules(spark):
     ruled = rows[rows["rule"].notna()]
     right = np.where(ruled["score"] >= 0, "allow", "block") == ruled["verdict"]
     assert right.mean() > 0.95
+
+
+# ---- sketches of the join ----
+
+
+def test_sketches_bound_the_differences():
+    draw = np.random.default_rng(3)
+    sets = []
+    for n in (1, 2, 5, 21, 22, 300, 1400, 3000):
+        base = draw.integers(0, 2**63, n).astype(np.uint64)
+        for part in (0, 0.02, 0.1, 0.3):
+            k = int(n * part)
+            sets.append(np.append(base[k:], draw.integers(0, 2**63, k + k // 2).astype(np.uint64)))
+    sketches = jaccard_join.Sketches(jaccard_join.odd_sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)])))
+    close = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if max(len(a), len(b)) <= 1.25 * min(len(a), len(b)):
+                (found,) = sketches.apart(np.array([i]), np.array([j]))
+                assert found <= len(np.setxor1d(a, b))
+                close += i != j and found > 0.8 * len(np.setxor1d(a, b)) > 0
+    assert close > 20  # and closely
+
+
+def test_one_document_of_each_text_and_component_stays(spark):
+    copy = " ".join(f"w{i}" for i in range(80))
+    rows = [(5, copy), (5, "one clean text under the same number"), (9, copy + " z"), (9, copy + " z"), (9, "and a third one that is there twice")]
+    rows += [(9, "and a third one that is there twice"), (None, copy), (2, None), (2, ""), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(docs).collect()), key=str)
+    want = [(5, copy), (5, rows[1][1]), (9, rows[4][1]), (None, copy), (2, None), (2, "")]
+    assert got == sorted(want, key=str)
