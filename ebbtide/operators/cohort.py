@@ -7,6 +7,7 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.constants import MATRIX_KEYS, SERIES_KEYS, UNASSIGNED
 from ebbtide.functions.dates import age_in_months, month_start
@@ -19,6 +20,7 @@ from ebbtide.functions.ratios import (
     receipt_share,
     withdrawal_share,
 )
+from ebbtide.operators.quantiles import null_safe_join, sort_key
 
 
 def market_category(category: Column, mapping: Mapping[str, str] | None) -> Column:
@@ -172,18 +174,46 @@ def training_features(matrix: DataFrame, exclude: bool = True) -> DataFrame:
     )
 
 
+_WIDE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+
 def keep_first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the first in ``order``.
+    """One row per key: the first in ``order``, nulls first; of equal ones any, but a whole one.
 
-    An aggregate, not a window: repeats combine map-side, so a key with very many copies never meets in one sort.
+    An aggregate, not a window: repeats combine map-side, so a key with very many copies never meets in one sort. With one
+    order column that a LONG can stand for it is a hash aggregate. Columns of fixed width are picked along with it;
+    where others are, the keys are reduced first and the rows joined to what remains.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*order)
-    first = F.min_by(F.struct(*rest), rank).alias("_row") if rest else F.count("*").alias("_n")
-    picked = df.groupBy(*keys).agg(first)
     if not rest:
-        return picked.drop("_n")
-    return picked.select(*keys, "_row.*").select(*df.columns)
+        return df.select(*keys).distinct()
+    code = order_code(df, order[0]) if len(order) == 1 else None
+    if code is None:
+        picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+        return picked.select(*keys, "_row.*").select(*df.columns)
+    coded = df.withColumn("_code", code)
+    if not any(isinstance(df.schema[c].dataType, _WIDE) for c in rest):
+        # all picks go by the same code over the same rows, so they are of one row also where codes are equal
+        return coded.groupBy(*keys).agg(*[F.min_by(c, "_code").alias(c) for c in rest]).select(*df.columns)
+    first = coded.groupBy(*keys).agg(F.min("_code").alias("_first"))
+    return null_safe_join(coded, first, keys).filter(F.col("_code") == F.col("_first")).dropDuplicates(list(keys)).select(*df.columns)
+
+
+def order_code(df: DataFrame, by: str | Column) -> Column | None:
+    """A LONG of the same order as the column, nulls first and NaN last; none for types that it cannot stand for."""
+    value = F.col(by) if isinstance(by, str) else by
+    kind = df.select(value).schema[0].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        code = value.cast("long")
+    elif isinstance(kind, T.DateType):
+        code = F.unix_date(value).cast("long")
+    elif isinstance(kind, T.TimestampType):
+        code = F.unix_micros(value)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        code = F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(sort_key(value.cast("double")))
+    else:
+        return None
+    return F.coalesce(code, F.lit(-(1 << 63)))
 
 
 def last_balances(matrix: DataFrame) -> DataFrame:

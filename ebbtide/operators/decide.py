@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.constants import (
     GATE_MAX_BALANCE_DEVIATION_PCT,
@@ -14,6 +15,7 @@ from ebbtide.constants import (
     RETRAIN_MAPE,
     RETRAIN_NULL_RATE,
 )
+from ebbtide.operators.quantiles import sort_key
 
 REGISTERED, PROMOTED, REJECTED = "registered", "promoted", "rejected"
 APPROVED = "APPROVED"
@@ -214,10 +216,25 @@ def prior_champion(log: DataFrame) -> DataFrame:
     )
 
 
+_RUNS = 1 << 63
+
+
 def best_run(runs: DataFrame, keys: Sequence[str], metric: str = "metric", run: str = "run_id") -> DataFrame:
-    """Lowest positive metric per key; the lower run id wins ties."""
-    best = F.min(F.struct(metric, run))
-    return runs.filter(F.col(metric) > 0).groupBy(*keys).agg(best[run].alias(run), best[metric].alias(metric))
+    """Lowest positive metric per key; the lower run id wins ties.
+
+    Run ids that are whole numbers, from 0 on, make one DECIMAL with the metric's sort key, which a hash aggregate can
+    hold; others are compared as they are, after a sort.
+    """
+    positive = runs.filter(F.col(metric) > 0)
+    kind, of_metric = runs.schema[run].dataType, runs.schema[metric].dataType
+    if not isinstance(kind, (T.IntegerType, T.LongType)) or not isinstance(of_metric, T.DoubleType):
+        best = F.min(F.struct(metric, run))
+        return positive.groupBy(*keys).agg(best[run].alias(run), best[metric].alias(metric))
+    size = F.when(F.isnan(metric), F.lit(_RUNS - 1)).otherwise(sort_key(F.col(metric)))
+    wide = F.lit(str(_RUNS)).cast("decimal(19,0)")
+    code = (size.cast("decimal(19,0)") * wide).cast("decimal(38,0)") + F.col(run).cast("decimal(19,0)")
+    best = F.pmod(F.min(code.cast("decimal(38,0)")), wide).cast(kind)
+    return positive.groupBy(*keys).agg(best.alias(run), F.min(metric).alias(metric))
 
 
 def latest_approvals(approvals: DataFrame) -> DataFrame:

@@ -44,8 +44,8 @@ def exact_quantiles(
 
     The slices, one row per group and target, are written between the passes.
     """
-    keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    named, keys = list(keys), [f"_key{i}" for i in range(len(keys))]  # so that no name of a group clashes with those below
+    rows = df.select(*[F.col(k).alias(own) for k, own in zip(named, keys)], F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     rows = rows.withColumn("k", sort_key(F.col("v")))
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
     position = F.col("t.p") * (F.col("n") - 1)
@@ -66,7 +66,8 @@ def exact_quantiles(
         if large.isEmpty():
             break
         state = materialize(state.filter(F.col("inside") <= slice_rows).unionByName(_narrow(rows, large, keys)), "slices")
-    return _quantiles(_ranked(rows, state, keys), keys)
+    found = _quantiles(_ranked(rows, state, keys), keys)
+    return found.select(*[F.col(own).alias(k) for k, own in zip(named, keys)], "n", "quantiles")
 
 
 def _prefix(k: Column, known: Column) -> Column:

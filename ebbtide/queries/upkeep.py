@@ -34,6 +34,11 @@ def _by_window(granularity: str):
     return query
 
 
+def table_profiles(spark, sf_dir):
+    """The events' profiles by day, week and month and as a whole, from one plan."""
+    return _profiled(profile.profiles(read_table(spark, sf_dir, "events"), PROFILED, ["event_type"], "ts"))
+
+
 def table_snapshot(spark, sf_dir):
     return _profiled(profile.profile(read_table(spark, sf_dir, "events"), PROFILED, ["event_type"]))
 
@@ -123,7 +128,7 @@ QUERIES.update(
     {
         f.__name__: f
         for f in (
-            table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, dash_dataset_history, compact_table, log_evolution,
+            table_profiles, table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, dash_dataset_history, compact_table, log_evolution,
             feature_snapshots, ratio_store, csv_export,
         )
     }
@@ -178,6 +183,10 @@ SQL = {
 }
 SQL.update(
     {
+        "table_profiles": "\nUNION ALL ".join(
+            f"SELECT '{g}' AS granularity, * FROM ({_profile_sql('events', PROFILED, f'{start} AS window_start, event_type')})"
+            for g, start in [*((g, f"date_trunc('{g}', ts)::DATE") for g in profile.WINDOWS), ("total", "NULL::DATE")]
+        ),
         "table_snapshot": _profile_sql("events", PROFILED, "event_type"),
         "feature_snapshot_profile": sql.with_ctes(
             sql.FEATURE_CTES, _profile_sql("features", ["balance_lag_1", "n_accounts", "months_since_start"], "product")

@@ -175,3 +175,14 @@ def test_upsert_and_keys(spark):
         assert_unique(old.union(old.limit(1)), ["k"])
     with pytest.raises(ValueError):
         assert_unique(spark.createDataFrame([(None, "a")], "k int, v string"), ["k"])
+
+
+def test_best_runs_are_picked_without_a_sort(spark):
+    rows = [("a", 7, 2.0), ("a", 3, 2.0), ("a", 1, 2.5), ("a", 0, -1.0), ("b", 5, 1e300), ("b", 2**62, 1e-300), ("c", 4, float("nan")), ("d", 1, 0.0)]
+    runs = spark.createDataFrame(rows, "k string, run_id long, metric double")
+    best = decide.best_run(runs, ["k"])
+    assert {r.k: r.run_id for r in best.collect()} == {"a": 3, "b": 2**62, "c": 4}
+    plan = best._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    named = decide.best_run(runs.withColumn("run_id", F.col("run_id").cast("string")), ["k"])
+    assert {r.k: (r.run_id, r.metric) for r in named.filter("k <> 'c'").collect()} == {"a": ("3", 2.0), "b": (str(2**62), 1e-300)}

@@ -150,3 +150,26 @@ def test_first_row_of_a_key_stays(spark):
 def test_nan_becomes_null(spark):
     df = nan_to_null(spark.createDataFrame([(float("nan"), "x")], "a double, b string"))
     assert df.first().a is None
+
+
+@pytest.mark.parametrize("kind", ["int", "date", "timestamp", "double"])
+def test_first_rows_are_whole_and_picked_without_a_sort(spark, kind):
+    rows = [(i % 3, None if i == 4 else i % 5, i, 10 * i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, o int, a int, b int")
+    if kind == "date":
+        df = df.withColumn("o", F.date_add(F.lit("2000-01-01").cast("date"), F.col("o")))
+    elif kind == "timestamp":
+        df = df.withColumn("o", F.timestamp_seconds("o"))
+    elif kind == "double":
+        df = df.withColumn("o", F.when(F.col("o") == 4, float("nan")).otherwise(F.col("o") - 2.5))
+    kept = cohort.keep_first_per_key(df, ["k"], ["o"])
+    got = {r.k: r for r in kept.collect()}
+    assert got[1].o is None and got[1].a == 4  # nulls first
+    assert got[0].o == got[2].o == df.agg(F.min("o")).first()[0]
+    assert all(r.b == 10 * r.a and rows[r.a][0] == k and (rows[r.a][1] or 0) == 0 for k, r in got.items())
+    plan = kept._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    wide = cohort.keep_first_per_key(df.withColumn("v", F.col("a").cast("string")), ["k"], ["o"])
+    assert {r.k: (r.o, r.a) for r in wide.collect()}[1] == (None, 4) and all(r.v == str(r.a) for r in wide.collect())
+    both = cohort.keep_first_per_key(df, ["k"], ["o", "b"])
+    assert {(r.k, r.a) for r in both.collect()} == {(0, 0), (1, 4), (2, 5)}
