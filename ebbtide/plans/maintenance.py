@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ebbtide.operators.maintain import FILE_BYTES, analyze_table, compact, compact_partitions, swap, swap_partitions
 from ebbtide.schemas import PARTITIONED_BY
 from ebbtide.session import materialize
+from ebbtide.sources.store import Store
 
 # The columns each table is clustered by; tables without columns are only compacted.
 CLUSTERING: dict[str, tuple[str, ...]] = {
@@ -68,3 +69,18 @@ def analyze_all(spark: SparkSession, names: Mapping[str, str]) -> None:
     """Refresh column statistics of the tables most queries read."""
     for table in ANALYZED:
         analyze_table(spark, names[table])
+
+
+def maintain_job(store: Store, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """The weekly job: rewrite what has too many files, let the catalog see the new ones, refresh the statistics of the
+    tables most queries read. Returns the report of ``rewrite_all``; tables that nothing has written are left out."""
+    paths = {table: store.path(table) for table in CLUSTERING if store.exists(table)}
+    report = rewrite_all(store.spark, paths, file_bytes)
+    if store.names is not None:
+        for table in paths:
+            if store.spark.catalog.tableExists(store.names[table]):
+                store.spark.catalog.refreshTable(store.names[table])
+        for table in ANALYZED:
+            if table in paths:
+                store.analyze(table)
+    return report

@@ -5,6 +5,7 @@ Months are DATE (first of the month), stamps are TIMESTAMP, flags are BOOLEAN, l
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,19 +147,25 @@ class TableNames:
         return ".".join(p for p in (self.catalog, self.schema, table) if p)
 
 
-def create_table_sql(name: str, schema: T.StructType, fmt: str = "parquet") -> str:
+def create_table_sql(
+    name: str, schema: T.StructType, fmt: str = "parquet", partition_by: Sequence[str] = (), location: str | None = None
+) -> str:
+    """A table unless it is there; with a location, over files that stay when it is dropped."""
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
     )
-    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}"
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    where = " LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{parts}{where}"
 
 
-def create_all(spark: SparkSession, names: TableNames) -> list[str]:
-    """Create every missing table; returns the full names."""
+def create_all(spark: SparkSession, names: TableNames, root: str | None = None) -> list[str]:
+    """Create every missing table, partitioned; over the folders below ``root``, if one is given. Returns the full names."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {names.schema}")
     created = []
     for table, schema in TABLES.items():
-        spark.sql(create_table_sql(names[table], schema))
+        location = f"{root.rstrip('/')}/{table}" if root else None
+        spark.sql(create_table_sql(names[table], schema, partition_by=PARTITIONED_BY.get(table, ()), location=location))
         created.append(names[table])
     return created
 

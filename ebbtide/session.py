@@ -31,6 +31,7 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.cbo.enabled": "true",  # only tables with statistics in the catalog are planned by it
         "spark.ui.enabled": "false",
     }
     if input_bytes is not None:

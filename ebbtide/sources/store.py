@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.schemas import PARTITIONED_BY, TABLES, conform
-from ebbtide.sources import writers
+from ebbtide.schemas import PARTITIONED_BY, TABLES, TableNames, conform
+from ebbtide.sources import catalog, readers, writers
 
 
 @dataclass(frozen=True)
 class Store:
+    """Tables below ``root``. With ``names``, each has an external catalog table, which every write keeps up to date."""
+
     spark: SparkSession
     root: str
+    names: TableNames | None = None
 
     def path(self, table: str) -> str:
         if table not in TABLES:
@@ -30,15 +34,59 @@ class Store:
         schema = TABLES[table]
         return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)  # partitions come last
 
+    def named(self, table: str) -> DataFrame:
+        """The table by its name in the catalog: the rows of ``read``, with the statistics that were computed last."""
+        if self.names is None:
+            raise ValueError("the store has no names in a catalog")
+        return readers.read_table(self.spark, self.names[table]).select(*TABLES[table].names)
+
     def append(self, df: DataFrame, table: str) -> None:
-        writers.append(df, self.path(table), TABLES[table], PARTITIONED_BY.get(table, ()))
+        parts = PARTITIONED_BY.get(table, ())
+        self._write(conform(df, TABLES[table]), table, lambda rows: writers.append(rows, self.path(table), partition_by=parts))
 
     def overwrite(self, df: DataFrame, table: str) -> None:
-        writers.overwrite(conform(df, TABLES[table]), self.path(table), PARTITIONED_BY.get(table, ()))
+        parts = PARTITIONED_BY.get(table, ())
+        writers.overwrite(conform(df, TABLES[table]), self.path(table), parts)
+        if self.names is not None:
+            self._table(table)
+            if parts:
+                catalog.forget_partitions(self.spark, self.names[table])
+            else:
+                self.spark.catalog.refreshTable(self.names[table])
 
     def replace(self, df: DataFrame, table: str) -> None:
         """Write the partitions of ``df`` anew; the files of the others stay."""
-        writers.replace_partitions(conform(df, TABLES[table]), self.path(table), PARTITIONED_BY[table])
+        parts = PARTITIONED_BY[table]
+        self._write(conform(df, TABLES[table]), table, lambda rows: writers.replace_partitions(rows, self.path(table), parts))
 
     def upsert(self, df: DataFrame, table: str, keys: tuple[str, ...]) -> None:
-        writers.upsert_table(conform(df, TABLES[table]), self.path(table), keys, PARTITIONED_BY.get(table, ()))
+        parts = PARTITIONED_BY.get(table, ())
+        self._write(conform(df, TABLES[table]), table, lambda rows: writers.upsert_table(rows, self.path(table), keys, parts))
+
+    def analyze(self, table: str) -> None:
+        """Compute the statistics that plans over ``named`` tables use."""
+        if self.names is None:
+            raise ValueError("the store has no names in a catalog")
+        self._table(table)
+        catalog.analyze(self.spark, self.names[table])
+
+    def _table(self, table: str) -> None:
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.names.schema}")
+        if not self.spark.catalog.tableExists(self.names[table]):
+            catalog.create_external(self.spark, self.names[table], TABLES[table], self.path(table), PARTITIONED_BY.get(table, ()))
+
+    def _write(self, rows: DataFrame, table: str, write: Callable[[DataFrame], object]) -> None:
+        """Write, and tell the catalog of the partitions that the rows were in."""
+        parts = PARTITIONED_BY.get(table, ())
+        if self.names is None:
+            write(rows)
+            return
+        if not parts:
+            write(rows)
+            self._table(table)
+            self.spark.catalog.refreshTable(self.names[table])
+            return
+        watched, seen = catalog.written_partitions(rows, parts)
+        write(watched)
+        self._table(table)
+        catalog.add_partitions(self.spark, self.names[table], parts, seen.get["partitions"])
