@@ -17,8 +17,8 @@ BEGIN, ROLE_END, TURN_END = "<|turn|>", "<|says|>", "<|end|>"
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lsqb;"))
 #: Tokens that a unit of a part stands for: a tile of an image, a second of audio, a page of a document.
 TOKENS_A_UNIT = {"image": 256, "audio": 25, "document": 512}
-#: A part in running text: ``![kind xN](reference)``, N units.
-INLINE = r"!\[(image|audio|document) x([1-9]\d{0,5})\]\(([^()\s]{1,2000})\)"
+#: A part in running text: ``![kind xN](reference)``, N units, which a LONG can hold.
+INLINE = r"!\[(image|audio|document) x([1-9]\d{0,17})\]\(([^()\s]+)\)"
 
 PART = "struct<kind: string, text: string, reference: string, units: long>"
 
@@ -61,37 +61,62 @@ def parts_of(text: Column) -> Column:
     )
 
 
+def _kind(part: Column) -> Column:
+    """A part that says nothing of its kind is text."""
+    return F.coalesce(part["kind"], F.lit("text"))
+
+
+def _long(number: Column) -> Column:
+    """A whole DECIMAL as a LONG; what is larger than any LONG is the largest."""
+    return F.least(number, F.lit(str(2**63 - 1)).cast("decimal(38,0)")).cast("long")
+
+
 def visit(parts: Column) -> dict[str, Column]:
-    """What a turn's parts flatten to: ``body``, ``attachments`` (kind, reference, units, n_tokens) and ``n_expanded``."""
-    others = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p["kind"] != "text")
+    """What a turn's parts flatten to: ``body``, ``attachments`` (kind, reference, units, n_tokens) and ``n_expanded``.
+
+    A null kind is text, a null text or reference an empty one, null units are none. Kinds that TOKENS_A_UNIT does not know
+    stand for no tokens.
+    """
+    parts = F.coalesce(parts, F.array().cast(f"array<{PART}>"))
+    others = F.filter(parts, lambda p: _kind(p) != "text")
     cost = F.create_map(*[F.lit(x) for kind_cost in TOKENS_A_UNIT.items() for x in kind_cost])
     attachments = F.transform(
         others,
         lambda p: F.struct(
             p["kind"].alias("kind"),
-            p["reference"].alias("reference"),
-            p["units"].alias("units"),
-            (p["units"] * F.coalesce(F.element_at(cost, p["kind"]), F.lit(0))).alias("n_tokens"),
+            F.coalesce(p["reference"], F.lit("")).alias("reference"),
+            F.coalesce(p["units"], F.lit(0).cast("long")).alias("units"),
+            _long(
+                F.coalesce(p["units"], F.lit(0)).cast("decimal(19,0)")
+                * F.coalesce(F.element_at(cost, p["kind"]), F.lit(0)).cast("decimal(10,0)")
+            ).alias("n_tokens"),
         ),
     )
 
     def flat(p: Column, i: Column) -> Column:
-        number = F.size(F.filter(F.slice(parts, 1, i), lambda q: q["kind"] != "text"))
-        placeholder = F.concat(F.lit("<|"), escape(p["kind"]), F.lit(":"), number.cast("string"), F.lit("|>"))
-        return F.when(p["kind"] == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder)
+        number = F.size(F.filter(F.slice(parts, 1, i), lambda q: _kind(q) != "text"))
+        name = F.replace(escape(p["kind"]), F.lit(":"), F.lit("&colon;"))  # the sign that ends it
+        placeholder = F.concat(F.lit("<|"), name, F.lit(":"), number.cast("string"), F.lit("|>"))
+        return F.when(_kind(p) == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder)
 
     return {
-        "body": F.coalesce(F.array_join(F.transform(parts, flat), ""), F.lit("")),
+        "body": F.array_join(F.transform(parts, flat), ""),
         "attachments": attachments,
-        "n_expanded": F.aggregate(attachments, F.lit(0).cast("long"), lambda n, a: n + a["n_tokens"]),
+        "n_expanded": total(attachments, "n_tokens"),
     }
 
 
+def total(rows: Column, field: str) -> Column:
+    """The sum of a LONG field over an array of structs; the largest LONG if it would be larger."""
+    zero = F.lit(0).cast("decimal(38,0)")
+    return F.aggregate(rows, zero, lambda n, x: (n + x[field].cast("decimal(19,0)")).cast("decimal(38,0)"), _long)
+
+
 def format_turns(turns: DataFrame) -> DataFrame:
     """Each turn by itself: conv_id, turn, role, formatted, is_loss (the assistant's), attachments, n_expanded.
 
     ``turns`` needs conv_id, turn, role and either ``parts`` (an array of PART) or ``text``, in which other parts may
-    be written inline. Null roles and texts are empty ones.
+    be written inline, with references of any length. Null roles and texts are empty ones; for parts see ``visit``.
     """
     role = F.coalesce(turns["role"], F.lit(""))
     seen = visit(turns["parts"] if "parts" in turns.columns else parts_of(turns["text"]))
@@ -149,7 +174,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
         F.array_join(F.transform("turns", lambda t: t["formatted"]), "").alias("formatted"),
         F.aggregate("turns", start, step)["spans"].alias("loss_spans"),
         F.flatten(placed).alias("attachments"),
-        F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + t["n_expanded"]).alias("n_expanded"),
+        total(F.col("turns"), "n_expanded").alias("n_expanded"),
     )
 
 
@@ -159,7 +184,7 @@ def read_back(chats: DataFrame) -> DataFrame:
     pieces = F.filter(F.split("formatted", r"<\|turn\|>", -1), lambda p: p != "")
 
     def restored(body: Column, place: Column) -> Column:
-        plain = F.split(body, r"<\|(?:image|audio|document):\d+\|>", -1)
+        plain = F.split(body, r"<\|[^:]*:\d+\|>", -1)
         own = F.filter("attachments", lambda a: a["place"] == place)
         written = F.transform(
             own, lambda a: F.concat(F.lit("!["), a["kind"], F.lit(" x"), a["units"].cast("string"), F.lit("]("), a["reference"], F.lit(")"))

@@ -40,13 +40,15 @@ FLUSH = 1 << 19
 #: Candidate pairs that a task gathers before it sends them on.
 HELD = 1 << 19
 #: Bits of a sketch for each feature, at least; up to twice as many.
-SKETCH_BITS = 3
+SKETCH_BITS = 1.5
 #: A pair whose sketches differ by less than this share of what is allowed is taken for similar until its sets are read.
 SURE_PERCENT = 75
 #: Members of a signature that are compared at a time.
 BLOCK = 2048
 #: Rounds in which each class is compared with one partner, before all that is left is compared.
 ROUNDS = 3
+#: A round looks at one in so many signatures: similar sets share about half of theirs.
+GATHERED = 8
 #: Classes of a component that are compared with one another in one go, about.
 TILE = 128
 #: Features that are counted at a time when sets are compared.
@@ -578,15 +580,24 @@ def _prepared(docs: DataFrame, known: DataFrame, size: int, percent: int) -> tup
     row = F.first(F.struct(*[F.col(c).alias(k) for k, c in firsts.items()]))
     of_class = materialize(known.filter("counts is not null").groupBy("cls").agg(row.alias("row")).select("cls", "row.*"), "vectors")
     members = materialize(shared_signatures(docs, size, percent).distinct(), "members")
+    members = materialize(_distinct_groups(members), "groups")
     return of_class.drop("sketch"), of_class.select("cls", "n", "sketch"), members
 
 
+def _distinct_groups(members: DataFrame) -> DataFrame:
+    """Of signatures that the same classes share, one: two similar sets share dozens, which all say the same."""
+    group = [F.sum(F.xxhash64(*seed, "cls").cast("decimal(38,0)")).alias(f"_of{k}") for k, seed in enumerate(((), (F.lit(1),)))]
+    groups = members.groupBy("signature").agg(F.count(F.lit(1)).alias("_n"), *group)
+    one = groups.groupBy("_n", "_of0", "_of1").agg(F.min("signature").alias("signature")).select("signature")
+    return members.join(one, "signature", "left_semi")
+
+
 def link_classes(docs: DataFrame, prepared: tuple[DataFrame, DataFrame, DataFrame], size: int, percent: int) -> DataFrame:
     """Links (a, b) between classes: enough of them that classes are connected if and only if similar pairs connect them.
 
-    In each of a few rounds a class is compared with one partner from another component that shares a signature with it:
-    what looks similar gathers around one class, so a large group of copies becomes connected by about a comparison for
-    each copy and not for each pair. Then all pairs that share a signature and still lie in different components are
+    In each of a few rounds a class is compared with one partner from another component that shares a signature with it,
+    of those that the round looks at: what looks similar gathers around one class, so a large group of copies becomes
+    connected by about a comparison for each copy and not for each pair. Then all pairs that share a signature and still lie in different components are
     compared. A pair is left out only if sketches show that it cannot be similar.
     """
     vectors, sketches, members = prepared
@@ -594,7 +605,8 @@ def link_classes(docs: DataFrame, prepared: tuple[DataFrame, DataFrame, DataFram
     component = docs.sparkSession.createDataFrame([], "cls long, component long")
     links: list[DataFrame] = []
     for turn in range(ROUNDS):
-        best = _blocks(members, sketches, component, turn).mapInArrow(_candidates(percent, best=True), found)
+        some = members.filter(F.pmod(F.xxhash64("signature"), F.lit(GATHERED)) == turn)
+        best = _blocks(some, sketches, component, turn).mapInArrow(_candidates(percent, best=True), found)
         best = best.groupBy("a").agg(F.min(F.struct("score", "goal", "b"))["b"].alias("b"))
         pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         links.append(_verify(docs, vectors, pairs, size, percent))

@@ -1,13 +1,17 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts are summed by cell (source, language, topic). Fitting rakes the cells' weights to one set of marginals
-after the other until all hold. A cell's weight over its tokens is how much more or less of it is wanted; scaled so
-that the largest is 1, that is the probability with which its documents are sampled, and the expected mixture has
-the target marginals.
+after the other until all hold within TOLERANCE. A cell's weight over its tokens is how much more or less of it is wanted.
+Scaled, that is the probability with which its documents are sampled, and the expected mixture has the target marginals.
+
+The scale must not hang on a few rows: the cells that are wanted most, up to SPARED of all tokens, are kept whole, and the
+scale is where the others begin. So a stray row of a cell of its own changes nobody else's probability.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +21,14 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Where no target shares are given: a value's share is its share of tokens to this power, rescaled.
 TEMPER = {"source": 0.8, "lang": 0.9, "topic": 1.0}
 BYTES_A_TOKEN = 4
-ROUNDS = 6
+#: The largest error of a marginal share after fitting, and the rounds after which targets count as out of reach.
+TOLERANCE, ROUNDS = 1e-12, 30
 #: Rounds between two writings of the cells, which keep the plan short.
 WRITTEN_EVERY = 3
+#: The share of all tokens in cells that may be wanted more than the scale allows.
+SPARED = 0.01
+#: The scale is one of so many steps from a power of two to the next.
+STEPS = 256
 SEED = "mix-1"
 #: The label of a null source or language.
 NONE = "(none)"
@@ -71,28 +80,51 @@ def targets(cells: DataFrame, dimension: str, shares: dict[str, float] | None) -
 def rake(cells: DataFrame, shares: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight`` fitted to the targets of all three dimensions.
 
-    The rows of this table are the distinct cells, so a value's rows are few even if it holds most of the corpus.
+    Rounds go on until the largest error of a marginal is below TOLERANCE; targets that ``rounds`` rounds do not reach
+    (there may be no cell to carry them) are warned of. The rows of this table are the distinct cells, so a
+    value's rows are few even if it holds most of the corpus.
     """
     out = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dimension in DIMENSIONS:
         out = out.join(targets(cells, dimension, (shares or {}).get(dimension)), dimension)
-    for k in range(rounds):
-        for dimension in DIMENSIONS:
-            margin = F.sum("weight").over(Window.partitionBy(dimension))
+    margins = {d: F.sum("weight").over(Window.partitionBy(d)) for d in DIMENSIONS}
+    for k in range(1, rounds + 1):
+        for dimension, margin in margins.items():
             out = out.withColumn("weight", F.when(margin > 0, F.col("weight") * F.col(f"target_{dimension}") / margin).otherwise(0.0))
-        if (k + 1) % WRITTEN_EVERY == 0 or k + 1 == rounds:
+        if k % WRITTEN_EVERY == 0 or k == rounds:
             out = materialize(out, "cells")
+            gaps = out.select(F.greatest(*[F.abs(margin - F.col(f"target_{d}")) for d, margin in margins.items()]).alias("gap"))
+            worst = gaps.agg(F.max("gap")).first()[0] or 0.0
+            if worst <= TOLERANCE:
+                return out
+    warnings.warn(f"after {rounds} rounds a marginal share is still off by {worst:.2g}", stacklevel=2)
     return out
 
 
+def _step(ratio: Column) -> Column:
+    return F.floor(F.log2(ratio) * STEPS)
+
+
+def scale(fitted: DataFrame) -> float:
+    """The ratio that becomes probability 1: cells with a larger one hold SPARED of all tokens at most.
+
+    Tokens are summed by steps of the ratio, of which there are few however many cells there are.
+    """
+    steps = fitted.filter("ratio > 0").groupBy(_step(F.col("ratio")).alias("step")).agg(F.sum("tokens").alias("tokens"))
+    above = F.sum("tokens").over(Window.orderBy(F.desc("step")))  # at most 2048 * STEPS rows
+    whole = steps.agg(F.sum("tokens")).scalar()
+    first = steps.withColumn("above", above).filter(F.col("above") > whole * SPARED).agg(F.max("step")).first()[0]
+    return 1.0 if first is None else 2.0 ** ((first + 1) / STEPS)
+
+
 def probabilities(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """(source, lang, topic, probability) of each cell."""
     cells = docs.select(*[c.alias(k) for k, c in _labels(docs).items()], n_tokens(docs["text"]).alias("tokens"))
     cells = materialize(cells.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     fitted = rake(cells, shares).withColumn("ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")))
-    largest = fitted.agg(F.max("ratio")).first()[0] or 1.0
     # a cell without tokens weighs nothing in any marginal: its documents are kept
-    return fitted.select(*DIMENSIONS, F.coalesce(F.col("ratio") / F.lit(float(largest)), F.lit(1.0)).alias("probability"))
+    wanted = F.least(F.col("ratio") / F.lit(scale(fitted)), F.lit(1.0))
+    return fitted.select(*DIMENSIONS, F.coalesce(wanted, F.lit(1.0)).alias("probability"))
 
 
 def _with_probability(docs: DataFrame, shares: dict[str, dict[str, float]] | None) -> DataFrame:
@@ -157,8 +189,15 @@ def sql() -> str:
                 f"r_{k + 1} AS (SELECT * REPLACE (CASE WHEN {margin} > 0 THEN weight * target_{d} / {margin} ELSE 0 END AS weight) FROM r_{k})"
             )
             k += 1
-    steps.append(f"ratios AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN weight / tokens END AS ratio FROM r_{k})")
-    steps.append("chances AS (SELECT source, lang, topic, coalesce(ratio / max(ratio) OVER (), 1) AS probability FROM ratios)")
+    steps.append(f"ratios AS (SELECT source, lang, topic, tokens, CASE WHEN tokens > 0 THEN weight / tokens END AS ratio FROM r_{k})")
+    steps.append(
+        f"steps AS (SELECT floor(log2(ratio) * {STEPS}) AS step, sum(tokens) AS tokens FROM ratios WHERE ratio > 0 GROUP BY 1)"
+    )
+    steps.append(
+        f"scales AS (SELECT coalesce(pow(2, (max(step) + 1) / {STEPS}), 1) AS scale FROM (SELECT step, "
+        f"sum(tokens) OVER (ORDER BY step DESC) AS above, sum(tokens) OVER () AS whole FROM steps) WHERE above > whole * {SPARED})"
+    )
+    steps.append("chances AS (SELECT source, lang, topic, coalesce(least(ratio / scale, 1), 1) AS probability FROM ratios, scales)")
     return (
         "WITH " + ",\n".join(steps) + "\nSELECT doc_id, source, lang, topic, n_tokens, round(probability, 9) AS probability, "
         "draw < probability AS sampled FROM labelled JOIN chances USING (source, lang, topic)"

@@ -8,6 +8,7 @@ sequences. Spark then numbers the pieces of each length and looks up where the r
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from bisect import bisect_left
 from collections import defaultdict
@@ -222,6 +223,8 @@ def places(runs: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, list[tupl
 
 # ---- tokens, in tasks ----
 
+LONG_RUN = 50_000
+
 
 def byte_signs(alphabet: list[str]) -> list[str]:
     """The sign of each byte in a byte-level vocabulary: itself if it is in the alphabet, else the next from 256 on."""
@@ -235,7 +238,9 @@ def byte_bpe(path: str, added: bool = False) -> Callable[[str], list[int]]:
 
     That library takes four times as long. Its vocabulary is in merge order, so its ids are ranks, and ``tiktoken``
     gives the same ids by them (the tests compare the two). With ``added``, the file's added tokens in a text are
-    found first and have their own ids, as that library does it; else their strings are ordinary text.
+    found first and have their own ids, as that library does it; else their strings are ordinary text. A text with a run
+    of more than LONG_RUN separators is encoded by that library: over several hundred thousand, ``tiktoken``'s pattern
+    goes back too far and fails.
     """
     import public_tokenizers
     import tiktoken
@@ -249,7 +254,15 @@ def byte_bpe(path: str, added: bool = False) -> Callable[[str], list[int]]:
     encoding = tiktoken.Encoding(
         "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special if added else {}
     )
-    return functools.partial(encoding.encode, allowed_special="all") if added else encoding.encode_ordinary
+    fast = functools.partial(encoding.encode, allowed_special="all") if added else encoding.encode_ordinary
+    tokenizer.encode_special_tokens = not added
+
+    def encode(text: str) -> list[int]:
+        if len(text) > LONG_RUN and max(map(len, re.findall(r"\s+", text)), default=0) > LONG_RUN:
+            return tokenizer.encode(text, add_special_tokens=False).ids
+        return fast(text)
+
+    return encode
 
 
 def token_pieces(
