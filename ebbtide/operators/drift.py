@@ -55,6 +55,24 @@ def _bucket(value: Column, edges: Column, n_edges: Column, buckets: int) -> Colu
     return F.when(value == F.col("last_edge"), n_edges - 1).otherwise(inside)
 
 
+def _padded_edges(reference: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    """feature, edges (``buckets + 1`` entries, infinite beyond the ``n_edges`` real ones), n_edges, last_edge; written, so
+    that the planner knows how small it is."""
+    padding = F.array_repeat(F.lit(float("inf")), buckets + 1 - F.size("edges"))
+    return materialize(
+        bucket_edges(reference, columns, buckets).select(
+            "feature", F.concat("edges", padding).alias("edges"), F.size("edges").alias("n_edges"),
+            F.element_at("edges", -1).alias("last_edge"),
+        ),
+        "edges",
+    )
+
+
+def _in_buckets(values: DataFrame, edges: DataFrame, buckets: int) -> DataFrame:
+    own = _bucket(F.col("value"), F.col("edges"), F.col("n_edges"), buckets)
+    return values.join(edges, "feature").withColumn("bucket", own)
+
+
 def psi(
     reference: DataFrame, current: DataFrame, columns: Sequence[str], buckets: int = PSI_BUCKETS
 ) -> DataFrame:
@@ -65,24 +83,21 @@ def psi(
     bucket before the shuffle. Runs one job for the edges, which are written so that the planner knows how small they
     are.
     """
-    padding = F.array_repeat(F.lit(float("inf")), buckets + 1 - F.size("edges"))
-    edges = materialize(
-        bucket_edges(reference, columns, buckets).select(
-            "feature", F.concat("edges", padding).alias("edges"), F.size("edges").alias("n_edges"),
-            F.element_at("edges", -1).alias("last_edge"),
-        ),
-        "edges",
-    )
+    edges = _padded_edges(reference, columns, buckets)
     sides = long_features(reference, columns).withColumn("is_reference", F.lit(True)).unionByName(
         long_features(current, columns).withColumn("is_reference", F.lit(False))
     )
     counts = materialize(
-        sides.join(edges, "feature")
-        .withColumn("bucket", _bucket(F.col("value"), F.col("edges"), F.col("n_edges"), buckets))
+        _in_buckets(sides, edges, buckets)
         .groupBy("feature", "n_edges", "bucket")
         .agg(F.count_if("is_reference").alias("r"), F.count_if(~F.col("is_reference")).alias("c")),
         "bucket_counts",
     )
+    return _index(counts, columns, buckets)
+
+
+def _index(counts: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    """The index of each column from rows (feature, n_edges, bucket, r, c) of counts, which are added up."""
     within = range(1, buckets + 1)
 
     def per_bucket(side: str) -> list[Column]:
@@ -103,10 +118,53 @@ def psi(
         gap = (share("c", i) - share("r", i)) * F.ln(share("c", i) / share("r", i))
         index = index + F.when(F.col("n_edges") > i, gap).otherwise(0.0)
     value = F.when(F.col("c_rows") > 0, F.when(F.col("n_edges") < 3, 0.0).otherwise(index))
-    names = reference.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    names = counts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
     return names.join(wide.select("feature", value.alias("psi")), "feature", "left")
 
 
+def freeze_histograms(
+    reference: DataFrame, columns: Sequence[str], model_version: str, frozen_at: str, buckets: int = PSI_BUCKETS
+) -> DataFrame:
+    """What the index and the guard need of a reference, one row per feature that has values: edges, rows per bucket,
+    extremes. A batch is compared with that alone; the reference is not read again."""
+    edges = _padded_edges(reference, columns, buckets)
+    within = _in_buckets(long_features(reference, columns), edges, buckets).groupBy("feature", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    found = within.groupBy("feature").agg(
+        F.array(*[F.coalesce(F.sum(F.when(F.col("bucket") == i, F.col("n"))), F.lit(0)) for i in range(1, buckets + 1)]).alias("counts"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("n").alias("n"),
+    )
+    real = F.slice("edges", F.lit(1), F.col("n_edges")).alias("edges")
+    return found.join(edges, "feature").select(
+        "feature", real, "counts", "low", "high", "n", F.lit(model_version).alias("model_version"),
+        F.lit(frozen_at).cast("timestamp").alias("baseline_frozen_at"),
+    )
+
+
+def psi_frozen(histograms: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``psi`` against frozen histograms: the same rows. Reads the batch once."""
+    buckets = F.size("counts")
+    padding = F.array_repeat(F.lit(float("inf")), buckets + 1 - F.size("edges"))
+    own = materialize(
+        histograms.filter(F.col("feature").isin(*columns)).select(
+            "feature", "counts", F.concat("edges", padding).alias("edges"), F.size("edges").alias("n_edges"),
+            F.element_at("edges", -1).alias("last_edge"),
+        ),
+        "histograms",
+    )
+    widest = own.agg(F.max(buckets)).first()[0] or PSI_BUCKETS
+    edges = own.drop("counts")
+    now = _in_buckets(long_features(current, columns), edges, widest).groupBy("feature", "n_edges", "bucket").agg(F.count(F.lit(1)).alias("c"))
+    then = own.select("feature", "n_edges", F.posexplode("counts").alias("at", "r"))
+    counts = then.select("feature", "n_edges", (F.col("at") + 1).alias("bucket"), "r", F.lit(0).cast("long").alias("c")).unionByName(
+        now.withColumn("r", F.lit(0).cast("long"))
+    )
+    return _index(counts, columns, widest)
+
+
 def status_band(value: Column, warn: float = PSI_WARN, alert: float = PSI_ALERT) -> Column:
     """ALERT, WARN or OK; a missing value is NO_DATA."""
     return (
@@ -118,7 +176,11 @@ def drift_report(
     reference: DataFrame, current: DataFrame, columns: Sequence[str], drift_type: str = "feature",
     warn: float = PSI_WARN, alert: float = PSI_ALERT,
 ) -> DataFrame:
-    return psi(reference, current, columns).select(
+    return _banded(psi(reference, current, columns), drift_type, warn, alert)
+
+
+def _banded(found: DataFrame, drift_type: str, warn: float = PSI_WARN, alert: float = PSI_ALERT) -> DataFrame:
+    return found.select(
         F.lit(drift_type).alias("drift_type"), "feature", "psi", status_band(F.col("psi"), warn, alert).alias("status")
     )
 
@@ -131,6 +193,10 @@ def extrapolation_report(
     span = long_features(reference, [feature]).agg(
         F.struct(F.min("value").alias("ref_min"), F.max("value").alias("ref_max"))
     ).scalar()
+    return _outside(span, current, feature, alert_rate)
+
+
+def _outside(span: Column, current: DataFrame, feature: str, alert_rate: float = EXTRAPOLATION_ALERT_RATE) -> DataFrame:
     ranged = long_features(current, [feature]).withColumn("_span", span)
     outside = (F.col("value") < F.col("_span.ref_min")) | (F.col("value") > F.col("_span.ref_max"))
     rate = F.col("out_of_range_rate")
@@ -150,12 +216,35 @@ def full_report(
         drift_report(predictions_ref, predictions_now, prediction_columns, "prediction"),
         extrapolation_report(features_ref, features_now),
     ]
+    return _together(parts)
+
+
+def _together(parts: Sequence[DataFrame]) -> DataFrame:
     combined = parts[0]
     for part in parts[1:]:
         combined = combined.unionByName(part, allowMissingColumns=True)
     return combined
 
 
+def full_report_frozen(
+    features_ref: DataFrame, features_now: DataFrame, predictions_ref: DataFrame, predictions_now: DataFrame,
+    feature_columns: Sequence[str] = DRIFT_FEATURES, prediction_columns: Sequence[str] = DRIFT_PREDICTIONS,
+    guarded: str = EXTRAPOLATION_FEATURE,
+) -> DataFrame:
+    """``full_report`` against the frozen histograms of both sides: the same rows."""
+    of_guarded = F.col("feature") == guarded
+    span = features_ref.agg(
+        F.struct(F.max(F.when(of_guarded, F.col("low"))).alias("ref_min"), F.max(F.when(of_guarded, F.col("high"))).alias("ref_max"))
+    ).scalar()
+    return _together(
+        [
+            _banded(psi_frozen(features_ref, features_now, feature_columns), "feature"),
+            _banded(psi_frozen(predictions_ref, predictions_now, prediction_columns), "prediction"),
+            _outside(span, features_now, guarded),
+        ]
+    )
+
+
 def alert_summary(report: DataFrame) -> DataFrame:
     """One row: any alert, the alerted items with their value, the highest value among them."""
     alerted = F.col("status") == "ALERT"

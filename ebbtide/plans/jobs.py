@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from ebbtide.constants import DRIFT_PREDICTIONS, FOLD_OFFSETS, MATRIX_KEYS, MODEL_FEATURES, MODEL_LABELS, PARAM_GRID
+from ebbtide.constants import DRIFT_FEATURES, DRIFT_PREDICTIONS, FOLD_OFFSETS, MATRIX_KEYS, MODEL_FEATURES, MODEL_LABELS, PARAM_GRID
 from ebbtide.operators import cohort, decide, drift, maintain, metrics, project, quality
 from ebbtide.operators.prep import MAIN_WINDOW
 from ebbtide.plans import monitoring, training
@@ -188,7 +188,10 @@ def promote_job(
     store.append(outcome, "model_versions")
     decision = decided.first()
     if decision["promoted"]:
-        store.append(drift.freeze_baseline(store.read("cohort_matrix"), str(version), now), "reference_feature_snapshot")
+        matrix = store.read("cohort_matrix")
+        store.append(drift.freeze_baseline(matrix, str(version), now), "reference_feature_snapshot")
+        frozen = drift.freeze_histograms(matrix, DRIFT_FEATURES, str(version), now)
+        store.replace(frozen.withColumn("model_name", F.lit(model_name)), "reference_feature_histogram")
     card = decided.select(
         "model_name", F.col("challenger_version").cast("string").alias("model_version"), "promoted",
         F.col("reason").alias("promotion_reason"), F.col("challenger_metric").alias("portfolio_mape"),
@@ -231,6 +234,27 @@ def score_job(
     return version
 
 
+def drift_of_batch(store: Store, batch: DataFrame, model_name: str, version: str, now: str) -> DataFrame:
+    """Drift report of the newest batch. A version whose baselines are frozen as histograms is compared with those; one
+    from before that, with the rows of the baselines."""
+    if not store.exists("reference_prediction_snapshot"):
+        seed = drift.baseline_or_seed(None, batch, version, now, DRIFT_PREDICTIONS)
+        store.append(seed, "reference_prediction_snapshot")
+        frozen = drift.freeze_histograms(batch, DRIFT_PREDICTIONS, version, now)
+        store.replace(frozen.withColumn("model_name", F.lit(model_name)), "reference_prediction_histogram")
+    features_now = store.read("inference_features")
+    own = (F.col("model_name") == model_name) & (F.col("model_version") == version)
+    features, predictions = (store.read(f"reference_{side}_histogram").filter(own) for side in ("feature", "prediction"))
+    if not features.isEmpty() and not predictions.isEmpty():
+        return drift.full_report_frozen(features, features_now, predictions, batch)
+    return drift.full_report(
+        drift.baseline_for(store.read("reference_feature_snapshot"), version),
+        features_now,
+        drift.baseline_for(store.read("reference_prediction_snapshot"), version),
+        batch,
+    )
+
+
 def monitor_job(store: Store, now: str, guard: bool = True) -> Row:
     """Errors, drift and quality of the newest batch. Returns the retraining decision.
 
@@ -243,20 +267,8 @@ def monitor_job(store: Store, now: str, guard: bool = True) -> Row:
     observed = materialize(metrics.monitoring_metrics(latest, ["product", "scored_at"]).withColumns(stamps), "observed")
     store.append(observed, "monitoring_metrics")
 
-    version = require_rows(latest, "newest batch").select("model_version").first()["model_version"]
-    if not store.exists("reference_prediction_snapshot"):
-        seed = drift.baseline_or_seed(None, latest, version, now, DRIFT_PREDICTIONS)
-        store.append(seed, "reference_prediction_snapshot")
-    features_now = store.read("inference_features")
-    report = materialize(
-        drift.full_report(
-            drift.baseline_for(store.read("reference_feature_snapshot"), version),
-            features_now,
-            drift.baseline_for(store.read("reference_prediction_snapshot"), version),
-            latest,
-        ),
-        "drift",
-    )
+    served = require_rows(latest, "newest batch").select("model_name", "model_version").first()
+    report = materialize(drift_of_batch(store, latest, served["model_name"], served["model_version"], now), "drift")
     store.append(report.withColumn("run_timestamp", _stamp(now)), "drift_results")
     if guard:
         worst = quality.null_prediction_guard(observed).first()

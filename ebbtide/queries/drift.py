@@ -58,6 +58,21 @@ def drift_report(spark, sf_dir):
     )
 
 
+def drift_report_frozen(spark, sf_dir):
+    """The report against baselines frozen as histograms, which are stored first."""
+    feats, reference, current = _features(spark, sf_dir)
+    predictions = inputs.predictions(feats)
+    first = predictions.filter(F.col("model_version") == "1")
+    frozen = [
+        materialize(ops.freeze_histograms(rows, columns, "1", f"{RUN} 00:00:00"), "frozen")
+        for rows, columns in ((reference, DRIFT_FEATURES), (first, DRIFT_PREDICTIONS))
+    ]
+    report = ops.full_report_frozen(frozen[0], current, frozen[1], metrics.latest_batch(predictions))
+    return report.select(
+        "drift_type", "feature", F.round("psi", 6).alias("psi"), F.round("out_of_range_rate", 9).alias("out_of_range_rate"), "status"
+    )
+
+
 def alert_summary(spark, sf_dir):
     report, _ = _report(spark, sf_dir)
     row = ops.alert_summary(report)
@@ -111,7 +126,7 @@ def baseline_lookup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        psi_drift, extrapolation_guard, drift_report, alert_summary, dash_drift, retrain_decision, baseline_freeze,
+        psi_drift, extrapolation_guard, drift_report, drift_report_frozen, alert_summary, dash_drift, retrain_decision, baseline_freeze,
         baseline_lookup,
     )
 }
@@ -232,3 +247,4 @@ FROM line_psi""",
 FROM baselines JOIN (VALUES ('3', '2'), ('1', '1')) v(served, wanted) ON wanted = model_version GROUP BY 1, 2""",
     ),
 }
+SQL["drift_report_frozen"] = SQL["drift_report"]

@@ -19,6 +19,7 @@ def _schema(ddl: str) -> T.StructType:
         "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
         "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
         "strings": T.ArrayType(T.StringType()), "flags": T.MapType(T.StringType(), T.BooleanType()),
+        "doubles": T.ArrayType(T.DoubleType()), "bigints": T.ArrayType(T.LongType()),
     }
     fields = []
     for pair in ddl.split(","):
@@ -96,6 +97,11 @@ RATIO_TABLES = _schema(
     "rec_pct double, outflow_pct double, transfer_pct double"
 )
 
+HISTOGRAMS = _schema(
+    "feature string, edges doubles, counts bigints, low double, high double, n bigint, model_name string, "
+    "model_version string, baseline_frozen_at timestamp"
+)
+
 TABLES: dict[str, T.StructType] = {
     "raw_base_data": ACCOUNTS,
     "raw_best_buy": RATES,
@@ -118,6 +124,11 @@ TABLES: dict[str, T.StructType] = {
     "training_ratio_tables": RATIO_TABLES,
 }
 
+#: Tables that only save reading others again.
+DERIVED: dict[str, T.StructType] = {
+    "reference_feature_histogram": HISTOGRAMS,
+    "reference_prediction_histogram": HISTOGRAMS,
+}
 
 #: Logs are partitioned by run and tables by version, so that the newest batch does not cost the whole history; keyed
 #: tables by a month that the key determines, so that an upsert rewrites the months it touches.
@@ -131,9 +142,16 @@ PARTITIONED_BY: dict[str, tuple[str, ...]] = {
     "reference_feature_snapshot": ("model_version",),
     "reference_prediction_snapshot": ("model_version",),
     "training_ratio_tables": ("model_name", "model_version"),
+    "reference_feature_histogram": ("model_name", "model_version"),
+    "reference_prediction_histogram": ("model_name", "model_version"),
 }
 
 
+def table_schema(table: str) -> T.StructType:
+    """The schema of a stored table; a KeyError for any other name."""
+    return TABLES[table] if table in TABLES else DERIVED[table]
+
+
 @dataclass(frozen=True)
 class TableNames:
     """Full names of the tables of one schema (and catalog, where the session has several)."""
@@ -142,8 +160,7 @@ class TableNames:
     catalog: str | None = None
 
     def __getitem__(self, table: str) -> str:
-        if table not in TABLES:
-            raise KeyError(table)
+        table_schema(table)
         return ".".join(p for p in (self.catalog, self.schema, table) if p)
 
 

@@ -88,3 +88,27 @@ def test_baseline_choice(spark):
     assert drift.baseline_for(table.select("x"), "9").count() == 2
     seeded = drift.baseline_or_seed(None, table.select("x"), "5", "2024-03-01 00:00:00", ["x"])
     assert {r.model_version for r in seeded.collect()} == {"5"}
+
+
+def test_frozen_histograms_give_the_same_report(spark):
+    rng = np.random.default_rng(11)
+    columns = ["int_rate", "best_buy", "delta_to_best_buy", "flat", "empty"]
+
+    def side(n, shift):
+        values = np.stack([rng.normal(shift, 1, n), rng.integers(0, 3, n), rng.normal(0, 1 + shift, n).round(1), np.full(n, 2.0)], axis=1)
+        rows = [(*[float(v) for v in r], None) for r in values] + [(None, float("nan"), None, None, None)]
+        return spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+
+    reference, current = side(4000, 0.0), side(900, 0.4)
+    frozen = drift.freeze_histograms(reference, columns, "3", "2024-01-01 00:00:00")
+    assert frozen.count() == 4 and frozen.agg(F.max(F.size("counts"))).first()[0] == 10
+    sums = {r.feature: (sum(r.counts), r.n) for r in frozen.collect()}
+    assert all(b == 4000 and a == (0 if k == "flat" else 4000) for k, (a, b) in sums.items())
+
+    def rows_of(report):
+        return {(r.drift_type, r.feature): (r.psi, r.status, r.out_of_range_rate, r.ref_min, r.ref_max) for r in report.collect()}
+
+    for now in (current, current.limit(0), reference):
+        raw = rows_of(drift.full_report(reference, now, reference, now, columns, columns[:2]))
+        from_frozen = rows_of(drift.full_report_frozen(frozen, now, frozen, now, columns, columns[:2]))
+        assert raw == from_frozen and len(raw) == 8
