@@ -6,14 +6,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.operators import maintain, profile
 from ebbtide.plans import dashboards
 from ebbtide.queries import base_sql as sql
 from ebbtide.queries import inputs
 from ebbtide.schemas import RATIO_TABLES
-from ebbtide.session import new_table_path
-from ebbtide.sources import readers, writers
+from ebbtide.session import materialize, new_table_path
+from ebbtide.sources import catalog, readers, writers
 from ebbtide.sources.sample_views import read_table
 
 PROFILED = ("value", "user_id")
@@ -84,6 +85,57 @@ def compact_table(spark, sf_dir):
     return row.select("rows_before", "rows_after", "same_content")
 
 
+def compact_log(spark, sf_dir):
+    """Events appended in three batches to a log partitioned by type, whose partitions are then rewritten; a fourth batch
+    comes after. All rows are read, from folders that are still those of the types."""
+    events = read_table(spark, sf_dir, "events").select("event_id", "value", "event_type", (F.col("event_id") % 4).alias("batch"))
+    path, rewritten = new_table_path(spark, "event_log"), new_table_path(spark, "event_log_rewritten")
+
+    def append(k):
+        writers.append(events.filter(F.col("batch") == k).drop("batch").coalesce(2), path, partition_by=["event_type"])
+
+    def files():
+        listed = maintain.file_listing(spark, path, ["event_type"])
+        return listed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_files"))
+
+    for k in range(3):
+        append(k)
+    before = materialize(files().withColumnRenamed("n_files", "n_before"), "files")
+    report, known = maintain.compact_partitions(spark, path, rewritten, ["event_type"], ["event_id"])
+    same = report.first()["same_content"]
+    if same:
+        maintain.swap_partitions(spark, path, rewritten, f"{path}.before", ["event_type"], known)
+    after = materialize(files(), "files")
+    append(3)
+    rows = spark.read.parquet(path).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("value").cast("decimal(20,6)")).cast("double").alias("value")
+    )
+    fewer = (F.col("n_files") < F.col("n_before")) & F.lit(same)
+    return rows.join(before, "event_type").join(after, "event_type").select("event_type", "n_rows", "value", fewer.alias("rewritten"))
+
+
+def catalog_log(spark, sf_dir):
+    """Orders appended by priority to an external table of the catalog, analysed, and one status read by its name; the
+    planner knows the table's rows before it reads any."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    path = new_table_path(spark, "orders_log")
+    name = "orders_" + path[-32:]
+    schema = T.StructType([f for f in orders.schema if f.name != "o_orderstatus"] + [orders.schema["o_orderstatus"]])
+    catalog.create_external(spark, name, schema, path, ["o_orderstatus"])
+    for part in (F.col("o_orderpriority") < "3", F.col("o_orderpriority") >= "3"):
+        rows, seen = catalog.written_partitions(orders.filter(part).select(*schema.names), ["o_orderstatus"])
+        writers.append(rows, path, partition_by=["o_orderstatus"])
+        catalog.add_partitions(spark, name, ["o_orderstatus"], seen.get["partitions"])
+    catalog.analyze(spark, name)
+    known = int(catalog.table_rows(spark, name) or -1)
+    chosen = readers.read_table(spark, name).filter(F.col("o_orderstatus") == "F")
+    return chosen.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("o_totalprice").cast("decimal(20,2)")).cast("double").alias("total"),
+        F.lit(known).cast("long").alias("known_rows"),
+    )
+
+
 def log_evolution(spark, sf_dir):
     """Two appends to one log, the second with a column more; both read back whole."""
     path = new_table_path(spark, "log")
@@ -128,7 +180,7 @@ QUERIES.update(
     {
         f.__name__: f
         for f in (
-            table_profiles, table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, dash_dataset_history, compact_table, log_evolution,
+            table_profiles, table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, dash_dataset_history, compact_table, compact_log, catalog_log, log_evolution,
             feature_snapshots, ratio_store, csv_export,
         )
     }
@@ -203,6 +255,10 @@ SQL.update(
             for t in TABLES
         ),
         "compact_table": "SELECT count(*) AS rows_before, count(*) AS rows_after, true AS same_content FROM lineitem",
+        "compact_log": """SELECT event_type, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(20,6))) AS DOUBLE) AS value,
+  true AS rewritten FROM events GROUP BY 1""",
+        "catalog_log": """SELECT o_orderpriority, count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(20,2))) AS DOUBLE) AS total,
+  (SELECT count(*) FROM orders) AS known_rows FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""",
         "log_evolution": """SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice >= 250000 THEN o_orderstatus END AS o_orderstatus
 FROM orders""",
         "feature_snapshots": sql.with_ctes(

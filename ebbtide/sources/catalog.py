@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.schemas import create_table_sql
+from ebbtide.sources.writers import path_exists
 
 #: Partitions that one statement adds.
 ADDED = 100
@@ -21,7 +23,7 @@ def create_external(spark: SparkSession, name: str, schema: T.StructType, path:
     Of a partitioned table the catalog knows only partitions that have been added: queries list no folders.
     """
     spark.sql(create_table_sql(name, schema, partition_by=partition_by, location=path))
-    if partition_by:
+    if partition_by and path_exists(spark, path):
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")  # what the folder held before
 
 
@@ -77,6 +79,13 @@ def estimated_rows(df: DataFrame) -> int | None:
     return int(str(rows.get())) if rows.isDefined() else None
 
 
+def table_rows(spark: SparkSession, name: str) -> int | None:
+    """The rows that the catalog knows of, from the last ``analyze``."""
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    counted = re.search(r"(\d+) rows", about.get("Statistics") or "")
+    return int(counted[1]) if counted else None
+
+
 def column_statistics(spark: SparkSession, name: str, column: str) -> dict[str, str]:
     """What the catalog knows of a column."""
     rows = spark.sql(f"DESCRIBE EXTENDED {name} `{column}`").collect()
