@@ -48,18 +48,60 @@ def content_summary(df: DataFrame) -> DataFrame:
 
 def manifest(df: DataFrame, dataset_name: str, source: str, environment: str, recorded_at: str) -> DataFrame:
     """The version record of a dataset: what it held, with which schema, when."""
-    return content_summary(df).select(
+    return _version(content_summary(df), df.schema, dataset_name, source, environment, recorded_at)
+
+
+def _version(
+    summary: DataFrame, schema: T.StructType, dataset_name: str, source: str, environment: str, recorded_at: str
+) -> DataFrame:
+    return summary.select(
         F.lit(dataset_name).alias("dataset_name"),
         F.lit(source).alias("source_table"),
         "row_count",
-        F.lit(len(df.columns)).alias("n_columns"),
+        F.lit(len(schema)).alias("n_columns"),
         "content_hash",
-        F.lit(df.schema.json()).alias("schema_json"),
+        F.lit(schema.json()).alias("schema_json"),
         F.lit(environment).alias("environment"),
         F.lit(recorded_at).cast("timestamp").alias("recorded_at"),
     )
 
 
+def partition_contents(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str], known: DataFrame | None = None
+) -> DataFrame:
+    """For each partition of a table: its columns (as text), files_hash, row_count, content_hash, and whether it was ``read``.
+
+    Only partitions whose files are not those of ``known``, an earlier result, are read and hashed; the others keep what
+    it says, and those that are gone go. Hashes of rows are added up, so the parts' sums are the table's: see
+    ``manifest_of_parts``.
+    """
+    now = _by_partition(file_listing(spark, path, partition_by), partition_by).select(*partition_by, "files_hash")
+    if known is None:
+        known = now.limit(0).withColumns({"row_count": F.lit(0).cast("long"), "content_hash": F.lit("")})
+    kept = known.select(*partition_by, F.col("files_hash").alias("_then"), "row_count", "content_hash")
+    now = materialize(_same_keys(now, kept, partition_by, "left"), "partitions")
+    same = F.col("files_hash").eqNullSafe(F.col("_then"))
+    changed = now.filter(~same)
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in partition_by else f for f in schema])
+    rows = _same_keys(spark.read.schema(text).parquet(path), changed.select(*partition_by), partition_by, "left_semi")
+    folders = {f"_folder_{c}": F.col(c) for c in partition_by}
+    typed = rows.withColumns(folders).withColumns({c: F.col(c).cast(schema[c].dataType) for c in partition_by})
+    hashed = typed.groupBy(*folders).agg(*_content(typed.select(*schema.names)))
+    hashed = hashed.withColumnsRenamed({f"_folder_{c}": c for c in partition_by})
+    read = _same_keys(changed.drop("row_count", "content_hash"), hashed, partition_by, "left")
+    columns = [*partition_by, "files_hash", "row_count", "content_hash"]
+    return now.filter(same).select(*columns, F.lit(False).alias("read")).union(read.select(*columns, F.lit(True).alias("read")))
+
+
+def manifest_of_parts(
+    parts: DataFrame, schema: T.StructType, dataset_name: str, source: str, environment: str, recorded_at: str
+) -> DataFrame:
+    """The manifest of a table from its ``partition_contents``: equal to that of all its rows."""
+    total = F.coalesce(F.sum(F.col("content_hash").cast("decimal(38,0)")), F.lit(0)).cast("string")
+    summary = parts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), total.alias("content_hash"))
+    return _version(summary, schema, dataset_name, source, environment, recorded_at)
+
+
 def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
     """Rows ranged and sorted by the columns, so that filters on them skip files.
 

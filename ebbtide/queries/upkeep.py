@@ -73,6 +73,20 @@ def dataset_versions(spark, sf_dir):
     )
 
 
+def manifest_of_growing_log(spark, sf_dir):
+    """The manifest of an event log after a new partition was appended: only that one is hashed, the sum is the log's."""
+    events = read_table(spark, sf_dir, "events")
+    path = new_table_path(spark, "growing")
+    late = F.col("event_type") == "purchase"
+    writers.append(events.filter(~late), path, partition_by=["event_type"])
+    known = materialize(maintain.partition_contents(spark, path, events.schema, ["event_type"]), "contents")
+    writers.append(events.filter(late), path, partition_by=["event_type"])
+    parts = materialize(maintain.partition_contents(spark, path, events.schema, ["event_type"], known), "contents")
+    row = maintain.manifest_of_parts(parts, events.schema, "events", "events.parquet", "test", STAMP)
+    read = parts.agg(F.count_if("read").alias("n_read"))
+    return row.select("dataset_name", "row_count", "n_columns", "content_hash").withColumn("n_read", read.scalar())
+
+
 def dash_dataset_history(spark, sf_dir):
     history = dashboards.dataset_history(_manifests(spark, sf_dir)).drop("content_hash")
     return history.withColumn("recorded_at", F.date_format("recorded_at", "yyyy-MM-dd"))
@@ -180,7 +194,7 @@ QUERIES.update(
     {
         f.__name__: f
         for f in (
-            table_profiles, table_snapshot, feature_snapshot_profile, dataset_manifest, dataset_versions, dash_dataset_history, compact_table, compact_log, catalog_log, log_evolution,
+            table_profiles, table_snapshot, feature_snapshot_profile, dataset_manifest, manifest_of_growing_log, dataset_versions, dash_dataset_history, compact_table, compact_log, catalog_log, log_evolution,
             feature_snapshots, ratio_store, csv_export,
         )
     }
@@ -244,6 +258,7 @@ SQL.update(
             sql.FEATURE_CTES, _profile_sql("features", ["balance_lag_1", "n_accounts", "months_since_start"], "product")
         ),
         "dataset_manifest": " UNION ALL ".join(_manifest_sql(t) for t in TABLES),
+        "manifest_of_growing_log": f"SELECT dataset_name, row_count, n_columns, content_hash, 1 AS n_read FROM ({_manifest_sql('events')})",
         "dataset_versions": " UNION ALL ".join(
             f"""SELECT '{t}' AS dataset_name, '{t}.parquet' AS source_table, count(*) AS row_count, {n} AS n_columns,
   'test' AS environment, '2024-01-31' AS recorded_at FROM {t}"""

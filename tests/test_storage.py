@@ -229,3 +229,30 @@ def test_a_rewrite_gives_way_to_a_writer(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 6
     with pytest.raises(ValueError, match="not partitioned"):
         maintain.compact_partitions(spark, f"{folder}/t", f"{folder}/other", ["k2"])
+
+
+def test_only_changed_partitions_are_hashed(spark, folder):
+    path, by = f"{folder}/log", ["month"]
+    rows = spark.range(40).select("id", (F.col("id") * 0.5).alias("v"), F.date_add(F.lit("2001-01-01").cast("date"), (F.col("id") % 4).cast("int")).alias("month"))
+    rows = rows.withColumn("month", F.when(F.col("id") % 4 < 3, F.col("month")))  # one partition is null
+    schema = spark.createDataFrame([], "id long, v double, month date").schema
+
+    def state(known=None):
+        found = materialize(maintain.partition_contents(spark, path, schema, by, known), "contents")
+        stored = spark.read.schema(schema).parquet(path).select(*schema.names)
+        own = maintain.manifest_of_parts(found, schema, "d", "s", "e", "2001-01-01 00:00:00").first()
+        assert own == maintain.manifest(stored, "d", "s", "e", "2001-01-01 00:00:00").first()
+        return found, {r.month for r in found.filter("read").collect()}
+
+    writers.append(rows.filter("id < 30"), path, partition_by=by)
+    first, read = state()
+    assert len(read) == 4 and None in read
+    assert state(first)[1] == set()
+    writers.append(rows.filter("id >= 30 AND id % 4 = 1"), path, partition_by=by)
+    second, read = state(first)
+    assert read == {"2001-01-02"}
+    writers.upsert_table(rows.filter("id = 4").withColumn("v", F.lit(-1.0)), path, ["id"], by)
+    third, read = state(second)
+    assert read == {"2001-01-01"}
+    writers.replace_partitions(rows.filter("month IS NULL").limit(2), path, by)
+    assert state(third)[1] == {None}
