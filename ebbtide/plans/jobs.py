@@ -33,6 +33,28 @@ def evaluate(run: training.Training, features: DataFrame, cutoff: str, last_coho
     return metrics.against_baseline(metrics.error_metrics(flows, ["product"]), baseline)
 
 
+# What the stages of a run report; a stage that has not reported shows the last one.
+RUN_KEYS = (
+    "checks_failed", "portfolio_mape", "validation", "promotion", "served_version", "n_predictions", "drift_detected", "retrain", "retrain_reason",
+)
+NOT_REPORTED = "not reported"
+
+
+def log_run(store: Store, run_id: str, now: str, **results: object) -> None:
+    """Append what a stage reports to the run log; the last report of a key counts."""
+    unknown = set(results) - set(RUN_KEYS)
+    if unknown:
+        raise ValueError(f"unknown results {sorted(unknown)}")
+    shown = [(run_id, RUN_KEYS.index(k), k, "" if v is None else str(v)) for k, v in results.items()]
+    rows = store.spark.createDataFrame(shown, "run_id string, entry_id long, key string, value string")
+    store.append(rows.withColumn("logged_at", _stamp(now)), "run_log")
+
+
+def run_report(store: Store) -> DataFrame:
+    """One row per run with the last report of each stage."""
+    return decide.run_summary(store.read("run_log"), dict.fromkeys(RUN_KEYS, NOT_REPORTED))
+
+
 def ingest_job(store: Store, accounts: str, rates: str, products: str | None = None) -> None:
     """Raw files into the raw tables; an empty file is refused before anything is replaced."""
     found = {
@@ -87,6 +109,8 @@ def train_job(
 
     checks = materialize(quality.training_checks(features), "checks")
     store.append(quality.quality_log(checks, now, "training"), "data_quality_results")
+    run_id = f"train-{model_name}-{version}"
+    log_run(store, run_id, now, checks_failed=checks.filter(~F.col("passed")).count())
     if gate:
         quality.require(checks)
 
@@ -100,6 +124,8 @@ def train_job(
     checked = materialize(validate(store, features, summary, served, model_name, version, cutoff, description), "validation")
     store.append(decide.approval_requests(checked, now), "model_approvals")
     verdict = checked.first()
+    passed = "passed" if verdict["validation_passed"] else verdict["rejection_reason"]
+    log_run(store, run_id, now, portfolio_mape=verdict["challenger_mape"], validation=passed)
     if not verdict["validation_passed"]:
         rejected = summary.select(
             F.lit(model_name).alias("model_name"), F.lit(version).alias("version"), F.lit(decide.REJECTED).alias("event"),
@@ -113,7 +139,9 @@ def train_job(
         _stamp(now).alias("event_ts"), F.col("portfolio_mape").alias("metric"),
     )
     store.append(registered, "model_versions")
-    return promote_job(store, model_name, version, cutoff, now, environment, approval)
+    decision = promote_job(store, model_name, version, cutoff, now, environment, approval)
+    log_run(store, run_id, now, promotion=decision["reason"])
+    return decision
 
 
 def ratio_tables(store: Store, model_name: str, version: int | str) -> DataFrame:
@@ -231,6 +259,8 @@ def score_job(
     scored = project.add_audit(project.score(features, ratios), now, model_name, version, CHAMPION)
     written = materialize(scored, "scored")
     store.append(require_rows(written, "predictions"), "inference_predictions")
+    failed = checks.filter(~F.col("passed")).count()
+    log_run(store, f"score-{now}", now, served_version=version, n_predictions=written.count(), checks_failed=failed)
     return version
 
 
@@ -270,8 +300,11 @@ def monitor_job(store: Store, now: str, guard: bool = True) -> Row:
     served = require_rows(latest, "newest batch").select("model_name", "model_version").first()
     report = materialize(drift_of_batch(store, latest, served["model_name"], served["model_version"], now), "drift")
     store.append(report.withColumn("run_timestamp", _stamp(now)), "drift_results")
+    decision = monitoring.retraining_decision(report, observed).first()
+    run = dict(served_version=served["model_version"], drift_detected=decision["drift_detected"], retrain=decision["retrain"])
+    log_run(store, f"monitor-{now}", now, **run, retrain_reason=decision["reason"])
     if guard:
         worst = quality.null_prediction_guard(observed).first()
         if not worst["passed"]:
             raise ValueError(f"share of missing predictions is {worst['max_null_rate']:.2f}")
-    return monitoring.retraining_decision(report, observed).first()
+    return decision

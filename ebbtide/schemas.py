@@ -124,8 +124,9 @@ TABLES: dict[str, T.StructType] = {
     "training_ratio_tables": RATIO_TABLES,
 }
 
-#: Tables that only save reading others again.
+#: What the stages of a run report, and tables that only save reading others again.
 DERIVED: dict[str, T.StructType] = {
+    "run_log": _schema("run_id string, entry_id bigint, key string, value string, logged_at timestamp"),
     "reference_feature_histogram": HISTOGRAMS,
     "reference_prediction_histogram": HISTOGRAMS,
 }

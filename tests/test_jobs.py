@@ -117,3 +117,9 @@ def test_ratios_are_stored_once_and_after_the_gate(spark, folder):
     assert stored.filter("model_name = 'm' AND product = 'P'").isEmpty() and stored.filter("model_name = 'n'").count() == 1
     with pytest.raises(ValueError, match="has a version 1"):
         jobs.train_job(store, known, rates, None, None, version=1, now="2001-01-03 00:00:00", **settings)
+    runs = {r.run_id: r for r in jobs.run_report(store).collect()}
+    assert set(runs) == {"train-m-1"}
+    assert runs["train-m-1"].validation == "passed" and runs["train-m-1"].promotion == "no champion yet"
+    assert float(runs["train-m-1"].portfolio_mape) > 0 and runs["train-m-1"].retrain == jobs.NOT_REPORTED
+    with pytest.raises(ValueError, match="unknown results"):
+        jobs.log_run(store, "r", "2001-01-03 00:00:00", other=1)
