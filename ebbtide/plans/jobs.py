@@ -55,18 +55,24 @@ def run_report(store: Store) -> DataFrame:
     return decide.run_summary(store.read("run_log"), dict.fromkeys(RUN_KEYS, NOT_REPORTED))
 
 
-def ingest_job(store: Store, accounts: str, rates: str, products: str | None = None) -> None:
-    """Raw files into the raw tables; an empty file is refused before anything is replaced."""
-    found = {
-        "raw_base_data": readers.read_accounts(store.spark, accounts),
-        "raw_best_buy": readers.read_rates(store.spark, rates),
-    }
-    if products is not None:
-        found["raw_products"] = readers.read_products(store.spark, products)
+def ingest_job(store: Store, accounts: str, rates: str, products: str | None = None, now: str | None = None) -> int:
+    """Raw files into the raw tables; an empty file is refused before anything is replaced. Returns the number of lines
+    that do not fit their schema: they are kept in ``ingest_rejects``, and the others are loaded."""
+    found = {"raw_base_data": readers.read_accounts(store.spark, accounts)}
+    rejects = store.spark.createDataFrame([], readers.REJECTS)
+    checked = {"raw_best_buy": (readers.read_rates_checked, rates), "raw_products": (readers.read_products_checked, products)}
+    for table, (read, path) in checked.items():
+        if path is not None:
+            found[table], bad = read(store.spark, path)
+            rejects = rejects.union(bad)
     for table, rows in found.items():
         require_rows(rows, table)
+    stamped = rejects.withColumn("loaded_at", _stamp(now) if now is not None else F.current_timestamp())
+    rejects = materialize(stamped, "rejects")
+    store.append(rejects, "ingest_rejects")
     for table, rows in found.items():
         store.overwrite(rows, table)
+    return rejects.count()
 
 
 def train_job(

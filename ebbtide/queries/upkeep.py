@@ -189,13 +189,31 @@ def csv_export(spark, sf_dir):
     return readers.read_csv(spark, path, customers.schema)
 
 
+def csv_rejects(spark, sf_dir):
+    """Customers exported as text, some with a word for a balance or a cell too many; read with a schema, every line is
+    either loaded or kept as a reject."""
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    key = F.col("c_custkey")
+    balance = F.when(key % 7 == 0, "none").otherwise(F.col("c_acctbal").cast("string"))
+    text = customers.select("c_custkey", "c_mktsegment", F.concat(balance, F.when(key % 11 == 0, ";1").otherwise("")).alias("c_acctbal"))
+    path = new_table_path(spark, "csv_lines")
+    lines = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_mktsegment", F.regexp_replace("c_acctbal", ";", ","))
+    text.select(lines.alias("value")).write.text(path)
+    good, rejects = readers.read_csv_checked(spark, path, customers.schema, header=False)
+    loaded = good.select("c_mktsegment", F.col("c_acctbal").cast("decimal(20,2)").alias("balance"), F.lit(0).alias("rejected"))
+    kept = rejects.select(F.split("line", ",")[1].alias("c_mktsegment"), F.lit(None).cast("decimal(20,2)").alias("balance"), F.lit(1).alias("rejected"))
+    return loaded.union(kept).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("rejected").alias("n_rejected"), F.sum("balance").cast("double").alias("balance")
+    )
+
+
 QUERIES = {f"table_profile_{g}": _by_window(g) for g in ("day", "week", "month")}
 QUERIES.update(
     {
         f.__name__: f
         for f in (
             table_profiles, table_snapshot, feature_snapshot_profile, dataset_manifest, manifest_of_growing_log, dataset_versions, dash_dataset_history, compact_table, compact_log, catalog_log, log_evolution,
-            feature_snapshots, ratio_store, csv_export,
+            feature_snapshots, ratio_store, csv_export, csv_rejects,
         )
     }
 )
@@ -285,6 +303,9 @@ FROM features CROSS JOIN (VALUES ('2024-01-01'), ('2024-02-01')) v(snapshot) GRO
         "ratio_store": sql.with_ctes(
             sql.FEATURE_CTES + sql.GIVEN_RATIO_CTES, "SELECT *, '2' AS model_version FROM given"
         ),
+        "csv_rejects": """SELECT c_mktsegment, count(*) AS n_lines, count_if(c_custkey % 7 = 0 OR c_custkey % 11 = 0) AS n_rejected,
+  CAST(sum(CAST(c_acctbal AS DECIMAL(20,2))) FILTER (c_custkey % 7 <> 0 AND c_custkey % 11 <> 0) AS DOUBLE) AS balance
+FROM customer GROUP BY 1""",
         "csv_export": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
     }
 )

@@ -126,6 +126,7 @@ TABLES: dict[str, T.StructType] = {
 
 #: What the stages of a run report, and tables that only save reading others again.
 DERIVED: dict[str, T.StructType] = {
+    "ingest_rejects": _schema("source string, line string, parsed string, reason string, loaded_at timestamp"),
     "run_log": _schema("run_id string, entry_id bigint, key string, value string, logged_at timestamp"),
     "reference_feature_histogram": HISTOGRAMS,
     "reference_prediction_histogram": HISTOGRAMS,

@@ -256,3 +256,27 @@ def test_only_changed_partitions_are_hashed(spark, folder):
     assert read == {"2001-01-01"}
     writers.replace_partitions(rows.filter("month IS NULL").limit(2), path, by)
     assert state(third)[1] == {None}
+
+
+def test_bad_lines_are_counted_and_kept(spark, folder):
+    from ebbtide.plans import jobs
+    from ebbtide.sources.store import Store
+
+    lines = ["period,mapping_category,best_buy", "2020-02,A,1.5", "2020-03,B,much", "2020-04,C", "20x0-05,D,2.0", ",E,3.0", "2020-06,F,4.0,extra", "2020-07,G,NaN"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/rates")
+    good, rejects = readers.read_rates_checked(spark, f"{folder}/rates")
+    assert sorted((r.mapping_category, str(r.period), r.best_buy) for r in good.collect()) == [
+        ("A", "2020-02-01", 1.5), ("E", "None", 3.0), ("G", "2020-07-01", None),
+    ]
+    found = {r.line: r.reason for r in rejects.collect()}
+    assert {k for k, v in found.items() if v == "does not fit the schema"} == {"2020-03,B,much", "2020-04,C", "2020-06,F,4.0,extra"}
+    assert [v for k, v in found.items() if "20x0-05" in k] == ["no value for period"] and len(found) == 4
+
+    names = {v: k for k, v in readers.RAW_ACCOUNT_NAMES.items()}
+    spark.range(2).select(
+        F.col("id").cast("string").alias(names["account_id"]), F.lit("2020-01-05").alias(names["opening_date"]),
+        F.lit("2020-02-01").alias(names["reporting_period"]), F.lit("P1").alias(names["product_code"]), F.lit(1.5).alias(names["period_balance"]),
+    ).write.parquet(f"{folder}/accounts")
+    store = Store(spark, f"{folder}/store")
+    assert jobs.ingest_job(store, f"{folder}/accounts", f"{folder}/rates", now="2021-01-01 00:00:00") == 4
+    assert store.read("raw_best_buy").count() == 3 and store.read("ingest_rejects").count() == 4
