@@ -90,6 +90,52 @@ def project(rows: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
     )
 
 
+def end_state(projected: DataFrame, before: DataFrame | None = None, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+    """Where each series stands after its projected rows: its last month, the balance that the next month starts from
+    (``carry``; null where no lag is known), and whether a missing ratio has broken its run. ``before`` is the state that
+    the rows were resumed from; series without new rows keep it. One row per series, from hash aggregates."""
+    period, opening = F.col("reporting_period"), F.col("months_since_start") == 1
+    found = projected.groupBy(*keys).agg(
+        F.max(period).alias("reporting_period"),
+        F.max_by("balance_pred", period).alias("carry"),
+        F.max_by(opening, period).alias("_opening"),
+        F.max(F.when(opening, period)).alias("_opened"),
+        F.max(F.when(F.col("missing_ratio"), period)).alias("_missed"),
+    )
+    broken = F.col("_missed").isNotNull() & (F.col("_opened").isNull() | (F.col("_missed") > F.col("_opened")))
+    now = found.select(
+        *keys, "reporting_period", F.when(~F.col("_opening"), F.col("carry")).alias("carry"), broken.alias("broken"), "_opened"
+    )
+    if before is None:
+        return now.drop("_opened")
+    old = before.select(*keys, *[F.col(c).alias(f"_{c}") for c in ("reporting_period", "carry", "broken")])
+    both = now.join(old, list(keys), "full")
+    new = F.col("reporting_period").isNotNull()
+    still = F.coalesce(F.col("_broken"), F.lit(False)) & F.col("_opened").isNull()
+    return both.select(
+        *keys,
+        F.coalesce("reporting_period", "_reporting_period").alias("reporting_period"),
+        F.when(new, F.col("carry")).otherwise(F.col("_carry")).alias("carry"),
+        F.when(new, F.col("broken") | still).otherwise(F.col("_broken")).alias("broken"),
+    )
+
+
+def resume(rows: DataFrame, state: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+    """``project`` for months after those that ``state`` stands for, without reading those again: the same rows as if
+    all months were projected together. Of the state, a series' row goes first, as a month that changes nothing."""
+    held = F.col("carry").isNotNull() | F.col("broken")
+    first = state.filter(held).join(rows.select(*keys).distinct(), list(keys), "left_semi").select(
+        *keys,
+        "reporting_period",
+        F.lit(2).alias("months_since_start"),
+        F.coalesce("carry", F.lit(0.0)).alias("balance_lag_1"),
+        *[F.when(~F.col("broken"), 0.0).alias(f"{c}_pred") for c in _RATIOS],
+        F.lit(True).alias("_state"),
+    )
+    together = rows.withColumn("_state", F.lit(False)).unionByName(first, allowMissingColumns=True)
+    return project(together, keys).filter(~F.col("_state")).drop("_state")
+
+
 def between_periods(features: DataFrame, start: str | None, end: str | None) -> DataFrame:
     """Rows of the projected months, both ends included."""
     period = F.col("reporting_period")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.constants import MEASURES, RATE_LABELS
@@ -12,6 +15,8 @@ from ebbtide.queries import inputs
 from ebbtide.queries.modelling import CUTOFF, LAST_COHORT
 from ebbtide.session import materialize
 
+# The last months of the parts of the resumed projection.
+PARTS = ("1996-06-01", CUTOFF)
 _PREDICTED = [f"{m}_pred" for m in MEASURES]
 
 
@@ -48,6 +53,25 @@ def project_balances(spark, sf_dir):
     )
 
 
+def resumed_projection(spark, sf_dir):
+    """The projection in three parts, each from the stored state that the one before has left."""
+    feats = inputs.features_table(spark, sf_dir)
+    rows = materialize(project.lookup_ratios(feats, _ratios(feats)), "looked_up")
+    state, parts, start = None, [], None
+    for end in (*PARTS, None):
+        month = F.col("reporting_period")
+        own = rows if start is None else rows.filter(month > F.lit(start).cast("date"))
+        own = own if end is None else own.filter(month <= F.lit(end).cast("date"))
+        done = project.project(own) if state is None else project.resume(own, state)
+        parts.append(materialize(done, "projected"))
+        state = materialize(project.end_state(parts[-1], state), "state")
+        start = end
+    together = reduce(DataFrame.unionByName, parts)
+    return together.select(
+        *_months(), "product", "months_since_start", *[F.round(c, 2).alias(c) for c in (*_PREDICTED, "balance_lag_1")]
+    )
+
+
 def score_batch(spark, sf_dir):
     """The months from the cut-off on, scored by the given ratio table, with row errors and audit columns."""
     feats = inputs.features_table(spark, sf_dir)
@@ -82,7 +106,7 @@ def score_preview(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (ratio_composites, ratio_pivot, project_balances, score_batch, projected_flows, score_preview)
+    for f in (ratio_composites, ratio_pivot, project_balances, resumed_projection, score_batch, projected_flows, score_preview)
 }
 
 _GIVEN = sql.FEATURE_CTES + sql.GIVEN_RATIO_CTES
@@ -136,3 +160,4 @@ FROM scored ORDER BY product, cohort, reporting_period LIMIT 100""",
         recursive=True,
     ),
 }
+SQL["resumed_projection"] = SQL["project_balances"]

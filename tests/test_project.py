@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.operators import project
+from ebbtide.session import materialize
 
 SCHEMA = (
     "cohort string, product string, reporting_period date, months_since_start int, balance_lag_1 double, "
@@ -102,3 +103,26 @@ def test_row_errors_and_period_filter(spark):
         rows = rows.withColumn(m, F.lit(None).cast("double")).withColumn(f"{m}_pred", F.lit(1.0))
     assert [r.ape_balance for r in project.add_row_errors(rows).orderBy("reporting_period").collect()] == [0.2, None, None]
     assert project.between_periods(rows, "2020-01-01", "2020-02-01").count() == 2
+
+
+@pytest.mark.parametrize("cuts", [(6,), (1, 2, 3, 10, 20), (12, 15)])
+def test_resumed_projection_equals_the_whole(spark, cuts):
+    rng = np.random.default_rng(len(cuts))
+    rows = [r for i in range(120) for r in random_series(rng, f"c{i:03d}")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("extra", F.col("months_since_start") * 2)
+    columns = ["cohort", "reporting_period", "balance_pred", "receipts_pred", "withdrawals_pred", "balance_lag_1", "rec_pct_pred", "missing_ratio", "extra"]
+    whole = {(r.cohort, r.reporting_period): r for r in project.project(df).select(*columns).collect()}
+    state, seen, start = None, 0, None
+    for end in (*cuts, None):
+        part = df if start is None else df.filter(F.col("reporting_period") > F.lit(month(start)))
+        part = part if end is None else part.filter(F.col("reporting_period") <= F.lit(month(end)))
+        done = materialize(project.project(part) if state is None else project.resume(part, state), "part")
+        state = materialize(project.end_state(done, state), "state")
+        start = end
+        assert state.count() == state.select("cohort").distinct().count()
+        for r in done.select(*columns).collect():
+            want = whole[(r.cohort, r.reporting_period)]
+            for c in columns:
+                assert r[c] == (pytest.approx(want[c], rel=1e-9, abs=1e-9) if isinstance(want[c], float) else want[c]), (c, r, want)
+            seen += 1
+    assert seen == len(whole) > 800
