@@ -36,7 +36,7 @@ MARGIN = 1.15
 #: vector, bins of the long one). Sets with more features need more bins to be told apart.
 BINS = ((1024, 64, 256), (4096, 256, 256), (None, 1024, 1024))
 #: Signatures that a task gathers before it sends them on.
-FLUSH = 1 << 19
+FLUSH = 1 << 18
 #: Candidate pairs that a task gathers before it sends them on.
 HELD = 1 << 19
 #: Bits of a sketch for each feature, at least; up to twice as many.

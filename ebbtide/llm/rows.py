@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 #: Bytes of text that a task looks at in one go; a longer text is taken whole, alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 _SHIPPED: set[str] = set()
