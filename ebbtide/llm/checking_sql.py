@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .jaccard_join import PERCENT, SHINGLE
+from .period_runs import SHORTEST, TIMES
 from .quality_rules import LIMITS
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -58,3 +59,38 @@ component AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)
 SELECT base.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM base JOIN component ON id = base.doc_id LEFT JOIN sizes ON sizes.doc_id = base.doc_id
 """
+
+
+def crc32(number: str) -> str:
+    """The unsigned CRC-32 of a whole number's decimal digits; null for null."""
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = f"list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: {bit}, xor(crc, d))"
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))"
+    return f"xor(list_reduce({digits}, lambda crc, d: {byte}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def periodic_runs() -> str:
+    """Every pair of equal words of a text; maximal stretches of pairs with one distance are runs. The texts are planted as
+    ``period_runs.planted`` does it."""
+    run = "length / period DESC, start, period"
+    return rf"""
+WITH base AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws,
+    {crc32("doc_id")} AS h FROM documents),
+sized AS (SELECT *, len(ws) AS n, (h // 10) % greatest(len(ws), 1) AS a, 3 + (h // 10) % 8 AS times FROM base),
+words AS (SELECT rid, n, i, CASE WHEN h % 10 = 0 AND i >= a THEN ws[a + (i - a) % (1 + (n - a) // times) + 1] ELSE ws[i + 1] END AS w
+  FROM (SELECT *, unnest(range(n)) AS i FROM sized)),
+pairs AS (SELECT x.rid, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.rid = y.rid AND x.w = y.w AND y.i > x.i
+  WHERE {TIMES} * (y.i - x.i) <= x.n),
+stretches AS (SELECT rid, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pairs)
+  GROUP BY rid, q, island HAVING count(*) + q >= greatest({SHORTEST}, {TIMES} * q)),
+runs AS (SELECT rid, start, length, min(q) AS period FROM stretches GROUP BY rid, start, length),
+told AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS said
+  FROM runs GROUP BY rid),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY rid ORDER BY {run}) = 1),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT rid, string_agg(w, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(said, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM base LEFT JOIN told USING (rid) LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)
+"""

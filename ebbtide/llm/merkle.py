@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .checking_sql import crc32
 from .rows import shuffle_partitions
 
 FANOUT = 8
@@ -229,10 +230,7 @@ def sql(levels: int = 12) -> str:
             parts.append(f"coalesce(strlen({value}) || ':' || {value}, '-')")
         return f"sha256({' || '.join(parts)})"
 
-    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
-    byte = f"list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: {bit}, xor(crc, d))"
-    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))"
-    crc = f"xor(list_reduce({digits}, lambda crc, d: {byte}, CAST(4294967295 AS BIGINT)), 4294967295)"
+    crc = crc32("doc_id")
     low = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
     return f"""
 WITH told AS (SELECT doc_id, coalesce('+' || lang, '') AS grp, {digest()} AS hash,

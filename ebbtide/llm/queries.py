@@ -147,4 +147,5 @@ SQL: dict[str, str] = {
     "op10_chat_formatting": CHAT_SQL,
     "op11_substring_dedup": phrase_automata.sql(),
     "op12_merkle_manifest": merkle.sql(),
+    "op13_periodic_runs": checking_sql.periodic_runs(),
 }
