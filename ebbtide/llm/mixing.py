@@ -27,7 +27,7 @@ TOLERANCE, ROUNDS = 1e-12, 30
 WRITTEN_EVERY = 3
 #: The share of all tokens in cells that may be wanted more than the scale allows.
 SPARED = 0.01
-#: The scale is one of so many steps from a power of two to the next.
+#: Ratios are told apart by so many steps from a power of two to the next.
 STEPS = 256
 SEED = "mix-1"
 #: The label of a null source or language.
@@ -108,13 +108,16 @@ def _step(ratio: Column) -> Column:
 def scale(fitted: DataFrame) -> float:
     """The ratio that becomes probability 1: cells with a larger one hold SPARED of all tokens at most.
 
-    Tokens are summed by steps of the ratio, of which there are few however many cells there are.
+    Tokens are summed by steps of the ratio, of which there are few however many cells there are; the scale is the
+    largest ratio of its step.
     """
-    steps = fitted.filter("ratio > 0").groupBy(_step(F.col("ratio")).alias("step")).agg(F.sum("tokens").alias("tokens"))
+    own = fitted.filter("ratio > 0").groupBy(_step(F.col("ratio")).alias("step"))
+    steps = own.agg(F.sum("tokens").alias("tokens"), F.max("ratio").alias("ratio"))
     above = F.sum("tokens").over(Window.orderBy(F.desc("step")))  # at most 2048 * STEPS rows
     whole = steps.agg(F.sum("tokens")).scalar()
-    first = steps.withColumn("above", above).filter(F.col("above") > whole * SPARED).agg(F.max("step")).first()[0]
-    return 1.0 if first is None else 2.0 ** ((first + 1) / STEPS)
+    spared = F.col("above") <= whole * SPARED
+    first = steps.withColumn("above", above).filter(~spared).agg(F.max_by("ratio", "step")).first()[0]
+    return 1.0 if first is None else first
 
 
 def probabilities(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None) -> DataFrame:
@@ -191,10 +194,10 @@ def sql() -> str:
             k += 1
     steps.append(f"ratios AS (SELECT source, lang, topic, tokens, CASE WHEN tokens > 0 THEN weight / tokens END AS ratio FROM r_{k})")
     steps.append(
-        f"steps AS (SELECT floor(log2(ratio) * {STEPS}) AS step, sum(tokens) AS tokens FROM ratios WHERE ratio > 0 GROUP BY 1)"
+        f"steps AS (SELECT floor(log2(ratio) * {STEPS}) AS step, sum(tokens) AS tokens, max(ratio) AS ratio FROM ratios WHERE ratio > 0 GROUP BY 1)"
     )
     steps.append(
-        f"scales AS (SELECT coalesce(pow(2, (max(step) + 1) / {STEPS}), 1) AS scale FROM (SELECT step, "
+        f"scales AS (SELECT coalesce(max_by(ratio, step), 1) AS scale FROM (SELECT step, ratio, "
         f"sum(tokens) OVER (ORDER BY step DESC) AS above, sum(tokens) OVER () AS whole FROM steps) WHERE above > whole * {SPARED})"
     )
     steps.append("chances AS (SELECT source, lang, topic, coalesce(least(ratio / scale, 1), 1) AS probability FROM ratios, scales)")
