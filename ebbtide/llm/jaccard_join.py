@@ -41,14 +41,17 @@ FLUSH = 1 << 18
 HELD = 1 << 19
 #: Bits of a sketch for each feature, at least; up to twice as many.
 SKETCH_BITS = 1.5
+#: Bits of the shortest sketch, as a power of two: little beside the rest of its row.
+SHORTEST = 9
 #: A pair whose sketches differ by less than this share of what is allowed is taken for similar until its sets are read.
 SURE_PERCENT = 75
 #: Members of a signature that are compared at a time.
 BLOCK = 2048
-#: Rounds in which each class is compared with one partner, before all that is left is compared.
-ROUNDS = 3
-#: A round looks at one in so many signatures: similar sets share about half of theirs.
-GATHERED = 8
+#: Rounds in which each class is compared with one partner, before all that is left is compared: each looks at one in so
+#: many signatures. Similar sets share about half of theirs; the last round looks at all, so that little is left.
+ROUNDS = (8, 8, 1)
+#: Tasks that share the signatures with one smallest class, which may be many.
+SPREAD = 8
 #: Classes of a component that are compared with one another in one go, about.
 TILE = 128
 #: Features that are counted at a time when sets are compared.
@@ -135,7 +138,7 @@ def odd_sketches(keys: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     the bits is its two halves, one laid over the other. There are so many bits that few differences hide.
     """
     sizes = np.diff(bounds)
-    bits = 1 << np.maximum(6, np.frexp(np.maximum(sizes, 1) * float(SKETCH_BITS) - 1)[1].astype(np.int64))
+    bits = 1 << np.maximum(SHORTEST, np.frexp(np.maximum(sizes, 1) * float(SKETCH_BITS) - 1)[1].astype(np.int64))
     begin = np.append(0, np.cumsum(bits))
     place = mix(keys + _U(177)) & np.repeat(bits - 1, sizes).astype(_U)
     counts = np.bincount(np.repeat(begin[:-1], sizes) + place.astype(np.int64), minlength=int(begin[-1]))
@@ -368,16 +371,16 @@ def _match(buckets: int):
     """In tasks, after the exchange: signatures that documents of different tasks share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, cls = [], []
+        held: dict[int, list[bytes]] = {}
         for batch in batches:
             kinds = batch.column(1).to_numpy()
             yield batch.filter(pa.array(kinds != ENTRIES))
-            for entries in batch.column(4).filter(pa.array(kinds == ENTRIES)).to_pylist():
-                signature, ids = _unpack(entries)
-                found.append(signature)
-                cls.append(ids)
-        if found:
-            yield _groups(np.concatenate(found), np.concatenate(cls), buckets)[0]
+            packed = batch.filter(pa.array(kinds == ENTRIES))
+            for bucket, entries in zip(packed.column(0).to_pylist(), packed.column(4).to_pylist()):
+                held.setdefault(bucket, []).append(entries)
+        while held:  # a task has several buckets, which share nothing; unpacked they take several times the room
+            signature, cls = zip(*map(_unpack, held.popitem()[1]))
+            yield _groups(np.concatenate(signature), np.concatenate(cls), buckets)[0]
 
     return run
 
@@ -539,23 +542,26 @@ def _blocks(members: DataFrame, sketches: DataFrame, component: DataFrame, turn:
     With ``turn``, a block is compared within itself, and each turn deals the members anew. Without, all pairs from different
     components meet: of each signature, members outside its largest component (i below ``minor``) meet one another
     and those in it, which do not meet, so that few stragglers cost little however large the rest is.
+
+    Similar classes share many signatures. Signatures with the same smallest class go to SPREAD tasks, each of which tells
+    a pair once for all of its own.
     """
     named = members.join(component, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    parts = named.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("_n"))
+    parts = named.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("_n"), F.min("cls").alias("_first"))
     split = parts.groupBy("signature").agg(
-        F.sum("_n").alias("_all"), F.max("_n").alias("_most"), F.max_by("component", "_n").alias("major"), F.count(F.lit(1)).alias("_parts")
+        F.min("_first").alias("first"), F.sum("_n").alias("_all"), F.max("_n").alias("_most"), F.max_by("component", "_n").alias("major"), F.count(F.lit(1)).alias("_parts")
     )
 
     def cuts(rows: Column) -> Column:
         return F.ceil(rows / BLOCK).cast("int")
 
     split = split.filter("_parts > 1").select(
-        "signature", "major", cuts(F.col("_all")).alias("blocks"), cuts(F.col("_all") - F.col("_most")).alias("minor"), cuts(F.col("_most")).alias("rest")
+        "signature", "first", "major", cuts(F.col("_all")).alias("blocks"), cuts(F.col("_all") - F.col("_most")).alias("minor"), cuts(F.col("_most")).alias("rest")
     )
     dealt = named.join(split, "signature")
     if turn is not None:
         own = F.pmod(F.xxhash64("cls", F.lit(turn)), F.col("blocks")).cast("int")
-        dealt = dealt.select("signature", "cls", "component", own.alias("i"), own.alias("j"), F.lit(0).alias("side"))
+        dealt = dealt.select("first", "signature", "cls", "component", own.alias("i"), own.alias("j"), F.lit(0).alias("side"))
     else:
         of_rest = F.col("component") == F.col("major")
         own = F.pmod(F.xxhash64("cls"), F.when(of_rest, F.col("rest")).otherwise(F.col("minor"))).cast("int")
@@ -569,9 +575,10 @@ def _blocks(members: DataFrame, sketches: DataFrame, component: DataFrame, turn:
                 F.when(F.col("own") == j, 0).when(F.col("own") < j, 1).otherwise(2).alias("side"),
             ),
         )
-        dealt = dealt.withColumn("own", own).withColumn("meets", F.explode(meets)).select("signature", "cls", "component", "meets.*")
-    key = ["signature", "i", "j"]
-    return dealt.join(sketches, "cls").repartition(*key).sortWithinPartitions(*key, "n")
+        dealt = dealt.withColumn("own", own).withColumn("meets", F.explode(meets)).select("first", "signature", "cls", "component", "meets.*")
+    placed = dealt.join(sketches, "cls").repartition("first", F.pmod(F.xxhash64("signature"), F.lit(SPREAD)), "i", "j")
+    placed = placed.sortWithinPartitions("signature", "i", "j", "n")
+    return placed.drop("first")
 
 
 def _prepared(docs: DataFrame, known: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -596,7 +603,7 @@ def link_classes(docs: DataFrame, prepared: tuple[DataFrame, DataFrame, DataFram
     """Links (a, b) between classes: enough of them that classes are connected if and only if similar pairs connect them.
 
     In each of a few rounds a class is compared with one partner from another component that shares a signature with it,
-    of those that the round looks at: what looks similar gathers around one class, so a large group of copies becomes
+    of the signatures that the round looks at: what looks similar gathers around one class, so a large group of copies becomes
     connected by about a comparison for each copy and not for each pair. Then all pairs that share a signature and still lie in different components are
     compared. A pair is left out only if sketches show that it cannot be similar.
     """
@@ -604,8 +611,8 @@ def link_classes(docs: DataFrame, prepared: tuple[DataFrame, DataFrame, DataFram
     found = "a long, b long, score long, goal long"
     component = docs.sparkSession.createDataFrame([], "cls long, component long")
     links: list[DataFrame] = []
-    for turn in range(ROUNDS):
-        some = members.filter(F.pmod(F.xxhash64("signature"), F.lit(GATHERED)) == turn)
+    for turn, share in enumerate(ROUNDS):
+        some = members.filter(F.pmod(F.xxhash64("signature"), F.lit(share)) == turn % share)
         best = _blocks(some, sketches, component, turn).mapInArrow(_candidates(percent, best=True), found)
         best = best.groupBy("a").agg(F.min(F.struct("score", "goal", "b"))["b"].alias("b"))
         pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

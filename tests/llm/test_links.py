@@ -11,8 +11,10 @@ import pyarrow as pa
 import pytest
 
 from ebbtide.llm import embedding_links, jaccard_join, url_filter
+from ebbtide.llm import components as component_module
 from ebbtide.llm.components import components
 from ebbtide.llm.queries import QUERIES
+from ebbtide.session import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,6 +49,24 @@ def test_components(spark, seed):
     assert got == {i: r for i, r in want.items() if any(i in p and p[0] != p[1] for p in pairs)}
 
 
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_components_by_rounds_and_in_one_go(spark, monkeypatch, few):
+    monkeypatch.setattr(component_module, "FEW", few)
+    pairs = [(i, i + 1) for i in range(0, 60, 2)] + [(i, 59 - i) for i in range(0, 20)] + [(100, 99), (99, 98), (-5, 7), (8, 8)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    want = roots({x for p in pairs for x in p}, pairs)
+    assert got == {i: r for i, r in want.items() if any(i in p and p[0] != p[1] for p in pairs)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_few_edges_take_few_jobs(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(component_module, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
+    assert components(chain).filter("component <> 0").count() == 0
+    assert len(written) == 2
+
+
 # ---- the join ----
 
 
@@ -284,6 +304,36 @@ def test_url_query_learns_from_the_rules(spark):
 # ---- sketches of the join ----
 
 
+def test_what_short_sets_differ_in_shows_in_their_sketches():
+    draw = np.random.default_rng(5)
+    n, passed = 30, 0
+    for _ in range(100):
+        both = draw.integers(0, 2**63, 38).astype(np.uint64)  # 22 of 38 features in common: well below the threshold
+        sets = [both[:n], both[38 - n :]]
+        sketches = jaccard_join.Sketches(jaccard_join.odd_sketches(np.concatenate(sets), np.array([0, n, 2 * n])))
+        passed += (jaccard_join.PERCENT + 100) * sketches.apart(np.array([0]), np.array([1]))[0] <= (100 - jaccard_join.PERCENT) * 2 * n
+    assert passed == 0
+
+
+def test_a_pair_meets_in_few_tasks(spark, monkeypatch):
+    """However many signatures two classes share, a few tasks tell of them."""
+    monkeypatch.setattr(jaccard_join, "SPREAD", 2)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        members = spark.createDataFrame([(s, c) for s in range(200) for c in (3, 7)], "signature long, cls long")
+        sketches = spark.createDataFrame([(c, 4, bytes(64)) for c in (3, 7)], "cls long, n long, sketch binary")
+        none = spark.createDataFrame([], "cls long, component long")
+        for turn in (0, None):
+            found = jaccard_join._blocks(members, sketches, none, turn).mapInArrow(
+                jaccard_join._candidates(jaccard_join.PERCENT, best=False), "a long, b long, score long, goal long"
+            )
+            assert 1 <= found.count() <= 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_sketches_bound_the_differences():
     draw = np.random.default_rng(3)
     sets = []
