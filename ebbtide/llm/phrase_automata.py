@@ -41,6 +41,8 @@ UNTOLD = 8
 FLUSH = 1 << 17
 #: Windows that are compared word by word in one go.
 COMPARED = 1 << 14
+#: How hard pieces are compressed on their way: they are most of what the corpus shuffles.
+LEVEL = 5
 
 
 # ---- pieces of a run of texts ----
@@ -147,7 +149,7 @@ def _send(heavy: np.ndarray, window: int, buckets: int):
         times = np.diff(np.append(own, len(bucket)))
         used, cuts = np.unique(bucket, return_index=True)
         entries = []
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=LEVEL)
         for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
             p, q = np.searchsorted(own, (a, b))
             at = own[p:q]

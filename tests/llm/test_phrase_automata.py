@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 from ebbtide.llm import phrase_automata
 from ebbtide.llm.queries import QUERIES
@@ -117,3 +118,19 @@ def test_query_equals_brute_force(spark):
     want = brute(docs)
     assert got == sorted([(i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in want], key=str)
     assert sum(r[2] > 0 for r in got) > 10
+
+
+def test_pieces_are_packed_tightly_and_read_back():
+    draw = np.random.default_rng(8)
+    vocabulary = np.array(["".join(draw.choice(list("abcdefghijklm"), draw.integers(2, 9))) for _ in range(2000)])
+    texts = [" ".join(vocabulary[np.minimum(draw.zipf(1.3, 300) - 1, 1999)]) for _ in range(300)]
+    k = np.arange(len(texts))
+    batch = pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(k, pa.int32()), pa.array(texts)], ["k1", "k2", "text"])
+    sent = [e for out in phrase_automata._send(np.zeros(0, np.uint64), 35, 4)(iter([batch])) for e in out.column(1).to_pylist()]
+    plain = [zstandard.ZstdDecompressor().decompress(e) for e in sent]
+    assert sum(map(len, sent)) < 0.97 * sum(len(zstandard.ZstdCompressor(level=1).compress(x)) for x in plain)
+    pieces, known = [phrase_automata._unpack(e) for e in sent], {" ".join(t.split()) for t in texts}
+    for head, body in pieces:
+        ends = np.cumsum(head["length"].astype(int))
+        for a, b in zip([0, *ends[:2]], ends[:3]):
+            assert any(body[a:b].decode().strip() in t for t in known)
