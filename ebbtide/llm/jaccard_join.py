@@ -39,6 +39,8 @@ BINS = ((1024, 64, 256), (4096, 256, 256), (None, 1024, 1024))
 FLUSH = 1 << 18
 #: Candidate pairs that a task gathers before it sends them on.
 HELD = 1 << 19
+#: As many new ones are gathered before they are held against what it has, or as many as it has.
+FRESH = 1 << 14
 #: Bits of a sketch for each feature, at least; up to twice as many.
 SKETCH_BITS = 1.5
 #: Bits of the shortest sketch, as a power of two: little beside the rest of its row.
@@ -516,6 +518,7 @@ def _candidates(percent: int, best: bool):
 
         rest: list[pa.RecordBatch] = []  # a block may go on in the next batch
         held = np.zeros((4, 0), np.int64)  # what several signatures of the task tell is told once
+        fresh: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -525,12 +528,14 @@ def _candidates(percent: int, best: bool):
                 last &= rows.column(k).to_numpy() == rows.column(k)[-1].as_py()
             cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
             if cut:
-                held = reduced([held, pairs_of(rows.slice(0, cut))])
+                fresh.append(pairs_of(rows.slice(0, cut)))
             rest = [rows.slice(cut)]
+            if sum(x.shape[1] for x in fresh) > max(held.shape[1], FRESH):
+                held, fresh = reduced([held, *fresh]), []
             if held.shape[1] > HELD:
                 yield row_batch(held)
                 held = held[:, :0]
-        yield row_batch(reduced([held, *map(pairs_of, rest)]))
+        yield row_batch(reduced([held, *fresh, *map(pairs_of, rest)]))
 
     return run
 

@@ -17,12 +17,19 @@ from ..session import materialize
 #: Bytes of text that a task looks at in one go; a longer text is taken whole, alone.
 SLICE_BYTES = 1 << 19
 
+#: Rows that Spark hands to a task's Python at a time, at most. They are copied some times on either side.
+BATCH_ROWS = 1000
+
 
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application: they may not have it on their path."""
+    """Send this package to the executors, once for each application: they may not have it on their path. Texts are long
+    rows, so a session that hands over more than BATCH_ROWS at a time is set to that."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     root, context = Path(__file__).resolve().parents[1], spark.sparkContext
     if context.applicationId in _SHIPPED or not root.is_dir():
         return

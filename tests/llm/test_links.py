@@ -14,6 +14,7 @@ from ebbtide.llm import embedding_links, jaccard_join, url_filter
 from ebbtide.llm import components as component_module
 from ebbtide.llm.components import components
 from ebbtide.llm.queries import QUERIES
+from ebbtide.llm.rows import ship_package
 from ebbtide.session import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -334,6 +335,17 @@ def test_a_pair_meets_in_few_tasks(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_tasks_get_texts_a_few_at_a_time(spark):
+    def lengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    ship_package(spark)
+    counts = [r["n"] for r in spark.range(0, 3500, 1, 1).mapInArrow(lengths, "n long").collect()]
+    assert sum(counts) == 3500 and max(counts) <= 1000
+
+
 def test_sketches_bound_the_differences():
     draw = np.random.default_rng(3)
     sets = []
