@@ -15,6 +15,19 @@ def shuffle_partitions(input_bytes: int, partition_bytes: int = 128 << 20) -> in
     return max(200, -(-input_bytes // partition_bytes))
 
 
+#: Rows that one task may hold in a hash aggregate: some 100 MB for each aggregate of the task.
+TASK_ROWS = 500_000
+
+
+def row_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions for an explicit ``repartition`` of that many rows, so that a task's share does not grow with them.
+
+    Adaptive execution sizes partitions by their compressed bytes, of which narrow rows need few: 64 MB of them can be
+    gigabytes in a hash aggregate. Below that size every core gets a share.
+    """
+    return max(1, -(-rows // TASK_ROWS), min(spark.sparkContext.defaultParallelism, -(-rows * 10 // TASK_ROWS)))
+
+
 def build_session(
     app_name: str = "ebbtide", master: str | None = None, input_bytes: int | None = None, **conf: str
 ) -> SparkSession:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import age_in_months, month_start
+from ebbtide.session import row_partitions
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,9 @@ def account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines are summed per account and month before the customer columns are joined, so the second join sees the
     aggregate. The lines have two decimals: they are added up as whole hundredths, which is exact, independent of the
     order of addition, and faster than wide decimals. Amounts come out as DECIMAL, so later sums are exact as well.
+
+    The lines are dealt by account, a bounded number to a task: the sums, the customers and the first month all use
+    that one partitioning. An account's lines meet in one task, which keeps no more of them than a sum for each month.
     """
 
     def hundredths(name: str) -> Column:
@@ -47,8 +51,10 @@ def account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     def flow(flag: str) -> Column:
         return amount(F.sum(F.when(F.col("flag") == flag, F.col("price") * F.col("discount") * 5).otherwise(0)), 4)
 
+    n = row_partitions(spark, lines.count())  # the files' footers have the count
     monthly = (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        .repartition(n, "account_id")
         .groupBy("account_id", "reporting_period")
         .agg(
             amount(F.sum("price"), 2).alias("period_balance"),
@@ -57,7 +63,7 @@ def account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
             flow("A").alias("internal_transfer"),
             (F.sum("discount") / F.lit(100.0) / F.count("*") * 10).cast("decimal(18,10)").alias("interest_rate"),
         )
-        .join(customers, "account_id")
+        .join(customers.repartition(n, "account_id"), "account_id")
     )
     first_month = F.min("reporting_period").over(Window.partitionBy("account_id"))
     return monthly.withColumn("opening_date", first_month).withColumn(
