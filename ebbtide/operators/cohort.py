@@ -56,8 +56,8 @@ def aggregate_cohorts(labelled: DataFrame) -> DataFrame:
     """Sums, means and distinct accounts per cohort, product and age. Rows without a key are dropped.
 
     The sums combine map-side and shuffle no more than the matrix. Only the distinct count has to shuffle by account,
-    so it does that alone, on four narrow columns and spread by account within the key; the two results are hashed
-    by the same key and join in place.
+    so it does that alone, with one row for each account of a series that has the set of its ages, months of a calendar;
+    the two results are hashed by the same key and join in place.
     """
     rows = labelled.dropna(subset=list(MATRIX_KEYS))
 
@@ -77,7 +77,11 @@ def aggregate_cohorts(labelled: DataFrame) -> DataFrame:
         mean("tenure_months").alias("tenure_months"),
     )
     members = (
-        rows.select(*MATRIX_KEYS, "account_id").distinct().groupBy(*MATRIX_KEYS).agg(F.count("account_id").alias("n_accounts"))
+        rows.groupBy(*SERIES_KEYS, "account_id")
+        .agg(F.collect_set("months_since_start").alias("_ages"))
+        .select(*SERIES_KEYS, "account_id", F.explode("_ages").alias("months_since_start"))
+        .groupBy(*MATRIX_KEYS)
+        .agg(F.count("account_id").alias("n_accounts"))
     )
     return sums.join(members, list(MATRIX_KEYS))
 
